@@ -24,6 +24,21 @@ def as_column(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
+def count_where(test: Column) -> Column:
+    """Aggregate: the rows for which ``test`` is true."""
+    return F.count(F.when(test, F.lit(1)))
+
+
+def zipped(**lists) -> Column:
+    """Equally long lists, of values or of Columns, as one array of structs with these names."""
+    arrays = []
+    for name, items in lists.items():
+        items = list(items)
+        columns = any(isinstance(item, Column) for item in items)
+        arrays.append((F.array(*map(as_column, items)) if columns else F.lit(items)).alias(name))
+    return F.arrays_zip(*arrays)
+
+
 def hash_bucket(key, salt: int) -> Column:
     """Bucket 0..9999 of a key. The same key falls in the same bucket on any partitioning."""
     names = [key] if isinstance(key, (str, Column)) else list(key)

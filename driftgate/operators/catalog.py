@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftgate.functions.columns import col
+from driftgate.functions.columns import col, count_where, zipped
 from driftgate.functions.text import type_name
-from driftgate.operators.detect import bad_value_tests, compare_schema
+from driftgate.operators.detect import bad_value_tests, compare_schema, flag_columns, flags
 from driftgate.settings import (
     ADDED,
     REMOVED,
@@ -21,12 +21,13 @@ from driftgate.settings import (
     RULES,
 )
 from driftgate.sources.contracts import Contract
+from driftgate.sources.tables import local_frame
 
 
 def rule_frame(spark: SparkSession) -> DataFrame:
     """The action matrix as rows."""
     rows = [(r.anomaly_type, r.severity, r.action) for r in RULES.values()]
-    return spark.createDataFrame(rows, "anomaly_type STRING, severity STRING, action STRING")
+    return local_frame(spark, dict.fromkeys(("anomaly_type", "severity", "action"), "string"), rows)
 
 
 def schema_rows(df: DataFrame, entity: str, contract: Contract | None = None) -> DataFrame:
@@ -37,25 +38,23 @@ def schema_rows(df: DataFrame, entity: str, contract: Contract | None = None) ->
     findings = compare_schema(df.schema, contract) if contract else []
     tests = bad_value_tests(findings)
     fields = [f for f in df.schema.fields if not f.name.startswith("_")]
-    counted = df.agg(
+    flagged = df.select(*[col(f.name) for f in fields], *flag_columns(tests))
+    counted = flagged.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count(col(f.name)).alias(f"values_{i}") for i, f in enumerate(fields)],
-        *[F.count_if(test).alias(f"bad_{i}") for i, test in enumerate(tests.values())],
+        *[count_where(flag).alias(f"bad_{i}") for i, flag in enumerate(flags(tests).values())],
     )
     bad = {name: F.col(f"bad_{i}") for i, name in enumerate(tests)}
-    columns = [
-        F.struct(
-            F.lit(entity).alias("entity"),
-            F.lit(i + 1).alias("position"),
-            F.lit(f.name).alias("field"),
-            F.lit(type_name(f.dataType)).alias("type"),
-            F.col("rows").alias("n_rows"),
-            F.col(f"values_{i}").alias("n_values"),
-            bad.get(f.name, F.lit(0).cast("bigint")).alias("n_unparseable"),
-        )
-        for i, f in enumerate(fields)
-    ]
-    return counted.select(F.inline(F.array(*columns)))
+    columns = zipped(
+        entity=[entity] * len(fields),
+        position=range(1, len(fields) + 1),
+        field=[f.name for f in fields],
+        type=[type_name(f.dataType) for f in fields],
+        n_rows=[F.col("rows")] * len(fields),
+        n_values=[F.col(f"values_{i}") for i in range(len(fields))],
+        n_unparseable=[bad.get(f.name, F.lit(0).cast("bigint")) for f in fields],
+    )
+    return counted.select(F.inline(columns))
 
 
 def diff_schema_rows(expected: DataFrame, observed: DataFrame) -> DataFrame:

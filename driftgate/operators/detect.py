@@ -8,26 +8,26 @@ and which can cover many runs at once when the run id is a column.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftgate.functions.columns import anomaly_id, as_column, col
+from driftgate.functions.columns import anomaly_id, as_column, col, count_where, zipped
 from driftgate.functions.probes import unparseable
 from driftgate.functions.text import type_name
 from driftgate.settings import (
     ADDED,
     KIND_ORDER,
-    QUARANTINE_BATCH,
     REMOVED,
     REMOVED_CRITICAL,
     RETYPED_SAFE,
     RETYPED_UNSAFE,
     RULES,
-    Rule,
 )
 from driftgate.sources.contracts import Contract
 
@@ -36,8 +36,13 @@ ANOMALY_FIELDS = (
     "anomaly_id", "run_id", "anomaly_type", "severity", "entity", "field", "detected_at",
     "details", "action",
 )
-_ANOMALY = ", ".join(f"{name}: STRING" for name in ANOMALY_FIELDS)
-_ACTION = f"{_ANOMALY}, applied_action: STRING, rows_affected: BIGINT"
+# What the action list adds.
+ACTION_FIELDS = (*ANOMALY_FIELDS, "applied_action", "rows_affected")
+_ENTRIES = (
+    "array<struct<"
+    + "".join(f"{name}: STRING, " for name in ANOMALY_FIELDS)
+    + "applied_action: STRING, rows_affected: BIGINT, acted: BOOLEAN>>"
+)
 
 
 @dataclass(frozen=True)
@@ -109,69 +114,39 @@ def bad_value_tests(findings: Sequence[Finding]) -> dict[str, Column]:
     return {f.field: unparseable(col(f.field), f.probe) for f in findings if f.probe is not None}
 
 
-def any_of(tests) -> Column:
-    result = F.lit(False)
-    for test in tests:
-        result = result | test
-    return result
+def any_of(tests: Iterable[Column]) -> Column:
+    tests = list(tests)
+    return reduce(or_, tests) if tests else F.lit(False)
 
 
-def count_columns(tests: Mapping[str, Column]) -> dict[str, Column]:
-    """Aggregates over a batch: rows, rows with any bad value, bad values by column."""
-    counts = {"rows_total": F.count(F.lit(1)), "rows_bad": F.count_if(any_of(tests.values()))}
-    for i, test in enumerate(tests.values()):
-        counts[f"bad_{i}"] = F.count_if(test)
-    return counts
+def flag_columns(tests: Mapping[str, Column]) -> list[Column]:
+    """The tests as columns. Selecting them before use has each value parsed only once."""
+    return [test.alias(f"_bad_{i}") for i, test in enumerate(tests.values())]
 
 
-def _anomaly(finding: Finding, rule: Rule, contract, run_id, as_of, details: Column) -> list[Column]:
-    values = {
-        "anomaly_id": anomaly_id(run_id, contract.entity, rule.anomaly_type, finding.field),
-        "run_id": run_id,
-        "anomaly_type": F.lit(rule.anomaly_type),
-        "severity": F.lit(rule.severity),
-        "entity": F.lit(contract.entity),
-        "field": F.lit(finding.field),
-        "detected_at": as_of,
-        "details": details,
-        "action": F.lit(rule.action),
-    }
-    return [values[name].alias(name) for name in ANOMALY_FIELDS]
+def flags(tests: Mapping[str, Column]) -> dict[str, Column]:
+    """References to :func:`flag_columns`, by field."""
+    return {name: F.col(f"_bad_{i}") for i, name in enumerate(tests)}
+
+
+def count_columns(bad: Mapping[str, Column]) -> dict[str, Column]:
+    """Aggregates over a flagged batch: rows, rows with any bad value, bad values by column."""
+    counts = {"rows_total": F.count(F.lit(1)), "rows_bad": count_where(any_of(bad.values()))}
+    for i, flag in enumerate(bad.values()):
+        counts[f"bad_{i}"] = count_where(flag)
+    return counts
 
 
 def outcome_columns(
     findings: Sequence[Finding], contract: Contract, run_id: Column, as_of: Column,
     counts: Mapping[str, Column],
 ) -> list[Column]:
-    """Anomalies, actions and row counts of a run, given the counts of its batch.
+    """Row counts of a run, its anomalies, and the action taken on each.
 
     ``counts`` may hold aggregate columns or literals, by the names of :func:`count_columns`.
     """
-    tested = [f.field for f in findings if f.probe is not None]
     total = counts["rows_total"]
-    whole = any(f.anomaly_type == REMOVED_CRITICAL for f in findings)
-    anomalies, actions, acting = [], [], True
-    for finding in findings:
-
-        def entry(rule: Rule, details: Column, rows: Column) -> tuple[Column, Column]:
-            fields = _anomaly(finding, rule, contract, run_id, as_of, details)
-            applied = [F.lit(rule.action).alias("applied_action"), rows.alias("rows_affected")]
-            return F.struct(*fields), F.struct(*fields, *applied)
-
-        none, details = F.lit(0).cast("bigint"), F.lit(finding.details)
-        rule = RULES[finding.anomaly_type]
-        anomaly, action = entry(rule, details, total if rule.action == QUARANTINE_BATCH else none)
-        if finding.probe is not None:
-            bad = counts[f"bad_{tested.index(finding.field)}"]
-            counted = F.concat(details, F.lit(" ("), bad.cast("string"), F.lit(" unparseable values)"))
-            unsafe = entry(RULES[RETYPED_UNSAFE], counted, bad)
-            anomaly = F.when(bad > 0, unsafe[0]).otherwise(anomaly)
-            action = F.when(bad > 0, unsafe[1]).otherwise(action)
-        anomalies.append(anomaly)
-        if acting:
-            actions.append(action)
-        acting = acting and rule.action != QUARANTINE_BATCH
-    held = total if whole else counts["rows_bad"]
+    held = total if any(f.anomaly_type == REMOVED_CRITICAL for f in findings) else counts["rows_bad"]
     return [
         run_id.alias("run_id"),
         F.lit(contract.entity).alias("entity"),
@@ -179,41 +154,99 @@ def outcome_columns(
         total.alias("rows_total"),
         held.alias("rows_quarantined"),
         (total - held).alias("rows_surviving"),
-        F.array(*anomalies).cast(f"array<struct<{_ANOMALY}>>").alias("anomalies"),
-        F.array(*actions).cast(f"array<struct<{_ACTION}>>").alias("actions"),
+        _entries(findings, contract, run_id, as_of, counts).alias("anomalies"),
     ]
 
 
+def _entries(findings, contract, run_id, as_of, counts) -> Column:
+    """The findings as an array of anomalies, each with what was done about it.
+
+    What the schemas tell goes in as constants; a finding with a probe turns unsafe if
+    its count of bad values is not zero.
+    """
+    if not findings:
+        return F.array().cast(_ENTRIES)
+    bad, acted, moved, stopped = [], [], [], False
+    none = F.lit(None).cast("bigint")
+    for finding in findings:
+        tested = finding.probe is not None
+        bad.append(counts[f"bad_{sum(b is not none for b in bad)}"] if tested else none)
+        whole = finding.anomaly_type == REMOVED_CRITICAL and not stopped
+        moved.append(counts["rows_total"] if whole else bad[-1])
+        acted.append(not stopped)
+        # Once the batch as a whole is held back, nothing more is done to it.
+        stopped = stopped or whole
+    known = [RULES[f.anomaly_type] for f in findings]
+    facts = zipped(
+        kind=[r.anomaly_type for r in known], severity=[r.severity for r in known],
+        action=[r.action for r in known], field=[f.field for f in findings],
+        details=[f.details for f in findings], bad=bad, moved=moved, acted=acted,
+    )
+    unsafe, entity = RULES[RETYPED_UNSAFE], F.lit(contract.entity)
+
+    def entry(fact: Column) -> Column:
+        turned = F.coalesce(fact["bad"] > 0, F.lit(False))
+        kind = F.when(turned, unsafe.anomaly_type).otherwise(fact["kind"])
+        action = F.when(turned, unsafe.action).otherwise(fact["action"])
+        counted = F.concat(
+            fact["details"], F.lit(" ("), fact["bad"].cast("string"), F.lit(" unparseable values)")
+        )
+        return F.struct(
+            anomaly_id(run_id, entity, kind, fact["field"]),
+            run_id,
+            kind,
+            F.when(turned, unsafe.severity).otherwise(fact["severity"]),
+            entity,
+            fact["field"],
+            as_of,
+            F.when(turned, counted).otherwise(fact["details"]),
+            action,
+            action,
+            F.coalesce(fact["moved"], F.lit(0).cast("bigint")),
+            fact["acted"],
+        )
+
+    return F.transform(facts, entry).cast(_ENTRIES)
+
+
 def assess(
     df: DataFrame, contract: Contract, run_id, as_of, probe: str = "numeric"
 ) -> DataFrame:
-    """One row per run: its row counts, anomalies and actions, from one pass over ``df``.
+    """One row per run: its row counts, and its anomalies with their actions, in one pass.
 
     ``run_id`` and ``as_of`` are texts for a single batch, or columns of ``df`` when it
     holds the batches of many runs.
     """
     findings = compare_schema(df.schema, contract, probe)
-    counts = count_columns(bad_value_tests(findings))
+    tests = bad_value_tests(findings)
+    counts = count_columns(flags(tests))
     aggregates = [column.alias(f"_{name}") for name, column in counts.items()]
     if isinstance(run_id, Column) or isinstance(as_of, Column):
         keys = [as_column(run_id).alias("_run"), as_column(as_of).alias("_as_of")]
-        counted = df.groupBy(*keys).agg(*aggregates)
+        counted = df.select(*keys, *flag_columns(tests)).groupBy("_run", "_as_of").agg(*aggregates)
         run_id, as_of = F.col("_run"), F.col("_as_of")
     else:
-        counted = df.agg(*aggregates)
+        counted = df.select(*flag_columns(tests)).agg(*aggregates)
         run_id, as_of = F.lit(run_id), F.lit(as_of)
     seen = {name: F.col(f"_{name}") for name in counts}
     return counted.select(*outcome_columns(findings, contract, run_id, as_of, seen))
 
 
+def _unfold(assessed: DataFrame) -> DataFrame:
+    # Not a plain inline: for that Spark infers a test for empty arrays and, where entries hang
+    # on the run alone, moves it below the aggregate, building the entries for every input row.
+    unfolded = assessed.select(F.inline_outer("anomalies"))
+    return unfolded.filter(F.col("anomaly_id").isNotNull())
+
+
 def anomalies_of(assessed: DataFrame) -> DataFrame:
     """Anomaly rows of the runs in ``assessed``."""
-    return assessed.select(F.inline("anomalies"))
+    return _unfold(assessed).select(*ANOMALY_FIELDS)
 
 
 def actions_of(assessed: DataFrame) -> DataFrame:
     """Action rows of the runs in ``assessed``: what was done and how many rows it moved."""
-    return assessed.select(F.inline("actions"))
+    return _unfold(assessed).filter("acted").select(*ACTION_FIELDS)
 
 
 def detect(df: DataFrame, contract: Contract, run_id, as_of, probe: str = "numeric") -> DataFrame:

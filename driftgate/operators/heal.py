@@ -16,7 +16,14 @@ from pyspark.sql import types as T
 
 from driftgate.functions.columns import col
 from driftgate.functions.probes import first_reason, reasons, unparseable
-from driftgate.operators.detect import any_of, count_columns, in_report_order, probe_type
+from driftgate.operators.detect import (
+    any_of,
+    count_columns,
+    flag_columns,
+    flags,
+    in_report_order,
+    probe_type,
+)
 from driftgate.settings import (
     CAST_AND_WARN,
     DROP_ADDED,
@@ -62,11 +69,10 @@ class Healed:
         ``seen`` receives the counts named by ``count_columns`` when the result is written.
         """
         tests = {name: unparseable(col(name), t) for name, t in self.tests.items()}
-        flags = [test.alias(f"_bad_{i}") for i, test in enumerate(tests.values())]
         repaired = self._repaired()
-        tested = self.source.select(*repaired, *flags)
+        tested = self.source.select(*repaired, *flag_columns(tests))
         names = tested.columns[: len(repaired)]
-        bad = {name: F.col(f"_bad_{i}") for i, name in enumerate(tests)}
+        bad = flags(tests)
         if seen is not None:
             counts = count_columns(bad)
             tested = tested.observe(seen, *[c.alias(name) for name, c in counts.items()])
@@ -76,9 +82,10 @@ class Healed:
             labels = [why, F.array(why), F.lit(QUARANTINE)]
         elif bad:
             held = any_of(bad.values())
-            labels = [first_reason(bad), reasons(bad), F.when(held, QUARANTINE).otherwise(CLEAN)]
+            every = F.when(held, reasons(bad))
+            labels = [first_reason(bad), every, F.when(held, QUARANTINE).otherwise(CLEAN)]
         else:
-            labels = [none, F.array().cast("array<string>"), F.lit(CLEAN)]
+            labels = [none, F.lit(None).cast("array<string>"), F.lit(CLEAN)]
         return tested.select(
             *map(col, names), *[c.alias(name) for c, name in zip(labels, _LABELS, strict=True)]
         )

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftgate.functions.columns import col
+from driftgate.functions.columns import col, count_where
 
 
 def _references(child: DataFrame, fk: str) -> DataFrame:
@@ -27,21 +27,30 @@ def _parents(parent: DataFrame, pk: str) -> DataFrame:
     return parent.select(col(pk).alias("key")).distinct()
 
 
+def _checked(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+    """Referenced keys with their row count, ``known`` where a parent has the key.
+
+    An outer join rather than an anti join: Spark would move the latter below the
+    aggregate and shuffle every referencing row.
+    """
+    known = _parents(parent, pk).withColumn("known", F.lit(True))
+    return _references(child, fk).join(known, "key", "left")
+
+
 def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Referenced keys that have no parent, with the number of rows referencing them."""
-    return _references(child, fk).join(_parents(parent, pk), "key", "left_anti")
+    checked = _checked(child, fk, parent, pk)
+    return checked.filter(F.col("known").isNull()).select("key", "n_rows")
 
 
 def orphan_summary(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Rows with a reference, rows whose reference leads nowhere, and the keys behind them."""
-    known = _parents(parent, pk).withColumn("known", F.lit(True))
-    checked = _references(child, fk).join(known, "key", "left")
     orphan = F.col("known").isNull()
     nothing = F.lit(0).cast("bigint")
-    return checked.agg(
+    return _checked(child, fk, parent, pk).agg(
         F.coalesce(F.sum("n_rows"), nothing).alias("n_rows"),
         F.coalesce(F.sum(F.when(orphan, F.col("n_rows"))), nothing).alias("n_orphan_rows"),
-        F.count_if(orphan).alias("n_orphan_keys"),
+        count_where(orphan).alias("n_orphan_keys"),
     )
 
 

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from driftgate.functions.columns import col
+from driftgate.functions.columns import col, count_where, zipped
 from driftgate.functions.probes import all_columns_null
 from driftgate.settings import AMOUNT_BANDS, HOUR_WEIGHTS, Limits
 from driftgate.sources.contracts import Contract
-from driftgate.sources.tables import small_side
+from driftgate.sources.tables import local_frame, small_side
 
 _OTHER = "(other)"
 
@@ -22,63 +22,62 @@ def _rate(hits: Column, rows: Column) -> Column:
     return F.when(rows > 0, hits / rows).otherwise(F.lit(0.0))
 
 
-def null_profile(df: DataFrame, contract: Contract, limits: Limits = Limits()) -> DataFrame:
+def null_profile(
+    df: DataFrame, contract: Contract, limits: Limits | Mapping[str, Limits] = Limits()
+) -> DataFrame:
     """Rates of nulls and empty strings by column and of rows without any content.
 
     One aggregate counts everything. A row is without content if every column outside
-    the key is null; that rate has the field ``*``.
+    the key is null; that rate has the field ``*``. Given several limits by name, the same
+    counts are judged by each, with the name in ``profile``.
     """
-    names = [f.name for f in df.schema.fields if not f.name.startswith("_")]
-    strings = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-    payload = [name for name in names if name not in contract.key]
+    fields = [f for f in df.schema.fields if not f.name.startswith("_")]
+    payload = [f.name for f in fields if f.name not in contract.key]
     checks = []
-    for name in names:
-        limit = limits.critical_null_rate if name in contract.critical else limits.null_rate
-        checks.append((name, "null", col(name).isNull(), limit))
-        if name in strings:
-            checks.append((name, "empty", F.trim(col(name)) == "", limits.empty_rate))
-    checks.append(("*", "all_null", all_columns_null(payload), limits.all_null_rate))
+    for f in fields:
+        null_limit = "critical_null_rate" if f.name in contract.critical else "null_rate"
+        checks.append((f.name, "null", col(f.name).isNull(), null_limit))
+        if isinstance(f.dataType, T.StringType):
+            checks.append((f.name, "empty", F.trim(col(f.name)) == "", "empty_rate"))
+    checks.append(("*", "all_null", all_columns_null(payload), "all_null_rate"))
     counted = df.agg(
         F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(test).alias(f"hits_{i}") for i, (_, _, test, _) in enumerate(checks)],
+        *[count_where(test).alias(f"hits_{i}") for i, (_, _, test, _) in enumerate(checks)],
     )
-    entries = []
-    for i, (name, metric, _, limit) in enumerate(checks):
-        rate = _rate(F.col(f"hits_{i}"), F.col("rows"))
-        entries.append(
-            F.struct(
-                F.lit(name).alias("field"),
-                F.lit(metric).alias("metric"),
-                F.col("rows").alias("n_rows"),
-                F.col(f"hits_{i}").alias("n_hits"),
-                rate.alias("rate"),
-                F.lit(float(limit)).alias("max_rate"),
-                (rate > limit).alias("flagged"),
+    named = limits if isinstance(limits, Mapping) else {"": limits}
+    judged = [(profile, i) for profile in named for i in range(len(checks))]
+    rates = counted.select(
+        F.col("rows").alias("n_rows"),
+        F.inline(
+            zipped(
+                profile=[profile for profile, _ in judged],
+                field=[checks[i][0] for _, i in judged],
+                metric=[checks[i][1] for _, i in judged],
+                max_rate=[float(getattr(named[profile], checks[i][3])) for profile, i in judged],
+                n_hits=[F.col(f"hits_{i}") for _, i in judged],
             )
-        )
-    return counted.select(F.inline(F.array(*entries)))
+        ),
+    ).withColumn("rate", _rate(F.col("n_hits"), F.col("n_rows")))
+    names = ["profile"] if isinstance(limits, Mapping) else []
+    return rates.select(
+        *names, "field", "metric", "n_rows", "n_hits", "rate", "max_rate",
+        (F.col("rate") > F.col("max_rate")).alias("flagged"),
+    )
 
 
 def null_spikes(df: DataFrame, ts: str, limits: Limits = Limits()) -> DataFrame:
     """Null rate by day and column; a day at or above the spike rate is flagged."""
     names = [n for n in df.columns if n != ts and not n.startswith("_")]
     daily = df.groupBy(F.to_date(col(ts)).alias("day")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(col(n).isNull()).alias(f"nulls_{i}") for i, n in enumerate(names)],
+        F.count(F.lit(1)).alias("n_rows"),
+        *[count_where(col(n).isNull()).alias(f"nulls_{i}") for i, n in enumerate(names)],
+    )
+    nulls = zipped(field=names, n_nulls=[F.col(f"nulls_{i}") for i in range(len(names))])
+    rate = _rate(F.col("n_nulls"), F.col("n_rows"))
+    return daily.select("day", "n_rows", F.inline(nulls)).select(
+        "day", "field", "n_rows", "n_nulls", rate.alias("rate"),
+        (rate >= limits.null_spike_rate).alias("spike"),
     )
-    entries = []
-    for i, name in enumerate(names):
-        rate = _rate(F.col(f"nulls_{i}"), F.col("rows"))
-        entries.append(
-            F.struct(
-                F.lit(name).alias("field"),
-                F.col("rows").alias("n_rows"),
-                F.col(f"nulls_{i}").alias("n_nulls"),
-                rate.alias("rate"),
-                (rate >= limits.null_spike_rate).alias("spike"),
-            )
-        )
-    return daily.select("day", F.inline(F.array(*entries)))
 
 
 def domain_violations(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
@@ -93,10 +92,8 @@ def domain_share(df: DataFrame, column: str, weights: Mapping[str, float]) -> Da
     Values outside the domain count as one, so the table stays as short as the domain.
     """
     total = float(sum(weights.values()))
-    expected = df.sparkSession.createDataFrame(
-        [(v, float(w) / total) for v, w in weights.items()] + [(_OTHER, 0.0)],
-        "value STRING, expected_share DOUBLE",
-    )
+    shares = [(v, float(w) / total) for v, w in weights.items()] + [(_OTHER, 0.0)]
+    expected = local_frame(df.sparkSession, {"value": "string", "expected_share": "double"}, shares)
     bucket = F.when(col(column).isin(*weights), col(column)).otherwise(F.lit(_OTHER))
     counted = (
         df.filter(col(column).isNotNull())
@@ -114,11 +111,6 @@ def domain_share(df: DataFrame, column: str, weights: Mapping[str, float]) -> Da
     )
 
 
-def bounds_frame(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> DataFrame:
-    rows = [(name, float(low), float(high)) for name, (low, high) in bounds.items()]
-    return df.sparkSession.createDataFrame(rows, "category STRING, low DOUBLE, high DOUBLE")
-
-
 def range_violations(
     df: DataFrame, category: str, value: str, bounds: Mapping[str, tuple[float, float]] | DataFrame
 ) -> DataFrame:
@@ -127,10 +119,15 @@ def range_violations(
     ``bounds`` maps a category to its lowest and highest value, or is a DataFrame of
     ``category``, ``low`` and ``high`` with one row per category.
     """
-    if not isinstance(bounds, DataFrame):
-        bounds = bounds_frame(df, bounds)
-    matched = df.join(small_side(bounds), col(category) == F.col("category"))
-    return matched.filter(~col(value).between(F.col("low"), F.col("high"))).drop("category")
+    if isinstance(bounds, DataFrame):
+        limits = small_side(bounds.select(F.col("category").alias("_category"), "low", "high"))
+    else:
+        # Parameters of the call; a handful.
+        columns = {"_category": "string", "low": "double", "high": "double"}
+        rows = [(name, *lowest_highest) for name, lowest_highest in bounds.items()]
+        limits = F.broadcast(local_frame(df.sparkSession, columns, rows))
+    matched = df.join(limits, col(category) == F.col("_category"))
+    return matched.filter(~col(value).between(F.col("low"), F.col("high"))).drop("_category")
 
 
 def amount_bands(

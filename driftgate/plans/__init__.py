@@ -4,6 +4,7 @@ from driftgate.plans.audit import run_records, summarize_log
 from driftgate.plans.run import RunResult, run_batch, run_drill
 from driftgate.plans.views import (
     anomaly_events,
+    dashboard,
     mirrored_runs,
     quarantine_counts,
     recent_runs,
@@ -13,6 +14,7 @@ from driftgate.plans.views import (
 __all__ = [
     "RunResult",
     "anomaly_events",
+    "dashboard",
     "mirrored_runs",
     "quarantine_counts",
     "recent_runs",

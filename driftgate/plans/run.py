@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -83,13 +84,18 @@ def _run(store, df, contract, run_id, now, drift_type, force_critical, drifted_p
         *outcome_columns(findings, contract, F.lit(run_id), as_of, seen)
     )
     records = run_records(assessed, drift_type, force_critical, drifted_path)
+    logs = {"run_summaries": records.select(*SUMMARY_FIELDS), "pipeline_log": records}
     if findings:
-        store.append_log("anomaly_log", anomalies_of(assessed), run_id)
         path = F.when(F.col("rows_affected") > 0, F.lit(store.run_path("batches", run_id)))
-        store.append_log("action_log", actions_of(assessed).withColumn("result_path", path), run_id)
-    store.append_log("run_summaries", records.select(*SUMMARY_FIELDS), run_id)
-    store.append_log("pipeline_log", records, run_id)
-    return RunResult(run_id, records.first().asDict())
+        logs["anomaly_log"] = anomalies_of(assessed)
+        logs["action_log"] = actions_of(assessed).withColumn("result_path", path)
+    # A handful of rows each: the time goes into starting the jobs, so start them together.
+    with ThreadPoolExecutor(len(logs)) as pool:
+        written = [pool.submit(store.append_log, name, df, run_id) for name, df in logs.items()]
+        record = records.first().asDict()
+        for log in written:
+            log.result()
+    return RunResult(run_id, record)
 
 
 def run_drill(

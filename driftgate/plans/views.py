@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftgate.sources.store import RunStore
+
 # How many rows each view shows.
 RUNS, EVENTS, SUMMARIES, QUARANTINES, MIRRORED = 10, 20, 5, 10, 5
 
@@ -46,3 +48,17 @@ def mirrored_runs(spark: SparkSession, view: str = "pipeline_log", n: int = MIRR
         f"""SELECT run_id, entity, drift_type, max_severity, rows_surviving, rows_quarantined
             FROM {view} ORDER BY completed_at DESC, run_id DESC LIMIT {int(n)}"""
     )
+
+
+def dashboard(store: RunStore) -> dict[str, DataFrame]:
+    """Every view the store has data for, by title; the caller shows them."""
+    views = {}
+    if store.has_log("pipeline_log"):
+        views["recent runs"] = recent_runs(store.log("pipeline_log"))
+    if store.has_log("anomaly_log"):
+        views["anomalies"] = anomaly_events(store.log("anomaly_log"))
+    if store.has_log("run_summaries"):
+        views["summaries"] = recent_summaries(store.log("run_summaries"))
+    if store.has_batches():
+        views["quarantine"] = quarantine_counts(store.quarantine_counts())
+    return views

@@ -13,6 +13,7 @@ from driftgate.sources.contracts import (
 from driftgate.sources.store import RunStore
 from driftgate.sources.tables import (
     build_session,
+    local_frame,
     read_table,
     small_side,
     tables_with_prefix,
@@ -29,6 +30,7 @@ __all__ = [
     "contract_rows",
     "latest_by",
     "load_contract",
+    "local_frame",
     "read_table",
     "save_snapshots",
     "small_side",

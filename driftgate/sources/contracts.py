@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from driftgate.functions.columns import col
 from driftgate.functions.text import type_name
+from driftgate.sources.tables import local_frame
 
 
 @dataclass(frozen=True)
@@ -74,7 +75,7 @@ CONTRACTS = {
     )
 }
 
-SNAPSHOT_SCHEMA = "entity_name STRING, schema_json STRING, snapshot_timestamp STRING, version STRING"
+SNAPSHOT_COLUMNS = ("entity_name", "schema_json", "snapshot_timestamp", "version")
 
 
 def snapshot_frame(
@@ -82,12 +83,12 @@ def snapshot_frame(
 ) -> DataFrame:
     """One snapshot row per contract."""
     rows = [(c.entity, c.schema.json(), as_of, version) for c in contracts]
-    return spark.createDataFrame(rows, SNAPSHOT_SCHEMA)
+    return local_frame(spark, dict.fromkeys(SNAPSHOT_COLUMNS, "string"), rows)
 
 
 def save_snapshots(snapshots: DataFrame, path: str) -> None:
     """Append snapshots, keeping earlier versions."""
-    snapshots.coalesce(1).write.mode("append").parquet(path)
+    snapshots.write.mode("append").parquet(path)
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -124,6 +125,7 @@ def contract_rows(spark: SparkSession, contracts: Iterable[Contract]) -> DataFra
         for c in contracts
         for name, data_type in c.types().items()
     ]
-    return spark.createDataFrame(
-        rows, "entity STRING, field STRING, expected_type STRING, critical BOOLEAN"
-    )
+    columns = {
+        "entity": "string", "field": "string", "expected_type": "string", "critical": "boolean",
+    }
+    return local_frame(spark, columns, rows)

@@ -11,6 +11,8 @@ changes nothing and leaves no rows of the earlier attempt behind.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,15 @@ CLEAN = "clean"
 QUARANTINE = "quarantine"
 
 
+def _readable(read: Callable[[], DataFrame]) -> bool:
+    """Whether a dataset is there; planning the read is enough to find out."""
+    try:
+        read()
+    except AnalysisException:
+        return False
+    return True
+
+
 class RunStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -78,6 +89,9 @@ class RunStore:
             .agg(F.count("*").alias("n_rows"))
         )
 
+    def has_batches(self) -> bool:
+        return _readable(self.quarantine_counts)
+
     # -- logs --------------------------------------------------------------
 
     def append_log(self, name: str, rows: DataFrame, run_id: str) -> None:
@@ -91,11 +105,7 @@ class RunStore:
         return rows.select("run_id", *[c for c in rows.columns if c != "run_id"])
 
     def has_log(self, name: str) -> bool:
-        try:
-            self.log(name)
-        except AnalysisException:
-            return False
-        return True
+        return _readable(lambda: self.log(name))
 
     def register_views(self) -> list[str]:
         """Make the logs queryable in SQL as temporary views; returns their names."""

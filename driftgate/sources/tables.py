@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftgate.functions.columns import zipped
+
 # A side of at most this many rows may be broadcast.
 BROADCAST_ROWS = 100_000
 
@@ -68,6 +70,17 @@ def tables_with_prefix(spark: SparkSession, prefix: str, database: str, n: int =
     )
 
 
+def local_frame(spark: SparkSession, columns: dict[str, str], rows) -> DataFrame:
+    """A few rows of parameters as a DataFrame of one partition; ``columns`` gives their types.
+
+    ``createDataFrame`` would spread them over as many tasks as the cluster has cores.
+    """
+    types = ", ".join(f"{name}: {kind}" for name, kind in columns.items())
+    values = dict(zip(columns, zip(*rows, strict=True), strict=True))
+    array = zipped(**values).cast(f"array<struct<{types}>>")
+    return spark.range(1, numPartitions=1).select(F.inline(array))
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``max_rows`` rows, else as it is."""
     if df.limit(max_rows + 1).count() <= max_rows:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,7 +78,7 @@ def _profile_sql(limits) -> str:
     )
 
 
-@query(_profile_sql(profile("moderate")))
+@query(_profile_sql(profile("moderate")), name="null_profile")
 def null_rates(spark, sf_dir):
     return null_profile(_gappy(spark, sf_dir), EVENTS)
 
@@ -88,17 +86,13 @@ def null_rates(spark, sf_dir):
 @query(" UNION ALL ".join(
     f"SELECT '{name}' AS profile, field, metric, flagged FROM ({_profile_sql(limits)})"
     for name, limits in PROFILES.items()
-))
+),
+    name="null_profile_by_limits",
+)
 def null_rates_by_profile(spark, sf_dir):
     """The same batch judged by each named set of limits."""
-    batch = _gappy(spark, sf_dir)
-    judged = [
-        null_profile(batch, EVENTS, limits).select(
-            F.lit(name).alias("profile"), "field", "metric", "flagged"
-        )
-        for name, limits in PROFILES.items()
-    ]
-    return reduce(DataFrame.union, judged)
+    judged = null_profile(_gappy(spark, sf_dir), EVENTS, PROFILES)
+    return judged.select("profile", "field", "metric", "flagged")
 
 
 _SPIKE_DAYS = ("2024-01-08", "2024-01-17")
@@ -112,7 +106,9 @@ FROM (SELECT ts::DATE AS day, count(*) AS n_rows, count(*) FILTER (WHERE {bucket
       FROM events GROUP BY 1)
 UNION ALL
 SELECT ts::DATE, 'event_id', count(*), 0, 0.0, false FROM events GROUP BY 1
-""")
+""",
+    name="null_spike_daily",
+)
 def null_spikes_daily(spark, sf_dir):
     share = F.when(F.to_date("ts").cast("string").isin(*_SPIKE_DAYS), 4000).otherwise(500)
     value = F.when(hash_bucket("event_id", 11) >= share, F.col("value"))
@@ -173,12 +169,12 @@ def _volume_sql(by: str = "") -> str:
     FROM run WHERE seen = 7"""
 
 
-@query(_volume_sql())
+@query(_volume_sql(), name="volume_anomaly")
 def volume_daily(spark, sf_dir):
     return volume_by_day(_uneven(spark, sf_dir), "ts")
 
 
-@query(_volume_sql("event_type"))
+@query(_volume_sql("event_type"), name="volume_anomaly_by_type")
 def volume_daily_by_type(spark, sf_dir):
     return volume_by_day(_uneven(spark, sf_dir), "ts", by=["event_type"])
 
@@ -201,7 +197,9 @@ SELECT d.value, count(t.value) AS n_rows,
     count(t.value)::DOUBLE / (SELECT count(*) FROM typed) AS share, d.w::DOUBLE / 100 AS expected_share
 FROM (VALUES ('DEBIT', 35), ('CREDIT', 30), ('TRANSFER', 20), ('PAYMENT', 15), ('(other)', 0)) d(value, w)
 LEFT JOIN typed t ON t.value = d.value GROUP BY d.value, d.w
-""")
+""",
+    name="domain_share",
+)
 def domain_shares(spark, sf_dir):
     weights = DOMAINS["transaction_type"]
     return domain_share(transactions(spark, sf_dir), "transaction_type", weights)
@@ -229,7 +227,9 @@ FROM (SELECT CASE WHEN o_totalprice < 100 THEN 0 WHEN o_totalprice < 1000 THEN 1
                   WHEN o_totalprice < 10000 THEN 2 WHEN o_totalprice < 100000 THEN 3 ELSE 4 END AS band
       FROM orders)
 GROUP BY band
-""")
+""",
+    name="amount_bands",
+)
 def amount_profile(spark, sf_dir):
     return amount_bands(table(spark, sf_dir, "orders"), "o_totalprice")
 
@@ -240,7 +240,9 @@ SELECT hour(ts)::INTEGER AS hour, count(*) AS n_rows,
     [1, 1, 1, 1, 1, 2, 4, 6, 8, 9, 10, 10, 9, 8, 7, 6, 5, 7, 8, 9, 7, 5, 3, 2][hour(ts) + 1]::DOUBLE
         / 130 AS expected_share
 FROM events GROUP BY hour(ts)
-""")
+""",
+    name="hour_profile",
+)
 def hour_profile_daily(spark, sf_dir):
     return hour_profile(table(spark, sf_dir, "events"), "ts")
 
@@ -275,6 +277,8 @@ def fk_orphan_counts(spark, sf_dir):
 
 @query("""
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1
-""")
+""",
+    name="key_duplicates",
+)
 def duplicate_keys(spark, sf_dir):
     return key_duplicates(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])

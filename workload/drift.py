@@ -119,7 +119,7 @@ def _schema_rows_sql(name: str, batch: str, tested: tuple[str, ...] = ()) -> str
         ON c.field = d.field"""
 
 
-@query(" UNION ALL ".join(_schema_rows_sql(n, f"SELECT * FROM {n}") for n in TABLE_CONTRACTS))
+@query(" UNION ALL ".join(_schema_rows_sql(n, f"SELECT * FROM {n}") for n in TABLE_CONTRACTS), name="schema_rows")
 def schema_catalog(spark, sf_dir):
     rows = [schema_rows(table(spark, sf_dir, name), name) for name in TABLE_CONTRACTS]
     return reduce(DataFrame.unionByName, rows)

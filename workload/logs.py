@@ -101,7 +101,7 @@ def run_summary(spark, sf_dir):
     return summarize_log(log).select("run_id", "entity", "anomaly_count", "max_severity")
 
 
-@query(f"SELECT run_id, summary_text FROM ({_SUMMARY})")
+@query(f"SELECT run_id, summary_text FROM ({_SUMMARY})", name="summary_text")
 def summary_texts(spark, sf_dir):
     return summarize_log(anomalies_of(assessed_runs(spark, sf_dir))).select("run_id", "summary_text")
 

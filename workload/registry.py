@@ -12,12 +12,12 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str) -> Callable[[Query], Query]:
-    """Register a query under its function name, with the SQL that gives the same rows."""
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query, by default under its function name, with the SQL that gives the same rows."""
 
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
-        ORACLES[fn.__name__] = sql
+        QUERIES[name or fn.__name__] = fn
+        ORACLES[name or fn.__name__] = sql
         return fn
 
     return register
