@@ -1,0 +1,239 @@
+import json
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from driftgate.functions import resolve_run_id, sanitize_run_id
+from driftgate.operators import detect
+from driftgate.operators.detect import anomalies_of, assess
+from driftgate.plans import (
+    dashboard,
+    mirrored_runs,
+    quarantine_counts,
+    recent_runs,
+    run_batch,
+    run_drill,
+    run_records,
+    summarize_log,
+)
+from driftgate.sources import CONTRACTS, Contract, RunStore
+from tests.test_queries import SMALL
+from workload.drift import _GOLDEN
+from workload.entities import BASELINES
+from workload.tables import EVENTS, events_drifted, events_unsafe, table
+
+NOW = datetime(2024, 1, 31, 12, 0, 0)
+SIZES = {"transactions": 1000, "accounts": 1500, "customers": 150}
+THINGS = Contract.of("things", "id long, a double, b double, c integer", ("id", "c"), ("id",))
+
+
+@pytest.fixture()
+def store(spark, root):
+    return RunStore(spark, root)
+
+
+def drill(store, entity, kind, force=False, run_id="drill"):
+    baseline = BASELINES[entity](store.spark, SMALL)
+    return run_drill(store, baseline, CONTRACTS[entity], kind, force, run_id, NOW)
+
+
+EXPECTED = {
+    ("column_added", False): ("LOW", "drop_added_column"),
+    ("column_removed", False): ("MEDIUM", "fill_null_and_warn"),
+    ("column_removed", True): ("CRITICAL", "quarantine_batch"),
+    ("type_changed", False): ("CRITICAL", "quarantine_affected_records"),
+}
+
+
+@pytest.mark.parametrize(("entity", "kind", "force"), _GOLDEN)
+def test_every_drill_end_to_end(store, entity, kind, force):
+    result = drill(store, entity, kind, force)
+    severity, action = EXPECTED.get((kind, force), ("MEDIUM", "cast_and_warn"))
+    if entity == "customers" and kind == "type_changed":
+        severity, action = "MEDIUM", "cast_and_warn"
+    n = SIZES[entity]
+    record = result.record
+    assert (record["run_id"], record["entity"], record["drift_type"]) == ("run_drill", entity, kind)
+    assert (record["anomaly_count"], record["max_severity"]) == (1, severity)
+    assert record["rows_quarantined"] + record["rows_surviving"] == n
+    (logged,) = store.log("action_log").collect()
+    assert (logged["applied_action"], logged["action"]) == (action, action)
+    assert logged["rows_affected"] == record["rows_quarantined"]
+    if action == "quarantine_batch":
+        assert record["rows_surviving"] == 0
+    elif action == "quarantine_affected_records":
+        assert 0.40 < record["rows_quarantined"] / n < 0.48
+    else:
+        assert record["rows_quarantined"] == 0
+    if record["rows_surviving"]:
+        clean = store.clean("run_drill")
+        assert clean.count() == record["rows_surviving"]
+        assert set(clean.columns) == set(CONTRACTS[entity].types()) | {"_run_id"}
+    if record["rows_quarantined"]:
+        assert store.quarantine("run_drill").count() == record["rows_quarantined"]
+
+
+def test_run_agrees_with_detect(spark, store):
+    batch = events_drifted(spark, SMALL)
+    run_batch(store, batch, EVENTS, "x", NOW)
+    expected = detect(batch, EVENTS, "run_x", "2024-01-31 12:00:00")
+    assert sorted(store.log("anomaly_log").select(expected.columns).collect()) == sorted(expected.collect())
+
+
+def test_batch_is_read_once(spark, store):
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for row in rows:
+            reads.add(1)
+            yield row
+
+    counted = spark.range(100).rdd.mapPartitions(count)
+    df = spark.createDataFrame(counted, "id long").select(
+        "id", F.when(F.col("id") < 10, "x").otherwise("1").alias("a"), F.lit("2").alias("b"),
+        F.lit(1).alias("c"),
+    )
+    record = run_batch(store, df, THINGS, "once", NOW).record
+    assert (record["rows_quarantined"], record["rows_surviving"]) == (10, 90)
+    assert reads.value == 100
+
+
+def test_rerun_replaces_its_own_rows_only(spark, store):
+    batch = events_unsafe(spark, SMALL)
+    run_batch(store, batch, EVENTS, "a", NOW)
+    run_batch(store, batch, EVENTS, "b", NOW)
+    before = sorted(store.clean("run_a").select("event_id").collect())
+    run_batch(store, batch, EVENTS, "a", NOW)
+    assert sorted(store.clean("run_a").select("event_id").collect()) == before
+    assert store.log("pipeline_log").count() == 2 and store.log("anomaly_log").count() == 2
+    run_batch(store, table(spark, SMALL, "events"), EVENTS, "a", NOW)
+    counts = {r["run_id"]: r["n_rows"] for r in store.quarantine_counts().collect()}
+    assert set(counts) == {"run_b"}
+
+
+def test_run_without_drift(spark, store):
+    record = run_batch(store, table(spark, SMALL, "events"), EVENTS, "calm", NOW).record
+    assert (record["anomaly_count"], record["max_severity"]) == (0, "NONE")
+    assert record["summary_text"] == "No schema drift detected for events in run run_calm."
+    assert not store.has_log("anomaly_log")
+    assert store.clean("run_calm").count() == 1000
+    assert set(dashboard(store)) == {"recent runs", "summaries", "quarantine"}
+
+
+def test_empty_batch(spark, store):
+    empty = events_unsafe(spark, SMALL).limit(0)
+    record = run_batch(store, empty, EVENTS, "empty", NOW).record
+    assert (record["rows_quarantined"], record["rows_surviving"], record["anomaly_count"]) == (0, 0, 1)
+    assert record["max_severity"] == "MEDIUM"
+
+
+def test_quarantined_batch_still_classifies_its_retyped_columns(spark, store):
+    rows = [(1, "x", "1"), (2, "2", "2")]
+    df = spark.createDataFrame(rows, "id long, a string, b string")
+    record = run_batch(store, df, THINGS, "both", NOW).record
+    assert (record["rows_quarantined"], record["rows_surviving"]) == (2, 0)
+    kinds = {r["field"]: r["anomaly_type"] for r in store.log("anomaly_log").collect()}
+    assert kinds == {
+        "a": "schema_drift_type_change_unsafe", "b": "schema_drift_type_change_safe",
+        "c": "schema_drift_column_removed_critical",
+    }
+    acted = [(r["field"], r["rows_affected"]) for r in store.log("action_log").collect()]
+    assert acted == [("c", 2)]
+
+
+def test_two_bad_columns_are_counted_apart(spark, store):
+    rows = [(1, "x", "y", 1), (2, "1", "y", 1), (3, "1", "2", 1)]
+    df = spark.createDataFrame(rows, "id long, a string, b string, c int")
+    record = run_batch(store, df, THINGS, "two", NOW).record
+    assert (record["rows_quarantined"], record["rows_surviving"]) == (2, 1)
+    moved = {r["field"]: r["rows_affected"] for r in store.log("action_log").collect()}
+    assert moved == {"a": 1, "b": 2}
+    assert record["max_severity"] == "CRITICAL"
+
+
+def test_cast_on_write(spark, store):
+    batch = events_unsafe(spark, SMALL)
+    record = run_batch(store, batch, EVENTS, "cast", NOW, on_safe="cast").record
+    clean, held = store.clean("run_cast"), store.quarantine("run_cast")
+    assert dict(clean.dtypes)["value"] == "double" and dict(held.dtypes)["value"] == "string"
+    assert clean.count() == record["rows_surviving"] and held.count() == record["rows_quarantined"]
+    assert clean.count() + held.count() == 1000
+    run_batch(store, batch, EVENTS, "cast", NOW, on_safe="cast")
+    assert store.clean("run_cast").count() == record["rows_surviving"]
+
+
+def test_landed_drill_is_kept(store):
+    record = drill(store, "accounts", "column_added").record
+    landed = store.spark.read.parquet(record["drifted_path"])
+    assert landed.count() == 1500 and "credit_score" in landed.columns
+
+
+def test_bad_parameters(spark, store):
+    with pytest.raises(ValueError):
+        drill(store, "accounts", "melted")
+    with pytest.raises(ValueError):
+        run_drill(store, table(spark, SMALL, "events"), EVENTS, "column_added")
+
+
+def test_run_ids(spark):
+    assert resolve_run_id("", NOW) == resolve_run_id(None, NOW) == "run_20240131_120000"
+    raw = "a b/c-é_" + "x" * 60
+    assert resolve_run_id(raw, NOW) == "run_a_b_c___" + "x" * 32
+    (row,) = spark.range(1).select(sanitize_run_id(F.lit(raw)).alias("id")).collect()
+    assert row["id"] == resolve_run_id(raw, NOW)
+
+
+def test_logs_may_gain_columns(spark, store):
+    store.append_log("notes", spark.createDataFrame([("run_1", "a")], "run_id string, x string"), "run_1")
+    store.append_log("notes", spark.createDataFrame([("run_2", "b", 7)], "run_id string, x string, y int"), "run_2")
+    rows = {r["run_id"]: (r["x"], r["y"]) for r in store.log("notes").collect()}
+    assert rows == {"run_1": ("a", None), "run_2": ("b", 7)}
+
+
+def test_views_over_stored_logs(spark, store):
+    assert dashboard(store) == {}
+    for i, (entity, kind) in enumerate((("accounts", "column_added"), ("transactions", "type_changed"))):
+        drill(store, entity, kind, run_id=f"r{i}")
+    assert set(store.register_views()) == {"anomaly_log", "action_log", "run_summaries", "pipeline_log"}
+    assert [r["run_id"] for r in mirrored_runs(spark).collect()] == ["run_r1", "run_r0"]
+    views = {title: df.collect() for title, df in dashboard(store).items()}
+    assert {title: len(rows) for title, rows in views.items()} == {
+        "recent runs": 2, "anomalies": 2, "summaries": 2, "quarantine": 1,
+    }
+    assert len(recent_runs(store.log("pipeline_log"), 1).collect()) == 1
+    held = quarantine_counts(store.quarantine_counts()).first()
+    assert held["run_id"] == "run_r1" and held["n_rows"] == store.quarantine("run_r1").count()
+
+
+def test_counting_quarantines_reads_no_columns(store):
+    drill(store, "transactions", "type_changed")
+    plan = store.quarantine_counts()._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan and "_disposition" in plan.split("PartitionFilters")[1]
+
+
+def test_worst_severity_is_by_rank_not_by_name(spark):
+    log = spark.createDataFrame(
+        [("r1", "e", t, s, f) for t, s, f in (("a", "MEDIUM", "x"), ("b", "CRITICAL", "y"), ("a", "LOW", "z"))],
+        "run_id string, entity string, anomaly_type string, severity string, field string",
+    )
+    row = summarize_log(log).first()
+    assert (row["anomaly_count"], row["max_severity"]) == (3, "CRITICAL")
+    assert row["summary_text"] == (
+        "Schema drift in e (run r1). 3 event(s) of types ['a', 'b'] at severity "
+        "['CRITICAL', 'LOW', 'MEDIUM']. Affected fields: ['x', 'y', 'z']. "
+        "Healing actions were applied per the HEALING_ACTION_MATRIX."
+    )
+
+
+def test_records_and_log_summaries_agree(spark):
+    assessed = assess(events_drifted(spark, SMALL), EVENTS, "run_1", "2024-01-01 00:00:00")
+    fields = ["run_id", "entity", "anomaly_count", "max_severity", "summary_text"]
+    assert run_records(assessed).select(fields).collect() == (
+        summarize_log(anomalies_of(assessed)).select(fields).collect()
+    )
+
+
+def test_result_as_json(store):
+    result = drill(store, "accounts", "column_added")
+    assert json.loads(result.json())["max_severity"] == "LOW"
