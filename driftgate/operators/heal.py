@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from driftgate.functions.columns import col
 from driftgate.functions.probes import first_reason, reasons, unparseable
 from driftgate.operators.detect import (
+    Finding,
     any_of,
     count_columns,
     flag_columns,
@@ -30,6 +31,7 @@ from driftgate.settings import (
     FILL_NULL,
     QUARANTINE_BATCH,
     QUARANTINE_ROWS,
+    RULES,
 )
 from driftgate.sources.contracts import Contract
 from driftgate.sources.store import CLEAN, QUARANTINE
@@ -109,6 +111,22 @@ def _as_mapping(anomaly) -> Mapping:
     return anomaly.asDict() if isinstance(anomaly, Row) else anomaly
 
 
+def presume(findings: Iterable[Finding]) -> list[dict]:
+    """Anomalies to plan for before any value is tested.
+
+    A column that may hold bad values is split as if it did; if it does not, the split
+    leaves every row clean.
+    """
+    return [
+        {
+            "anomaly_type": f.anomaly_type,
+            "field": f.field,
+            "action": QUARANTINE_ROWS if f.probe is not None else RULES[f.anomaly_type].action,
+        }
+        for f in findings
+    ]
+
+
 def heal(
     df: DataFrame,
     contract: Contract,

@@ -12,16 +12,15 @@ from pyspark.sql import functions as F
 
 from driftgate.functions.columns import resolve_run_id
 from driftgate.operators.detect import (
-    Finding,
     actions_of,
     anomalies_of,
     compare_schema,
     outcome_columns,
 )
-from driftgate.operators.heal import heal
+from driftgate.operators.heal import heal, presume
 from driftgate.operators.mutate import inject
 from driftgate.plans.audit import SUMMARY_FIELDS, run_records
-from driftgate.settings import DRILL_KINDS, DRILLS, QUARANTINE_ROWS, RULES, Drill
+from driftgate.settings import DRILL_KINDS, DRILLS, Drill
 from driftgate.sources.contracts import Contract
 from driftgate.sources.store import RunStore
 
@@ -42,12 +41,6 @@ def _clock(as_of: datetime | None) -> datetime:
     return as_of or datetime.now()
 
 
-def _presumed(finding: Finding) -> dict:
-    """The anomaly to plan for: a column that may hold bad values is split as if it did."""
-    action = QUARANTINE_ROWS if finding.probe is not None else RULES[finding.anomaly_type].action
-    return {"anomaly_type": finding.anomaly_type, "field": finding.field, "action": action}
-
-
 def run_batch(
     store: RunStore,
     df: DataFrame,
@@ -76,7 +69,7 @@ def run_batch(
 
 def _run(store, df, contract, run_id, now, drift_type, force_critical, drifted_path, probe, on_safe):
     findings = compare_schema(df.schema, contract, probe)
-    healed = heal(df, contract, [_presumed(f) for f in findings], on_safe, probe)
+    healed = heal(df, contract, presume(findings), on_safe, probe)
     counts = store.write_split(healed, run_id)
     seen = {name: F.lit(n).cast("bigint") for name, n in counts.items()}
     as_of = F.lit(now.strftime("%Y-%m-%d %H:%M:%S"))

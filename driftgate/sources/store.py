@@ -1,25 +1,54 @@
 """The datasets a run leaves behind.
 
+    <root>/baselines/<entity>/                    good data, for drills
+    <root>/contracts/                             schema snapshots, every version
     <root>/drifted/_run_id=R/                     the batch as it arrived
     <root>/batches/_run_id=R/_disposition=clean/       repaired rows
     <root>/batches/_run_id=R/_disposition=quarantine/  rows held back, with reasons
     <root>/logs/<name>/run_id=R/                  log rows of the run
 
-Every write replaces the folder of its own run as a whole, so repeating a run
+Every write of a run replaces the folder of its own run as a whole, so repeating a run
 changes nothing and leaves no rows of the earlier attempt behind.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from driftgate.sources.contracts import (
+    CONTRACTS,
+    Contract,
+    MissingContractError,
+    load_contract,
+    save_snapshots,
+    snapshot_frame,
+)
+from driftgate.sources.tables import write_baseline
+
 CLEAN = "clean"
 QUARANTINE = "quarantine"
 
+# Columns of the logs.
+_ANOMALY = (
+    "anomaly_id STRING, run_id STRING, anomaly_type STRING, severity STRING, entity STRING, "
+    "field STRING, detected_at STRING, details STRING, action STRING"
+)
+_SUMMARY = (
+    "run_id STRING, entity STRING, drift_type STRING, force_critical BOOLEAN, anomaly_count BIGINT, "
+    "max_severity STRING, rows_quarantined BIGINT, rows_surviving BIGINT, summary_text STRING, "
+    "completed_at STRING"
+)
+LOG_SCHEMAS = {
+    "anomaly_log": _ANOMALY,
+    "action_log": f"{_ANOMALY}, applied_action STRING, rows_affected BIGINT, result_path STRING",
+    "run_summaries": _SUMMARY,
+    "pipeline_log": f"{_SUMMARY}, drifted_path STRING",
+}
+
 
 def _readable(read: Callable[[], DataFrame]) -> bool:
     """Whether a dataset is there; planning the read is enough to find out."""
@@ -38,6 +67,28 @@ class RunStore:
     def run_path(self, kind: str, run_id: str) -> str:
         return f"{self.root}/{kind}/_run_id={run_id}"
 
+    # -- baselines and contracts -----------------------------------------
+
+    def prepare(
+        self, baselines: Mapping[str, DataFrame], contracts: Iterable[Contract], as_of: str,
+        version: str = "1.0",
+    ) -> None:
+        """Replace the baselines and add a snapshot of the contracts."""
+        for entity, df in baselines.items():
+            write_baseline(df, f"{self.root}/baselines/{entity}")
+        save_snapshots(snapshot_frame(self.spark, contracts, as_of, version), f"{self.root}/contracts")
+
+    def baseline(self, entity: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/baselines/{entity}")
+
+    def contract(self, entity: str, registry: Mapping[str, Contract] = CONTRACTS) -> Contract:
+        """The contract in force for an entity; fails if none was ever saved."""
+        try:
+            snapshots = self.spark.read.parquet(f"{self.root}/contracts")
+        except AnalysisException as missing:
+            raise MissingContractError(f"no schema snapshot saved for {entity!r}") from missing
+        return load_contract(snapshots, entity, registry)
+
     # -- batches -----------------------------------------------------------
 
     def write_drifted(self, df: DataFrame, run_id: str) -> str:
@@ -45,6 +96,11 @@ class RunStore:
         df.write.mode("overwrite").parquet(path)
         return path
 
+    def drifted(self, run_id: str) -> DataFrame:
+        """The batch of a run as it arrived, with its id."""
+        path = self.run_path("drifted", run_id)
+        return self.spark.read.option("basePath", f"{self.root}/drifted").parquet(path)
+
     def write_split(self, healed, run_id: str) -> dict[str, int]:
         """Write clean and quarantined rows in one pass; return the counts seen on the way.
 
@@ -99,9 +155,17 @@ class RunStore:
         own = rows.drop("run_id").coalesce(1)
         own.write.mode("overwrite").parquet(f"{self.root}/logs/{name}/run_id={run_id}")
 
-    def log(self, name: str) -> DataFrame:
-        """All rows of a log, with the columns of every run; null where a run had none."""
-        rows = self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/logs/{name}")
+    def log(self, name: str, evolved: bool = False) -> DataFrame:
+        """All rows of a log.
+
+        The engine's own logs are read with their known columns, without opening any file.
+        With ``evolved``, and for other logs, the columns of every run are merged, null
+        where a run had none.
+        """
+        path = f"{self.root}/logs/{name}"
+        if name in LOG_SCHEMAS and not evolved:
+            return self.spark.read.schema(LOG_SCHEMAS[name]).parquet(path)
+        rows = self.spark.read.option("mergeSchema", "true").parquet(path)
         return rows.select("run_id", *[c for c in rows.columns if c != "run_id"])
 
     def has_log(self, name: str) -> bool:
@@ -109,8 +173,7 @@ class RunStore:
 
     def register_views(self) -> list[str]:
         """Make the logs queryable in SQL as temporary views; returns their names."""
-        names = ("anomaly_log", "action_log", "run_summaries", "pipeline_log")
-        made = [n for n in names if self.has_log(n)]
+        made = [n for n in LOG_SCHEMAS if self.has_log(n)]
         for name in made:
             self.log(name).createOrReplaceTempView(name)
         return made

@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from driftgate.operators.heal import heal
-from driftgate.plans.run import _presumed
 from driftgate.operators.detect import compare_schema
+from driftgate.operators.heal import heal, presume
 from driftgate.sources.contracts import Contract
 
 
@@ -25,7 +24,7 @@ def gate(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start the gate. What drifted follows from the stream's schema, once, at the start."""
-    anomalies = [_presumed(f) for f in compare_schema(stream.schema, contract, probe)]
+    anomalies = presume(compare_schema(stream.schema, contract, probe))
 
     def land(batch: DataFrame, batch_id: int) -> None:
         seen = Observation()

@@ -17,9 +17,10 @@ from driftgate.plans import (
     run_records,
     summarize_log,
 )
-from driftgate.sources import CONTRACTS, Contract, RunStore
+from driftgate.sources import CONTRACTS, Contract, MissingContractError, RunStore
+from driftgate.sources.store import LOG_SCHEMAS
 from tests.test_queries import SMALL
-from workload.drift import _GOLDEN
+from workload.drift import DRILL_CASES
 from workload.entities import BASELINES
 from workload.tables import EVENTS, events_drifted, events_unsafe, table
 
@@ -46,7 +47,7 @@ EXPECTED = {
 }
 
 
-@pytest.mark.parametrize(("entity", "kind", "force"), _GOLDEN)
+@pytest.mark.parametrize(("entity", "kind", "force"), DRILL_CASES)
 def test_every_drill_end_to_end(store, entity, kind, force):
     result = drill(store, entity, kind, force)
     severity, action = EXPECTED.get((kind, force), ("MEDIUM", "cast_and_warn"))
@@ -184,6 +185,27 @@ def test_run_ids(spark):
     assert row["id"] == resolve_run_id(raw, NOW)
 
 
+def test_prepared_store_serves_drills(spark, store):
+    with pytest.raises(MissingContractError):
+        store.contract("accounts")
+    baselines = {"accounts": BASELINES["accounts"](spark, SMALL)}
+    store.prepare(baselines, CONTRACTS.values(), "2024-01-01 00:00:00")
+    assert store.contract("accounts") == CONTRACTS["accounts"]
+    with pytest.raises(MissingContractError):
+        store.contract("unknown")
+    run_drill(store, store.baseline("accounts"), store.contract("accounts"), "type_changed", run_id="p", as_of=NOW)
+    landed = store.drifted("run_p")
+    assert landed.count() == 1500 and {r[0] for r in landed.select("_run_id").distinct().collect()} == {"run_p"}
+
+
+def test_known_logs_are_read_without_opening_files_first(spark, store):
+    drill(store, "accounts", "column_added")
+    for name, schema in LOG_SCHEMAS.items():
+        known, merged = store.log(name), store.log(name, evolved=True)
+        assert dict(known.dtypes) == dict(merged.dtypes)
+        assert known.select(merged.columns).collect() == merged.collect()
+
+
 def test_logs_may_gain_columns(spark, store):
     store.append_log("notes", spark.createDataFrame([("run_1", "a")], "run_id string, x string"), "run_1")
     store.append_log("notes", spark.createDataFrame([("run_2", "b", 7)], "run_id string, x string, y int"), "run_2")

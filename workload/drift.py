@@ -40,9 +40,9 @@ from workload.tables import (
     NATION_END,
     NATION_RUN,
     ORDERS,
-    TABLE_DRILLS,
     TABLE_CONTRACTS,
-    _TYPE,
+    TABLE_DRILLS,
+    TYPE_SQL,
     anomalies_sql,
     bad_sql,
     corrupt_sql,
@@ -114,7 +114,7 @@ def _schema_rows_sql(name: str, batch: str, tested: tuple[str, ...] = ()) -> str
     return f"""
     SELECT '{name}' AS entity, position, c.field, d.type, n_rows, n_values, n_unparseable
     FROM ({counts}) c
-    JOIN (SELECT column_name AS field, {_TYPE} AS type,
+    JOIN (SELECT column_name AS field, {TYPE_SQL} AS type,
                  (row_number() OVER ())::INTEGER AS position FROM (DESCRIBE {batch})) d
         ON c.field = d.field"""
 
@@ -131,7 +131,7 @@ _OBSERVED = {
     "customer": ("SELECT * EXCLUDE (c_acctbal) FROM customer", ()),
 }
 _EXPECTED_SQL = " UNION ALL ".join(
-    f"""SELECT '{n}' AS entity, column_name AS field, {_TYPE} AS expected_type,
+    f"""SELECT '{n}' AS entity, column_name AS field, {TYPE_SQL} AS expected_type,
         column_name IN ({", ".join(f"'{c}'" for c in sorted(TABLE_CONTRACTS[n].critical))}) AS critical
         FROM (DESCRIBE SELECT * FROM {n})"""
     for n in _OBSERVED
@@ -250,7 +250,7 @@ def detect_multi(spark, sf_dir):
     return detect(events_drifted(spark, sf_dir), EVENTS, "run_all", AS_OF)
 
 
-_GOLDEN = [
+DRILL_CASES = [
     (entity, kind, force)
     for kind, forces in (
         ("column_added", {e: (False,) for e in DRILLS}),
@@ -288,11 +288,11 @@ def _golden_sql(entity: str, kind: str, force: bool) -> str:
         count(*) - {bad} AS rows_surviving, {bad} AS rows_quarantined FROM {source}"""
 
 
-@query(" UNION ALL ".join(_golden_sql(*case) for case in _GOLDEN))
+@query(" UNION ALL ".join(_golden_sql(*case) for case in DRILL_CASES))
 def drill_outcomes(spark, sf_dir):
     """Every drill of the three entities: what is found, and where the rows end up."""
     outcomes = []
-    for entity, kind, force in _GOLDEN:
+    for entity, kind, force in DRILL_CASES:
         contract = CONTRACTS[entity]
         batch = drill(BASELINES[entity](spark, sf_dir), DRILLS[entity], kind, contract.key, force).df
         assessed = assess(batch, contract, f"run_{entity}", AS_OF)

@@ -22,12 +22,15 @@ _DRILLS = {
 
 
 def _store(spark, sf_dir, names=tuple(_DRILLS)) -> RunStore:
+    """A store prepared with the baselines the drills need, after those drills."""
     store = RunStore(spark, workspace(spark, "drills"))
+    entities = {_DRILLS[name][0] for name in names}
+    baselines = {entity: BASELINES[entity](spark, sf_dir) for entity in entities}
+    store.prepare(baselines, CONTRACTS.values(), "2024-01-31 00:00:00")
     for i, (name, (entity, kind, force)) in enumerate(_DRILLS.items()):
         if name in names:
-            baseline = BASELINES[entity](spark, sf_dir)
             as_of = _START + timedelta(minutes=i)
-            run_drill(store, baseline, CONTRACTS[entity], kind, force, name, as_of)
+            run_drill(store, store.baseline(entity), store.contract(entity), kind, force, name, as_of)
     return store
 
 

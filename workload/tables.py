@@ -135,7 +135,7 @@ def nation_run():
 
 # -- SQL of detection --------------------------------------------------------
 
-_TYPE = """CASE column_type WHEN 'BIGINT' THEN 'long' WHEN 'INTEGER' THEN 'integer'
+TYPE_SQL = """CASE column_type WHEN 'BIGINT' THEN 'long' WHEN 'INTEGER' THEN 'integer'
     WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
     ELSE lower(column_type) END"""
 
@@ -179,8 +179,8 @@ def anomalies_sql(
               FROM ({batch}) GROUP BY 1, 2) r
         CROSS JOIN (
             SELECT coalesce(e.column_name, a.column_name) AS field, e.t AS wanted, a.t AS got
-            FROM (SELECT column_name, {_TYPE} AS t FROM (DESCRIBE SELECT * FROM {base})) e
-            FULL JOIN (SELECT column_name, {_TYPE} AS t FROM (DESCRIBE {batch})) a
+            FROM (SELECT column_name, {TYPE_SQL} AS t FROM (DESCRIBE SELECT * FROM {base})) e
+            FULL JOIN (SELECT column_name, {TYPE_SQL} AS t FROM (DESCRIBE {batch})) a
                 ON e.column_name = a.column_name
             WHERE e.t IS DISTINCT FROM a.t) d)
     """
