@@ -52,10 +52,14 @@ class Healed:
     casts: frozenset[str] = field(default_factory=frozenset)
 
     def _repaired(self) -> list:
-        """Contract columns in contract order, then the others as they came."""
+        """Contract columns in contract order, then the others as they came.
+
+        Labels of an earlier run, on rows that come back from quarantine, give way to new ones.
+        """
+        kept = [name for name in self.source.columns if name not in _LABELS]
         if self.batch_reason:
-            return [col(name) for name in self.source.columns]
-        present = [name for name in self.source.columns if name not in self.dropped]
+            return [col(name) for name in kept]
+        present = [name for name in kept if name not in self.dropped]
         columns = []
         for name, data_type in self.contract.types().items():
             if name in present:

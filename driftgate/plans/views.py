@@ -6,6 +6,8 @@ than the limit.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,28 +15,36 @@ from driftgate.sources.store import RunStore
 
 # How many rows each view shows.
 RUNS, EVENTS, SUMMARIES, QUARANTINES, MIRRORED = 10, 20, 5, 10, 5
+# The columns of each view.
+RUN_COLUMNS = (
+    "run_id", "entity", "drift_type", "force_critical", "anomaly_count", "max_severity",
+    "rows_surviving", "rows_quarantined", "completed_at",
+)
+EVENT_COLUMNS = ("run_id", "entity", "anomaly_type", "severity", "field", "action", "detected_at")
+SUMMARY_COLUMNS = ("run_id", "entity", "drift_type", "max_severity", "summary_text", "completed_at")
+MIRROR_COLUMNS = (
+    "run_id", "entity", "drift_type", "max_severity", "rows_surviving", "rows_quarantined",
+)
+
+
+def _latest(log: DataFrame, columns: Sequence[str], newest: str, n: int) -> DataFrame:
+    ties = [F.desc("run_id")] + [F.col(c) for c in ("field",) if c in columns]
+    return log.select(*columns).orderBy(F.desc(newest), *ties).limit(n)
 
 
 def recent_runs(pipeline_log: DataFrame, n: int = RUNS) -> DataFrame:
     """The latest runs."""
-    return pipeline_log.select(
-        "run_id", "entity", "drift_type", "force_critical", "anomaly_count", "max_severity",
-        "rows_surviving", "rows_quarantined", "completed_at",
-    ).orderBy(F.desc("completed_at"), F.desc("run_id")).limit(n)
+    return _latest(pipeline_log, RUN_COLUMNS, "completed_at", n)
 
 
 def anomaly_events(anomaly_log: DataFrame, n: int = EVENTS) -> DataFrame:
     """The latest anomalies."""
-    return anomaly_log.select(
-        "run_id", "entity", "anomaly_type", "severity", "field", "action", "detected_at"
-    ).orderBy(F.desc("detected_at"), F.desc("run_id"), "field").limit(n)
+    return _latest(anomaly_log, EVENT_COLUMNS, "detected_at", n)
 
 
 def recent_summaries(summaries: DataFrame, n: int = SUMMARIES) -> DataFrame:
     """The latest incident summaries."""
-    return summaries.select(
-        "run_id", "entity", "drift_type", "max_severity", "summary_text", "completed_at"
-    ).orderBy(F.desc("completed_at"), F.desc("run_id")).limit(n)
+    return _latest(summaries, SUMMARY_COLUMNS, "completed_at", n)
 
 
 def quarantine_counts(per_run: DataFrame, n: int = QUARANTINES) -> DataFrame:
@@ -45,7 +55,7 @@ def quarantine_counts(per_run: DataFrame, n: int = QUARANTINES) -> DataFrame:
 def mirrored_runs(spark: SparkSession, view: str = "pipeline_log", n: int = MIRRORED) -> DataFrame:
     """The latest runs in SQL, over a view such as ``RunStore.register_views`` makes."""
     return spark.sql(
-        f"""SELECT run_id, entity, drift_type, max_severity, rows_surviving, rows_quarantined
+        f"""SELECT {", ".join(MIRROR_COLUMNS)}
             FROM {view} ORDER BY completed_at DESC, run_id DESC LIMIT {int(n)}"""
     )
 

@@ -93,7 +93,7 @@ class RunStore:
 
     def write_drifted(self, df: DataFrame, run_id: str) -> str:
         path = self.run_path("drifted", run_id)
-        df.write.mode("overwrite").parquet(path)
+        df.drop("_run_id").write.mode("overwrite").parquet(path)
         return path
 
     def drifted(self, run_id: str) -> DataFrame:
@@ -108,12 +108,12 @@ class RunStore:
         """
         seen = Observation()
         path = self.run_path("batches", run_id)
-        rows = healed.labelled(seen)
+        rows = healed.labelled(seen).drop("_run_id")
         if healed.casts:
             # Clean rows change type here, so the two halves cannot share one write.
             quarantined = rows.filter(F.col("_disposition") == QUARANTINE)
             quarantined.write.mode("overwrite").partitionBy("_disposition").parquet(path)
-            clean = healed.clean.withColumn("_disposition", F.lit(CLEAN))
+            clean = healed.clean.drop("_run_id").withColumn("_disposition", F.lit(CLEAN))
             clean.write.mode("append").partitionBy("_disposition").parquet(path)
         else:
             rows.write.mode("overwrite").partitionBy("_disposition").parquet(path)
@@ -135,6 +135,18 @@ class RunStore:
         """Quarantined rows of a run with their reasons; fails if the run held none back."""
         return self._batch(run_id, QUARANTINE)
 
+    def register_run(self, run_id: str) -> list[str]:
+        """Make the batches of a run queryable in SQL as temporary views; returns their names."""
+        reads = {
+            f"drifted_{run_id}": lambda: self.drifted(run_id),
+            f"clean_{run_id}": lambda: self.clean(run_id),
+            f"quarantine_{run_id}": lambda: self.quarantine(run_id),
+        }
+        made = [name for name, read in reads.items() if _readable(read)]
+        for name in made:
+            reads[name]().createOrReplaceTempView(name)
+        return made
+
     def quarantine_counts(self) -> DataFrame:
         """Quarantined rows of every run. Reads partition names and file footers only."""
         layout = "_run_id STRING, _disposition STRING"

@@ -17,7 +17,13 @@ from driftgate.plans import (
     run_records,
     summarize_log,
 )
-from driftgate.sources import CONTRACTS, Contract, MissingContractError, RunStore
+from driftgate.sources import (
+    CONTRACTS,
+    Contract,
+    MissingContractError,
+    RunStore,
+    tables_with_prefix,
+)
 from driftgate.sources.store import LOG_SCHEMAS
 from tests.test_queries import SMALL
 from workload.drift import DRILL_CASES
@@ -164,6 +170,30 @@ def test_cast_on_write(spark, store):
     assert store.clean("run_cast").count() == record["rows_surviving"]
 
 
+def test_quarantined_rows_may_come_back(spark, store):
+    run_batch(store, events_unsafe(spark, SMALL), EVENTS, "first", NOW)
+    held = store.quarantine("run_first")
+    mended = held.withColumn("value", F.when(F.col("value") == "N/A", "0").otherwise(F.col("value")))
+    record = run_batch(store, mended, EVENTS, "second", NOW).record
+    assert record["rows_surviving"] > 0 and record["rows_quarantined"] > 0
+    assert record["rows_surviving"] + record["rows_quarantined"] == held.count()
+    again = store.quarantine("run_second")
+    assert again.columns == held.columns
+    assert again.select("_run_id").distinct().collect() == [("run_second",)]
+
+
+def test_batches_of_a_run_as_views(spark, store):
+    drill(store, "transactions", "type_changed", run_id="v")
+    names = ["drifted_run_v", "clean_run_v", "quarantine_run_v"]
+    assert store.register_run("run_v") == names
+    counts = [spark.sql(f"SELECT count(*) FROM {name}").first()[0] for name in names]
+    assert counts[0] == counts[1] + counts[2] == 1000
+    listed = tables_with_prefix(spark, "quarantine_run_v", "default")
+    assert [r[0] for r in listed.collect()] == ["quarantine_run_v"]
+    drill(store, "accounts", "column_added", run_id="w")
+    assert store.register_run("run_w") == ["drifted_run_w", "clean_run_w"]
+
+
 def test_landed_drill_is_kept(store):
     record = drill(store, "accounts", "column_added").record
     landed = store.spark.read.parquet(record["drifted_path"])

@@ -245,6 +245,25 @@ def detect_retype_unsafe(spark, sf_dir):
     return detect(events_unsafe(spark, sf_dir), EVENTS, day_run(), day_end())
 
 
+_DATES = f"SELECT * REPLACE ({corrupt_sql('o_orderdate', 'o_orderkey::VARCHAR')} AS o_orderdate) FROM orders"
+
+
+@query(f"""
+SELECT 'run_' || o_orderstatus AS run_id, 'o_orderdate' AS field,
+    'schema_drift_type_change_unsafe' AS anomaly_type, 'CRITICAL' AS severity,
+    'Type drift on ''o_orderdate'': expected timestamp_ntz, got string ('
+        || count(*) FILTER (WHERE TRY_CAST(o_orderdate AS TIMESTAMP) IS NULL)
+        || ' unparseable values)' AS details
+FROM ({_DATES}) GROUP BY o_orderstatus
+""")
+def detect_retype_any_type(spark, sf_dir):
+    """The same with every type tested, here dates that arrive as text with junk among them."""
+    batch = retype_to_string(table(spark, sf_dir, "orders"), "o_orderdate", ORDERS.key, corrupt=True)
+    run = F.concat(F.lit("run_"), F.col("o_orderstatus"))
+    found = detect(batch, ORDERS, run, AS_OF, probe="all")
+    return found.select("run_id", "field", "anomaly_type", "severity", "details")
+
+
 @query(detect_sql("events", EVENTS_DRIFTED, "'run_all'", f"'{AS_OF}'", ("value",)))
 def detect_multi(spark, sf_dir):
     return detect(events_drifted(spark, sf_dir), EVENTS, "run_all", AS_OF)

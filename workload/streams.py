@@ -27,7 +27,7 @@ def _gated(spark, sf_dir) -> str:
 @query(f"""
 SELECT event_id, value, 'unparseable:value' AS _quarantine_reason
 FROM ({EVENTS_UNSAFE}) WHERE {bad_sql("value")}
-""")
+""", name="stream_gate")
 def stream_quarantine(spark, sf_dir):
     held = read_gate(spark, _gated(spark, sf_dir), "quarantine")
     return held.select("event_id", "value", "_quarantine_reason")
