@@ -29,6 +29,7 @@ from driftgate.operators import (
 )
 from driftgate.plans import run_batch
 from driftgate.sources import RunStore, build_session, read_table, workspace
+from driftgate.streaming import gate
 from workload.tables import EVENTS, LINE_SALTS, LINEITEM, lines_unsafe, table
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -93,6 +94,13 @@ def main() -> None:
     orders = landed(spark, table(spark, SF_DIR, "orders"))
     store = RunStore(spark, workspace(spark, "bench-runs"))
 
+    shipped = F.date_format("l_shipdate", "yyyyMMdd")
+    stream = spark.readStream.schema(events.schema).parquet(events.inputFiles()[0].rsplit("/", 1)[0])
+
+    def stream_all():
+        root = workspace(spark, "bench-gate")
+        gate(stream, EVENTS, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+
     def quarantine_only():
         found = detect(one, LINEITEM, "bench", AS_OF)
         drain(heal(one, LINEITEM, found).quarantine)
@@ -105,9 +113,11 @@ def main() -> None:
         "run_four_columns": lambda: split(store, four, LINEITEM),
         "run_full_batch": lambda: split(store, lost, LINEITEM),
         "run_events": lambda: split(store, events, EVENTS),
+        "detect_many_runs": lambda: drain(detect(four, LINEITEM, shipped, AS_OF)),
         "null_profile": lambda: null_profile(lines, LINEITEM).collect(),
         "volume_anomaly": lambda: volume_by_day(events, "ts").collect(),
         "fk_orphans": lambda: orphan_summary(lines, "l_orderkey", orders, "o_orderkey").collect(),
+        "stream_gate": stream_all,
         "key_duplicates": lambda: drain(key_duplicates(lines, LINEITEM.key)),
     }
     stepwise = {

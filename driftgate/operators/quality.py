@@ -39,7 +39,8 @@ def null_profile(
         checks.append((f.name, "null", col(f.name).isNull(), null_limit))
         if isinstance(f.dataType, T.StringType):
             checks.append((f.name, "empty", F.trim(col(f.name)) == "", "empty_rate"))
-    checks.append(("*", "all_null", all_columns_null(payload), "all_null_rate"))
+    if payload:
+        checks.append(("*", "all_null", all_columns_null(payload), "all_null_rate"))
     counted = df.agg(
         F.count(F.lit(1)).alias("rows"),
         *[count_where(test).alias(f"hits_{i}") for i, (_, _, test, _) in enumerate(checks)],

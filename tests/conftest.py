@@ -12,7 +12,7 @@ from driftgate.sources import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        "local[4]",
+        "local[4,3]",  # failed tasks are tried again, as on a cluster
         **{
             "spark.sql.shuffle.partitions": 4,
             "spark.driver.memory": "4g",

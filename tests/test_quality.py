@@ -32,6 +32,11 @@ def test_null_profile(spark):
     }
 
 
+def test_a_table_of_nothing_but_its_key_has_no_content_check(spark):
+    contract = Contract.of("ids", "id long", (), ("id",))
+    assert [r["field"] for r in null_profile(spark.range(3), contract).collect()] == ["id"]
+
+
 def test_a_rate_at_its_limit_is_not_flagged(spark):
     df = spark.range(20).select("id", F.when(F.col("id") > 0, "x").alias("name"), F.lit("y").alias("note"))
     (row,) = null_profile(df, CONTRACT).filter("field = 'name' AND metric = 'null'").collect()

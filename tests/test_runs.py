@@ -2,6 +2,7 @@ import json
 from datetime import datetime
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from driftgate.functions import resolve_run_id, sanitize_run_id
@@ -106,6 +107,24 @@ def test_batch_is_read_once(spark, store):
     assert reads.value == 100
 
 
+def test_a_retried_task_is_counted_once(spark, store):
+    def stumble(rows):
+        context = TaskContext.get()
+        for i, row in enumerate(rows):
+            if i == 20 and context.partitionId() == 1 and context.attemptNumber() == 0:
+                raise RuntimeError("lost halfway")
+            yield row
+
+    shaky = spark.createDataFrame(spark.range(100, numPartitions=4).rdd.mapPartitions(stumble), "id long")
+    df = shaky.select(
+        "id", F.when(F.col("id") % 10 == 0, "x").otherwise("1").alias("a"), F.lit("2").alias("b"),
+        F.lit(1).alias("c"),
+    )
+    record = run_batch(store, df, THINGS, "shaky", NOW).record
+    assert (record["rows_quarantined"], record["rows_surviving"]) == (10, 90)
+    assert store.clean("run_shaky").count() == 90 and store.quarantine("run_shaky").count() == 10
+
+
 def test_rerun_replaces_its_own_rows_only(spark, store):
     batch = events_unsafe(spark, SMALL)
     run_batch(store, batch, EVENTS, "a", NOW)

@@ -48,11 +48,11 @@ def test_tables_by_name_and_path(spark, root):
 
 
 def test_tables_with_prefix(spark, root):
-    for name in ("quarantine_b", "quarantine_a", "clean_a"):
+    for name in ("held_b", "held_a", "other_a"):
         spark.range(1).createOrReplaceTempView(name)
-    listed = [r[0] for r in tables_with_prefix(spark, "quarantine_", "default").collect()]
-    assert listed == ["quarantine_b", "quarantine_a"]
-    assert tables_with_prefix(spark, "quarantine_", "default", 1).count() == 1
+    listed = [r[0] for r in tables_with_prefix(spark, "held_", "default").collect()]
+    assert listed == ["held_b", "held_a"]
+    assert tables_with_prefix(spark, "held_", "default", 1).count() == 1
 
 
 def test_local_frame_is_one_partition(spark):
