@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from driftgate.operators import detect, heal
 from driftgate.streaming import count_windows, gate, read_gate, read_gate_log, read_windows
-from tests.test_queries import SMALL
+from tests.test_queries import QUERIES, SMALL
 from workload.tables import EVENTS, events_unsafe
 
 
@@ -75,3 +75,10 @@ def test_windows_by_group(spark, root):
     count_windows(stream, "ts", f"{root}/out", f"{root}/checkpoint", by=["g"]).awaitTermination()
     rows = {(r["window_start"].day, r["g"]): r["n_rows"] for r in read_windows(spark, f"{root}/out").collect()}
     assert rows == {(1, "a"): 1, (1, "b"): 1, (2, "a"): 1}
+
+
+def test_queries_take_a_table_of_many_files(spark, root):
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    events.repartition(3).write.parquet(f"{root}/events.parquet")
+    assert QUERIES["stream_gate_log"](spark, root).first()["rows_total"] == 1000
+    assert QUERIES["stream_volume"](spark, root).agg(F.sum("n_rows")).first()[0] == 1000
