@@ -168,9 +168,10 @@ def _entries(findings, contract, run_id, as_of, counts) -> Column:
         return F.array().cast(_ENTRIES)
     bad, acted, moved, stopped = [], [], [], False
     none = F.lit(None).cast("bigint")
+    tested = [f.field for f in findings if f.probe is not None]
     for finding in findings:
-        tested = finding.probe is not None
-        bad.append(counts[f"bad_{sum(b is not none for b in bad)}"] if tested else none)
+        known_bad = finding.field in tested
+        bad.append(counts[f"bad_{tested.index(finding.field)}"] if known_bad else none)
         whole = finding.anomaly_type == REMOVED_CRITICAL and not stopped
         moved.append(counts["rows_total"] if whole else bad[-1])
         acted.append(not stopped)
@@ -260,7 +261,7 @@ def detect(df: DataFrame, contract: Contract, run_id, as_of, probe: str = "numer
         return anomalies_of(assess(df, contract, run_id, as_of, probe))
     unread = {"rows_total": F.lit(None).cast("bigint"), "rows_bad": F.lit(None).cast("bigint")}
     columns = outcome_columns(findings, contract, F.lit(run_id), F.lit(as_of), unread)
-    return anomalies_of(df.sparkSession.range(1).select(*columns))
+    return anomalies_of(df.sparkSession.range(1, numPartitions=1).select(*columns))
 
 
 def in_report_order(anomalies: DataFrame) -> DataFrame:

@@ -28,7 +28,6 @@ from workload.tables import (
     CUSTOMER,
     DAY_END,
     DAY_RUN,
-    EVENT_KEY,
     EVENTS,
     EVENTS_DRIFTED,
     EVENTS_UNSAFE,
