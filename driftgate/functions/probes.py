@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ def unparseable(value: Column, target: T.DataType = T.DoubleType()) -> Column:
     """
     failed = value.try_cast(target).isNull()
     if isinstance(target, T.DoubleType):
-        failed = F.when(value.rlike("(?i)[0-9]|nan|inf"), failed).otherwise(True)
+        return F.when(value.rlike("(?i)[0-9]|nan|inf"), failed).otherwise(value.isNotNull())
     return value.isNotNull() & failed
 
 
@@ -44,9 +44,17 @@ def first_reason(bad: Mapping[str, Column]) -> Column:
     return F.coalesce(*[F.when(test, F.lit(reason_text(name))) for name, test in bad.items()])
 
 
-def all_columns_null(names) -> Column:
+def any_of(tests: Iterable[Column]) -> Column:
+    """True where at least one test is true, else false.
+
+    Flat, where a chain of ORs over hundreds of columns would nest too deep to plan.
+    """
+    tests = list(tests)
+    if len(tests) == 1:
+        return tests[0]
+    return F.coalesce(*[F.when(test, F.lit(True)) for test in tests], F.lit(False))
+
+
+def all_columns_null(names: Iterable[str]) -> Column:
     """True where every named column is null."""
-    test = F.lit(True)
-    for name in names:
-        test = test & col(name).isNull()
-    return test
+    return ~any_of([col(name).isNotNull() for name in names])

@@ -8,17 +8,15 @@ and which can cover many runs at once when the run id is a column.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftgate.functions.columns import anomaly_id, as_column, col, count_where, zipped
-from driftgate.functions.probes import unparseable
+from driftgate.functions.probes import any_of, unparseable
 from driftgate.functions.text import type_name
 from driftgate.settings import (
     ADDED,
@@ -114,11 +112,6 @@ def bad_value_tests(findings: Sequence[Finding]) -> dict[str, Column]:
     return {f.field: unparseable(col(f.field), f.probe) for f in findings if f.probe is not None}
 
 
-def any_of(tests: Iterable[Column]) -> Column:
-    tests = list(tests)
-    return reduce(or_, tests) if tests else F.lit(False)
-
-
 def flag_columns(tests: Mapping[str, Column]) -> list[Column]:
     """The tests as columns. Selecting them before use has each value parsed only once."""
     return [test.alias(f"_bad_{i}") for i, test in enumerate(tests.values())]

@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftgate.functions.columns import col
-from driftgate.functions.probes import first_reason, reasons, unparseable
+from driftgate.functions.probes import any_of, first_reason, reasons, unparseable
 from driftgate.operators.detect import (
     Finding,
-    any_of,
     count_columns,
     flag_columns,
     flags,
@@ -111,6 +110,16 @@ class Healed:
         return self.labelled().filter(F.col("_disposition") == QUARANTINE).drop("_disposition")
 
 
+    @property
+    def quarantine_by_reason(self) -> DataFrame:
+        """Rows held back, once per reason, which is in ``reason``."""
+        # Every such row has a reason; the outer form keeps Spark from testing for it by
+        # working out the reasons a second time below.
+        held = self.quarantine
+        kept = [col(name) for name in held.columns if name not in _LABELS]
+        return held.select(*kept, F.explode_outer("_quarantine_reasons").alias("reason"))
+
+
 def _as_mapping(anomaly) -> Mapping:
     return anomaly.asDict() if isinstance(anomaly, Row) else anomaly
 

@@ -53,6 +53,11 @@ def test_row_with_two_bad_values_keeps_both_reasons(spark):
         1: "unparseable:a", 2: "unparseable:b", 5: "unparseable:a",
     }
     assert sorted(r["id"] for r in result.clean.collect()) == [3, 4]
+    by_reason = result.quarantine_by_reason
+    assert by_reason.columns == ["id", "a", "b", "when", "name", "reason"]
+    assert sorted((r["id"], r["reason"]) for r in by_reason.collect()) == [
+        (1, "unparseable:a"), (1, "unparseable:b"), (2, "unparseable:b"), (5, "unparseable:a"),
+    ]
 
 
 def test_null_fill_has_the_contract_type_and_place(spark):

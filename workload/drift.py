@@ -398,11 +398,8 @@ _LINES = "SELECT * REPLACE (" + ", ".join(
 ))
 def quarantine_multi_reason(spark, sf_dir):
     """Two columns with junk in one batch: each held-back row once per reason."""
-    held = _healed(lines_unsafe(spark, sf_dir), LINEITEM).quarantine
-    return held.select(
-        "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity",
-        F.explode("_quarantine_reasons").alias("reason"),
-    )
+    held = _healed(lines_unsafe(spark, sf_dir), LINEITEM).quarantine_by_reason
+    return held.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "reason")
 
 
 @query(f"""
