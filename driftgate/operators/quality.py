@@ -104,6 +104,7 @@ def domain_share(df: DataFrame, column: str, weights: Mapping[str, float]) -> Da
     n_rows = F.coalesce(F.col("n"), F.lit(0).cast("bigint"))
     # One row per domain value reaches the window.
     everything = F.sum(n_rows).over(Window.partitionBy())
+    # At most one row per domain value, and one for the others.
     return expected.join(F.broadcast(counted), "value", "left").select(
         "value",
         n_rows.alias("n_rows"),

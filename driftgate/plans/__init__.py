@@ -9,6 +9,7 @@ from driftgate.plans.views import (
     quarantine_counts,
     recent_runs,
     recent_summaries,
+    stored_quarantines,
 )
 
 __all__ = [
@@ -22,5 +23,6 @@ __all__ = [
     "run_batch",
     "run_drill",
     "run_records",
+    "stored_quarantines",
     "summarize_log",
 ]

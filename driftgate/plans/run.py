@@ -79,9 +79,9 @@ def _run(store, df, contract, run_id, now, drift_type, force_critical, drifted_p
     records = run_records(assessed, drift_type, force_critical, drifted_path)
     logs = {"run_summaries": records.select(*SUMMARY_FIELDS), "pipeline_log": records}
     if findings:
-        path = F.when(F.col("rows_affected") > 0, F.lit(store.run_path("batches", run_id)))
+        held = F.when(F.col("rows_affected") > 0, F.lit(store.quarantine_path(run_id)))
         logs["anomaly_log"] = anomalies_of(assessed)
-        logs["action_log"] = actions_of(assessed).withColumn("result_path", path)
+        logs["action_log"] = actions_of(assessed).withColumn("result_path", held)
     # A handful of rows each: the time goes into starting the jobs, so start them together.
     with ThreadPoolExecutor(len(logs)) as pool:
         written = [pool.submit(store.append_log, name, df, run_id) for name, df in logs.items()]

@@ -48,10 +48,18 @@ def recent_summaries(summaries: DataFrame, n: int = SUMMARIES) -> DataFrame:
 
 
 def quarantine_counts(per_run: DataFrame, n: int = QUARANTINES) -> DataFrame:
-    """Quarantined rows of the last runs by id; see ``RunStore.quarantine_counts``."""
+    """The last runs by id that hold quarantined rows, with how many."""
     return per_run.filter(F.col("n_rows") > 0).orderBy(F.desc("run_id")).limit(n)
 
 
+def stored_quarantines(store: RunStore, n: int = QUARANTINES) -> DataFrame:
+    """The same, counted from what is stored. The log tells which runs to visit."""
+    log = store.log("pipeline_log")
+    logged = log.select("run_id", F.col("rows_quarantined").alias("n_rows"))
+    run_ids = [row["run_id"] for row in quarantine_counts(logged, n).collect()]
+    return quarantine_counts(store.quarantine_counts(run_ids), n)
+
+
 def mirrored_runs(spark: SparkSession, view: str = "pipeline_log", n: int = MIRRORED) -> DataFrame:
     """The latest runs in SQL, over a view such as ``RunStore.register_views`` makes."""
     return spark.sql(
@@ -65,10 +73,9 @@ def dashboard(store: RunStore) -> dict[str, DataFrame]:
     views = {}
     if store.has_log("pipeline_log"):
         views["recent runs"] = recent_runs(store.log("pipeline_log"))
+        views["quarantine"] = stored_quarantines(store)
     if store.has_log("anomaly_log"):
         views["anomalies"] = anomaly_events(store.log("anomaly_log"))
     if store.has_log("run_summaries"):
         views["summaries"] = recent_summaries(store.log("run_summaries"))
-    if store.has_batches():
-        views["quarantine"] = quarantine_counts(store.quarantine_counts())
     return views

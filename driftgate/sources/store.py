@@ -13,7 +13,7 @@ changes nothing and leaves no rows of the earlier attempt behind.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -67,6 +67,9 @@ class RunStore:
     def run_path(self, kind: str, run_id: str) -> str:
         return f"{self.root}/{kind}/_run_id={run_id}"
 
+    def quarantine_path(self, run_id: str) -> str:
+        return f"{self.run_path('batches', run_id)}/_disposition={QUARANTINE}"
+
     # -- baselines and contracts -----------------------------------------
 
     def prepare(
@@ -147,19 +150,21 @@ class RunStore:
             reads[name]().createOrReplaceTempView(name)
         return made
 
-    def quarantine_counts(self) -> DataFrame:
-        """Quarantined rows of every run. Reads partition names and file footers only."""
+    def quarantine_counts(self, run_ids: Sequence[str] | None = None) -> DataFrame:
+        """Quarantined rows by run, of the given runs or of all.
+
+        Only the partitions asked for are visited, and of their files only the footers.
+        """
         layout = "_run_id STRING, _disposition STRING"
         held = self.spark.read.schema(layout).parquet(f"{self.root}/batches")
+        if run_ids is not None:
+            held = held.filter(F.col("_run_id").isin(*run_ids))
         return (
             held.filter(F.col("_disposition") == QUARANTINE)
             .groupBy(F.col("_run_id").alias("run_id"))
             .agg(F.count("*").alias("n_rows"))
         )
 
-    def has_batches(self) -> bool:
-        return _readable(self.quarantine_counts)
-
     # -- logs --------------------------------------------------------------
 
     def append_log(self, name: str, rows: DataFrame, run_id: str) -> None:

@@ -10,10 +10,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from driftgate.functions.columns import col
 
+_ZONED_EPOCH = "TIMESTAMP'1970-01-01 00:00:00Z'"
+_PLAIN_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
 
 def count_windows(
     stream: DataFrame,
@@ -25,16 +29,25 @@ def count_windows(
     by: Sequence[str] = (),
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Start counting. Rows later than ``lateness`` are left out; the query's progress counts them."""
-    # Watermarks need a timestamp with a time zone; the cast reads a plain one in the session's.
-    timed = stream.withColumn("_event_time", col(ts).cast("timestamp"))
+    """Start counting. Rows later than ``lateness`` are left out; the query's progress counts them.
+
+    Watermarks need timestamps with a zone. Plain ones are counted by their own clock, whatever
+    the session's zone, and the windows come back as plain timestamps.
+    """
+    zoned_epoch, plain_epoch = F.expr(_ZONED_EPOCH), F.expr(_PLAIN_EPOCH)
+    zoneless = isinstance(stream.schema[ts].dataType, T.TimestampNTZType)
+    event_time = zoned_epoch + (col(ts) - plain_epoch) if zoneless else col(ts)
+    start, end = F.col("_window.start"), F.col("_window.end")
+    if zoneless:
+        start, end = (plain_epoch + (edge - zoned_epoch) for edge in (start, end))
+    timed = stream.withColumn("_event_time", event_time)
     counted = (
         timed.withWatermark("_event_time", lateness)
         .groupBy(F.window("_event_time", window).alias("_window"), *map(col, by))
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .select(
-            F.col("_window.start").cast("timestamp_ntz").alias("window_start"),
-            F.col("_window.end").cast("timestamp_ntz").alias("window_end"),
+            start.alias("window_start"),
+            end.alias("window_end"),
             *map(col, by),
             "n_rows",
         )

@@ -123,5 +123,12 @@ def test_each_value_is_parsed_once_when_labelled(spark):
     assert plan.count("try_cast(") == 2
 
 
+def test_null_values_are_skipped_at_the_scan(spark, root):
+    path = f"{root}/batch"
+    spark.createDataFrame([(1, "x", None)], "id long, a string, b double").write.parquet(path)
+    plan = healed(spark.read.parquet(path), CONTRACT).quarantine._jdf.queryExecution().executedPlan()
+    assert "PushedFilters: [IsNotNull(a)]" in plan.toString()
+
+
 def test_anomaly_fields_are_the_documented_nine():
     assert len(ANOMALY_FIELDS) == 9

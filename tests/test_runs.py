@@ -11,11 +11,11 @@ from driftgate.operators.detect import anomalies_of, assess
 from driftgate.plans import (
     dashboard,
     mirrored_runs,
-    quarantine_counts,
     recent_runs,
     run_batch,
     run_drill,
     run_records,
+    stored_quarantines,
     summarize_log,
 )
 from driftgate.sources import (
@@ -79,6 +79,7 @@ def test_every_drill_end_to_end(store, entity, kind, force):
         assert clean.count() == record["rows_surviving"]
         assert set(clean.columns) == set(CONTRACTS[entity].types()) | {"_run_id"}
     if record["rows_quarantined"]:
+        assert store.spark.read.parquet(logged["result_path"]).count() == record["rows_quarantined"]
         assert store.quarantine("run_drill").count() == record["rows_quarantined"]
 
 
@@ -144,7 +145,9 @@ def test_run_without_drift(spark, store):
     assert record["summary_text"] == "No schema drift detected for events in run run_calm."
     assert not store.has_log("anomaly_log")
     assert store.clean("run_calm").count() == 1000
-    assert set(dashboard(store)) == {"recent runs", "summaries", "quarantine"}
+    views = dashboard(store)
+    assert set(views) == {"recent runs", "summaries", "quarantine"}
+    assert views["quarantine"].count() == 0
 
 
 def test_empty_batch(spark, store):
@@ -273,14 +276,17 @@ def test_views_over_stored_logs(spark, store):
         "recent runs": 2, "anomalies": 2, "summaries": 2, "quarantine": 1,
     }
     assert len(recent_runs(store.log("pipeline_log"), 1).collect()) == 1
-    held = quarantine_counts(store.quarantine_counts()).first()
+    held = stored_quarantines(store).first()
     assert held["run_id"] == "run_r1" and held["n_rows"] == store.quarantine("run_r1").count()
 
 
 def test_counting_quarantines_reads_no_columns(store):
     drill(store, "transactions", "type_changed")
-    plan = store.quarantine_counts()._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<>" in plan and "_disposition" in plan.split("PartitionFilters")[1]
+    counts = store.quarantine_counts(["run_drill"])
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters")[1]
+    assert "ReadSchema: struct<>" in plan and "_disposition" in pruned and "run_drill" in pruned
+    assert store.quarantine_counts(["run_other"]).count() == 0
 
 
 def test_worst_severity_is_by_rank_not_by_name(spark):

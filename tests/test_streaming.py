@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from driftgate.operators import detect, heal
@@ -82,3 +83,23 @@ def test_queries_take_a_table_of_many_files(spark, root):
     events.repartition(3).write.parquet(f"{root}/events.parquet")
     assert QUERIES["stream_gate_log"](spark, root).first()["rows_total"] == 1000
     assert QUERIES["stream_volume"](spark, root).agg(F.sum("n_rows")).first()[0] == 1000
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_plain_timestamps_are_counted_by_their_own_clock(spark, root, zone):
+    df = spark.createDataFrame([(at(1, 0, 1),), (at(1, 23, 59),), (at(2, 0, 0),)], "ts timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        _, stream = landing(spark, root, df, 1)
+        count_windows(stream, "ts", f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        rows = {(r["window_start"], r["window_end"]): r["n_rows"] for r in read_windows(spark, f"{root}/out").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert rows == {(at(1), at(2)): 2, (at(2), at(3)): 1}
+
+
+def test_zoned_timestamps_stay_zoned(spark, root):
+    df = spark.createDataFrame([(at(1, 5),)], "ts timestamp")
+    _, stream = landing(spark, root, df, 1)
+    count_windows(stream, "ts", f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    assert dict(read_windows(spark, f"{root}/out").dtypes)["window_start"] == "timestamp"

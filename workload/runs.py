@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from driftgate.plans import quarantine_counts, run_drill
+from driftgate.plans import run_drill, stored_quarantines
 from driftgate.sources import CONTRACTS, RunStore, workspace
 from workload.entities import BASELINES
 from workload.registry import query
@@ -60,7 +60,7 @@ def drill_runs(spark, sf_dir):
 def drill_quarantines(spark, sf_dir):
     """Rows in the quarantine dataset, counted from what was written."""
     store = _store(spark, sf_dir, ("removed critical", "retyped", "added"))
-    return quarantine_counts(store.quarantine_counts())
+    return stored_quarantines(store)
 
 
 @query(f"""
