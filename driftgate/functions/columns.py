@@ -14,9 +14,14 @@ _RUN_ID_LENGTH = 40
 _RUN_ID_PREFIX = "run_"
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text, also when it holds dots or backticks."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def col(name: str) -> Column:
-    """Reference a column by its exact name, also when it holds dots or backticks."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Reference a column by its exact name."""
+    return F.col(quoted(name))
 
 
 def as_column(value) -> Column:

@@ -8,8 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftgate.functions.columns import col
-
 
 def unparseable(value: Column, target: T.DataType = T.DoubleType()) -> Column:
     """True where ``value`` is present but does not parse as ``target``; never null.
@@ -53,8 +51,3 @@ def any_of(tests: Iterable[Column]) -> Column:
     if len(tests) == 1:
         return tests[0]
     return F.coalesce(*[F.when(test, F.lit(True)) for test in tests], F.lit(False))
-
-
-def all_columns_null(names: Iterable[str]) -> Column:
-    """True where every named column is null."""
-    return ~any_of([col(name).isNotNull() for name in names])

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftgate.functions.columns import col, count_where, zipped
+from driftgate.functions.columns import count_where, quoted, zipped
 from driftgate.functions.text import type_name
 from driftgate.operators.detect import bad_value_tests, compare_schema, flag_columns, flags
 from driftgate.settings import (
@@ -38,10 +38,10 @@ def schema_rows(df: DataFrame, entity: str, contract: Contract | None = None) ->
     findings = compare_schema(df.schema, contract) if contract else []
     tests = bad_value_tests(findings)
     fields = [f for f in df.schema.fields if not f.name.startswith("_")]
-    flagged = df.select(*[col(f.name) for f in fields], *flag_columns(tests))
+    flagged = df.select(*[quoted(f.name) for f in fields], *flag_columns(tests))
     counted = flagged.agg(
         F.count(F.lit(1)).alias("rows"),
-        *[F.count(col(f.name)).alias(f"values_{i}") for i, f in enumerate(fields)],
+        *[F.expr(f"count({quoted(f.name)})").alias(f"values_{i}") for i, f in enumerate(fields)],
         *[count_where(flag).alias(f"bad_{i}") for i, flag in enumerate(flags(tests).values())],
     )
     bad = {name: F.col(f"bad_{i}") for i, name in enumerate(tests)}

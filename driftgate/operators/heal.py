@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftgate.functions.columns import col
+from driftgate.functions.columns import col, quoted
 from driftgate.functions.probes import any_of, first_reason, reasons, unparseable
 from driftgate.operators.detect import (
     Finding,
@@ -57,16 +57,16 @@ class Healed:
         """
         kept = [name for name in self.source.columns if name not in _LABELS]
         if self.batch_reason:
-            return [col(name) for name in kept]
+            return [quoted(name) for name in kept]
         present = [name for name in kept if name not in self.dropped]
         columns = []
         for name, data_type in self.contract.types().items():
             if name in present:
-                columns.append(col(name))
+                columns.append(quoted(name))
             elif name in self.filled:
                 columns.append(F.lit(None).cast(data_type).alias(name))
         expected = self.contract.types()
-        return columns + [col(name) for name in present if name not in expected]
+        return columns + [quoted(name) for name in present if name not in expected]
 
     def labelled(self, seen: Observation | None = None) -> DataFrame:
         """Every row of the batch with its reasons and disposition.
@@ -92,7 +92,7 @@ class Healed:
         else:
             labels = [none, F.lit(None).cast("array<string>"), F.lit(CLEAN)]
         return tested.select(
-            *map(col, names), *[c.alias(name) for c, name in zip(labels, _LABELS, strict=True)]
+            *map(quoted, names), *[c.alias(name) for c, name in zip(labels, _LABELS, strict=True)]
         )
 
     @property
@@ -116,7 +116,7 @@ class Healed:
         # Every such row has a reason; the outer form keeps Spark from testing for it by
         # working out the reasons a second time below.
         held = self.quarantine
-        kept = [col(name) for name in held.columns if name not in _LABELS]
+        kept = [quoted(name) for name in held.columns if name not in _LABELS]
         return held.select(*kept, F.explode_outer("_quarantine_reasons").alias("reason"))
 
 

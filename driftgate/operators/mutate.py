@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftgate.functions.columns import col, hash_bucket
+from driftgate.functions.columns import col, hash_bucket, quoted
 from driftgate.settings import DRILL_KINDS, ERROR_SHARE, NOT_AVAILABLE_SHARE, Drill
 from driftgate.sources.store import RunStore
 
@@ -35,7 +35,7 @@ def _require(df: DataFrame, name: str) -> None:
 def drop_column(df: DataFrame, name: str) -> DataFrame:
     """Remove a column."""
     _require(df, name)
-    return df.select(*[col(c) for c in df.columns if c != name])
+    return df.select(*[quoted(c) for c in df.columns if c != name])
 
 
 def retype_to_string(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftgate.functions.columns import col
+from driftgate.functions.columns import quoted
 from driftgate.functions.text import type_name
 from driftgate.sources.tables import local_frame
 
@@ -97,8 +97,8 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     An aggregate rather than a ranked window: each task first reduces its own rows to one
     per key, so a key that holds much of the table never lands in one task.
     """
-    last = F.max_by(F.struct(*map(col, df.columns)), F.struct(*map(col, order)))
-    return df.groupBy(*map(col, keys)).agg(last.alias("_last")).select("_last.*")
+    last = F.max_by(F.struct(*map(quoted, df.columns)), F.struct(*map(quoted, order)))
+    return df.groupBy(*map(quoted, keys)).agg(last.alias("_last")).select("_last.*")
 
 
 def load_contract(
