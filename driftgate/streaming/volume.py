@@ -1,7 +1,7 @@
 """Rows per time window of a stream, with a watermark for late data.
 
-Every micro-batch writes the windows it changed to a folder of its own. State is one
-count per open window, and per ``by`` group; the watermark closes windows and lets go of them.
+Every micro-batch writes to a folder of its own, so a replayed one overwrites itself. State is
+one count per open window, and per ``by`` group; the watermark closes windows and lets go of them.
 """
 
 from __future__ import annotations
@@ -27,10 +27,13 @@ def count_windows(
     window: str = "1 day",
     lateness: str = "1 hour",
     by: Sequence[str] = (),
+    output_mode: str = "update",
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start counting. Rows later than ``lateness`` are left out; the query's progress counts them.
 
+    In ``update`` mode every batch writes the windows it changed, so counts are always current;
+    in ``append`` mode a window is written once, when the watermark has passed it.
     Watermarks need timestamps with a zone. Plain ones are counted by their own clock, whatever
     the session's zone, and the windows come back as plain timestamps.
     """
@@ -57,7 +60,7 @@ def count_windows(
         batch.write.mode("overwrite").parquet(f"{root}/_batch_id={batch_id}")
 
     return (
-        counted.writeStream.outputMode("update")
+        counted.writeStream.outputMode(output_mode)
         .foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))

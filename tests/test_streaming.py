@@ -103,3 +103,16 @@ def test_zoned_timestamps_stay_zoned(spark, root):
     _, stream = landing(spark, root, df, 1)
     count_windows(stream, "ts", f"{root}/out", f"{root}/checkpoint").awaitTermination()
     assert dict(read_windows(spark, f"{root}/out").dtypes)["window_start"] == "timestamp"
+
+
+def test_append_mode_writes_closed_windows_once(spark, root):
+    rows = [(at(1, 1),), (at(1, 2),), (at(2, 1),), (at(3, 1),)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz")
+    for i in range(2):
+        part = df.filter(F.dayofmonth("ts") <= 2 if i == 0 else F.dayofmonth("ts") > 2)
+        _, stream = landing(spark, root, part, 1)
+        started = count_windows(stream, "ts", f"{root}/out", f"{root}/checkpoint", output_mode="append")
+        started.awaitTermination()
+    written = spark.read.parquet(f"{root}/out")
+    assert {(r["window_start"].day, r["n_rows"]) for r in written.collect()} == {(1, 2), (2, 1)}
+    assert written.count() == 2

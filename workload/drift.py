@@ -100,15 +100,16 @@ def mutate_retype_unsafe(spark, sf_dir):
 # -- contracts -------------------------------------------------------------------
 
 
-def _schema_rows_sql(name: str, batch: str, tested: tuple[str, ...] = ()) -> str:
-    fields = [f.name for f in TABLE_CONTRACTS[name].schema.fields]
-    extra = {"orders": ["credit_score"] if "credit_score" in batch else []}.get(name, [])
-    kept = [f for f in fields + extra if f"EXCLUDE ({f})" not in batch]
+def _schema_rows_sql(
+    name: str, batch: str, lacks: str = "", gains: str = "", tested: tuple[str, ...] = ()
+) -> str:
+    """Columns of a batch of a table that lacks one of its columns, or gains one."""
+    fields = [f.name for f in TABLE_CONTRACTS[name].schema.fields if f.name != lacks]
     counts = " UNION ALL ".join(
         f"SELECT '{f}' AS field, count(*) AS n_rows, count({f}) AS n_values, "
         + (f"count(*) FILTER (WHERE {bad_sql(f)})" if f in tested else "0::BIGINT")
         + f" AS n_unparseable FROM ({batch})"
-        for f in kept
+        for f in fields + [gains] * bool(gains)
     )
     return f"""
     SELECT '{name}' AS entity, position, c.field, d.type, n_rows, n_values, n_unparseable
@@ -118,16 +119,25 @@ def _schema_rows_sql(name: str, batch: str, tested: tuple[str, ...] = ()) -> str
         ON c.field = d.field"""
 
 
-@query(" UNION ALL ".join(_schema_rows_sql(n, f"SELECT * FROM {n}") for n in TABLE_CONTRACTS), name="schema_rows")
+@query(
+    " UNION ALL ".join(_schema_rows_sql(n, f"SELECT * FROM {n}") for n in TABLE_CONTRACTS),
+    name="schema_rows",
+)
 def schema_catalog(spark, sf_dir):
     rows = [schema_rows(table(spark, sf_dir, name), name) for name in TABLE_CONTRACTS]
     return reduce(DataFrame.unionByName, rows)
 
 
 _OBSERVED = {
-    "events": (EVENTS_UNSAFE.replace("SELECT * REPLACE", "SELECT * EXCLUDE (props) REPLACE"), ("value",)),
-    "orders": ("SELECT *, 750 AS credit_score FROM orders", ()),
-    "customer": ("SELECT * EXCLUDE (c_acctbal) FROM customer", ()),
+    "events": _schema_rows_sql(
+        "events", f"SELECT * EXCLUDE (props) FROM ({EVENTS_UNSAFE})", lacks="props", tested=("value",)
+    ),
+    "orders": _schema_rows_sql(
+        "orders", "SELECT *, 750 AS credit_score FROM orders", gains="credit_score"
+    ),
+    "customer": _schema_rows_sql(
+        "customer", "SELECT * EXCLUDE (c_acctbal) FROM customer", lacks="c_acctbal"
+    ),
 }
 _EXPECTED_SQL = " UNION ALL ".join(
     f"""SELECT '{n}' AS entity, column_name AS field, {TYPE_SQL} AS expected_type,
@@ -156,7 +166,7 @@ FROM (
              WHEN o.n_unparseable > 0 THEN 'schema_drift_type_change_unsafe'
              ELSE 'schema_drift_type_change_safe' END AS anomaly_type
     FROM ({_EXPECTED_SQL}) e
-    FULL JOIN ({" UNION ALL ".join(_schema_rows_sql(n, b, t) for n, (b, t) in _OBSERVED.items())}) o
+    FULL JOIN ({" UNION ALL ".join(_OBSERVED.values())}) o
         ON e.entity = o.entity AND e.field = o.field
     WHERE e.expected_type IS DISTINCT FROM o.type)
 """)

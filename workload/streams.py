@@ -33,7 +33,10 @@ def stream_quarantine(spark, sf_dir):
     return held.select("event_id", "value", "_quarantine_reason")
 
 
-@query(f"SELECT event_id, ts, user_id, event_type, value, props FROM ({EVENTS_UNSAFE}) WHERE NOT {bad_sql('value')}")
+@query(f"""
+SELECT event_id, ts, user_id, event_type, value, props
+FROM ({EVENTS_UNSAFE}) WHERE NOT {bad_sql("value")}
+""")
 def stream_clean(spark, sf_dir):
     return read_gate(spark, _gated(spark, sf_dir), "clean").select(
         "event_id", "ts", "user_id", "event_type", "value", "props"
