@@ -98,9 +98,11 @@ class Healed:
     @property
     def clean(self) -> DataFrame | None:
         """Rows that passed; None if the whole batch is held back."""
-        if self.batch_reason:
-            return None
-        kept = self.labelled().filter(F.col("_disposition") == CLEAN).drop(*_LABELS)
+        return None if self.batch_reason else self.clean_of(self.labelled())
+
+    def clean_of(self, labelled: DataFrame) -> DataFrame:
+        """The rows that passed of the labelled batch, cast where asked for."""
+        kept = labelled.filter(F.col("_disposition") == CLEAN).drop(*_LABELS)
         types = self.contract.types()
         return kept.withColumns({name: col(name).try_cast(types[name]) for name in self.casts})
 

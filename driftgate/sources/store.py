@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from driftgate.sources.contracts import (
     CONTRACTS,
+    SNAPSHOT_COLUMNS,
     Contract,
     MissingContractError,
     load_contract,
@@ -59,6 +60,10 @@ def _readable(read: Callable[[], DataFrame]) -> bool:
     return True
 
 
+def _write_parts(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+    rows.drop("_run_id").write.mode(mode).partitionBy("_disposition").parquet(path)
+
+
 class RunStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -87,7 +92,8 @@ class RunStore:
     def contract(self, entity: str, registry: Mapping[str, Contract] = CONTRACTS) -> Contract:
         """The contract in force for an entity; fails if none was ever saved."""
         try:
-            snapshots = self.spark.read.parquet(f"{self.root}/contracts")
+            stored = self.spark.read.schema(", ".join(f"{c} STRING" for c in SNAPSHOT_COLUMNS))
+            snapshots = stored.parquet(f"{self.root}/contracts")
         except AnalysisException as missing:
             raise MissingContractError(f"no schema snapshot saved for {entity!r}") from missing
         return load_contract(snapshots, entity, registry)
@@ -111,15 +117,16 @@ class RunStore:
         """
         seen = Observation()
         path = self.run_path("batches", run_id)
-        rows = healed.labelled(seen).drop("_run_id")
+        rows = healed.labelled(seen)
         if healed.casts:
-            # Clean rows change type here, so the two halves cannot share one write.
-            quarantined = rows.filter(F.col("_disposition") == QUARANTINE)
-            quarantined.write.mode("overwrite").partitionBy("_disposition").parquet(path)
-            clean = healed.clean.drop("_run_id").withColumn("_disposition", F.lit(CLEAN))
-            clean.write.mode("append").partitionBy("_disposition").parquet(path)
+            # Clean rows change type here, so the two halves cannot share one write. The counts
+            # come from the first: without tests, Spark plans the second away, counts and all.
+            _write_parts(healed.clean_of(rows).withColumn("_disposition", F.lit(CLEAN)), path)
+            if healed.tests:
+                held = healed.quarantine.withColumn("_disposition", F.lit(QUARANTINE))
+                _write_parts(held, path, mode="append")
         else:
-            rows.write.mode("overwrite").partitionBy("_disposition").parquet(path)
+            _write_parts(rows, path)
         return seen.get
 
     def _batch(self, run_id: str, disposition: str) -> DataFrame:

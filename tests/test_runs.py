@@ -6,7 +6,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from driftgate.functions import resolve_run_id, sanitize_run_id
-from driftgate.operators import detect
+from driftgate.operators import detect, retype_to_string
 from driftgate.operators.detect import anomalies_of, assess
 from driftgate.plans import (
     dashboard,
@@ -192,6 +192,16 @@ def test_cast_on_write(spark, store):
     assert store.clean("run_cast").count() == record["rows_surviving"]
 
 
+def test_cast_on_write_with_nothing_to_test(spark, store):
+    batch = retype_to_string(table(spark, SMALL, "events"), "ts")
+    record = run_batch(store, batch, EVENTS, "dates", NOW, on_safe="cast").record
+    assert (record["rows_quarantined"], record["rows_surviving"]) == (0, 1000)
+    clean = store.clean("run_dates")
+    assert dict(clean.dtypes)["ts"] == "timestamp_ntz"
+    expected = table(spark, SMALL, "events").select("event_id", "ts")
+    assert sorted(clean.select("event_id", "ts").collect()) == sorted(expected.collect())
+
+
 def test_quarantined_rows_may_come_back(spark, store):
     run_batch(store, events_unsafe(spark, SMALL), EVENTS, "first", NOW)
     held = store.quarantine("run_first")
