@@ -126,6 +126,11 @@ def _as_mapping(anomaly) -> Mapping:
     return anomaly.asDict() if isinstance(anomaly, Row) else anomaly
 
 
+def probe_for(probe: str, on_safe: str) -> str:
+    """The probe to use: casting needs to know of every value that would not survive it."""
+    return "all" if on_safe == "cast" else probe
+
+
 def presume(findings: Iterable[Finding]) -> list[dict]:
     """Anomalies to plan for before any value is tested.
 
@@ -152,7 +157,9 @@ def heal(
     """Plan the repairs that the anomalies of one run call for.
 
     ``on_safe`` says what becomes of a retyped column in clean rows: ``keep`` leaves the
-    new type and only warns, ``cast`` turns it back into the contract's type.
+    new type and only warns, ``cast`` turns text back into the contract's type. So that no
+    value is lost, ``cast`` tests every such column for exactly that type, and rows that
+    fail go to quarantine.
     A DataFrame of anomalies is collected; one run has at most one per column.
     """
     if on_safe not in ("keep", "cast"):
@@ -169,10 +176,11 @@ def heal(
         elif action == FILL_NULL:
             filled.add(name)
         elif action in (CAST_AND_WARN, QUARANTINE_ROWS):
-            if on_safe == "cast":
+            tested = probe_for(probe, on_safe)
+            known = probe_type(actual[name], expected[name], tested) if name in expected else None
+            if on_safe == "cast" and known:
                 casts.add(name)
-            if action == QUARANTINE_ROWS:
-                known = probe_type(actual[name], expected[name], probe) if name in expected else None
+            if action == QUARANTINE_ROWS or name in casts:
                 tests[name] = known or T.DoubleType()
         elif action == QUARANTINE_BATCH:
             # The batch is kept as it came; later columns are still tested, only to be counted.

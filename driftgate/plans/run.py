@@ -17,7 +17,7 @@ from driftgate.operators.detect import (
     compare_schema,
     outcome_columns,
 )
-from driftgate.operators.heal import heal, presume
+from driftgate.operators.heal import heal, presume, probe_for
 from driftgate.operators.mutate import inject
 from driftgate.plans.audit import SUMMARY_FIELDS, run_records
 from driftgate.settings import DRILL_KINDS, DRILLS, Drill
@@ -68,7 +68,7 @@ def run_batch(
 
 
 def _run(store, df, contract, run_id, now, drift_type, force_critical, drifted_path, probe, on_safe):
-    findings = compare_schema(df.schema, contract, probe)
+    findings = compare_schema(df.schema, contract, probe_for(probe, on_safe))
     healed = heal(df, contract, presume(findings), on_safe, probe)
     counts = store.write_split(healed, run_id)
     seen = {name: F.lit(n).cast("bigint") for name, n in counts.items()}

@@ -89,6 +89,21 @@ def test_retyped_column_stays_text_unless_cast(spark):
     assert cast.filter(F.col("value").isNull()).count() == 0
 
 
+def test_casting_loses_no_value(spark):
+    contract = Contract.of("typed", "id long, born date, size integer, tags string", (), ("id",))
+    rows = [(1, "2024-01-31", "7", 5), (2, "N/A", "7", 5), (3, "2024-01-31", "1.5", 5), (4, None, None, 5)]
+    df = spark.createDataFrame(rows, "id long, born string, size string, tags int")
+    anomalies = detect(df, contract, "run_1", "now")
+    assert {r["severity"] for r in anomalies.collect()} == {"MEDIUM"}
+    result = heal(df, contract, anomalies, on_safe="cast")
+    assert dict(result.clean.dtypes) == {"id": "bigint", "born": "date", "size": "int", "tags": "int"}
+    assert [tuple(map(str, r)) for r in result.clean.orderBy("id").collect()] == [
+        ("1", "2024-01-31", "7", "5"), ("4", "None", "None", "5"),
+    ]
+    held = {r["id"]: r["_quarantine_reasons"] for r in result.quarantine.collect()}
+    assert held == {2: ["unparseable:born"], 3: ["unparseable:size"]}
+
+
 def test_quarantine_lacks_the_added_column(spark):
     held = healed(events_drifted(spark, SMALL), EVENTS).quarantine
     assert "loyalty_tier" not in held.columns and "props" in held.columns

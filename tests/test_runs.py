@@ -202,6 +202,16 @@ def test_cast_on_write_with_nothing_to_test(spark, store):
     assert sorted(clean.select("event_id", "ts").collect()) == sorted(expected.collect())
 
 
+def test_cast_on_write_counts_what_does_not_survive(spark, store):
+    rows = [(1, "1", "2", "3"), (2, "1", "2", "1.5"), (3, "x", "2", "1.5")]
+    df = spark.createDataFrame(rows, "id long, a string, b string, c string")
+    record = run_batch(store, df, THINGS, "exact", NOW, on_safe="cast").record
+    assert (record["rows_quarantined"], record["rows_surviving"]) == (2, 1)
+    moved = {r["field"]: r["rows_affected"] for r in store.log("action_log").collect()}
+    assert moved == {"a": 1, "b": 0, "c": 2}
+    assert [tuple(r) for r in store.clean("run_exact").drop("_run_id").collect()] == [(1, 1.0, 2.0, 3)]
+
+
 def test_quarantined_rows_may_come_back(spark, store):
     run_batch(store, events_unsafe(spark, SMALL), EVENTS, "first", NOW)
     held = store.quarantine("run_first")
