@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from driftgate.llm import quality, simhash
+from driftgate.llm import binpack, mixing, pii, quality, simhash
 from driftgate.llm.common import cut
+from driftgate.llm.queries import KEY
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -22,9 +23,27 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_first(docs)
 
 
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with pseudonyms for personal data."""
+    return pii.pseudonymise(docs, KEY).select(*[f"`{c}`" for c in docs.columns])
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sources mixed to their targets: what the mix takes of each document, once for each time round."""
+    return mixing.mixed_documents(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents packed into sequences of the permitted lengths."""
+    return binpack.pack(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", good),
     ("SimHash near-dedup", distinct),
+    ("PII", private),
+    ("mixing sources to target weights", mixed),
+    ("best-fit packing", packed),
 ]
 
 #: The language model and the random draws have no counterpart in SQL.

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, simhash
+from . import binpack, mixing, pii, quality, simhash, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,14 +21,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The queries' pseudonyms are for test data; a real key comes from a secret store.
+KEY = b"key of the registered queries"
+
+
+@query
+def op2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids, packed into rows of 2,048."""
+    return tokens.pack_tokens(table(spark, sf_dir, "documents"), tokens.read_ranks(spark))
+
+
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicates: 3-word shingles, 2 bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that a mix with weights 3, 1, 2 in turn takes of each document."""
+    found = mixing.taken(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with pseudonyms for its personal data, and what was found."""
+    found = pii.pseudonymise(table(spark, sf_dir, "documents"), KEY)
+    return found.select("doc_id", "text", "lang", "source", "n_chars", "pii.*")
+
+
 @query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts and perplexity bands, one row per document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.judged_rows(docs).select("doc_id", "quality.*")
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of 512 to 8,192 words."""
+    return binpack.pack(table(spark, sf_dir, "documents"))
