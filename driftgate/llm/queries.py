@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binpack, mixing, pii, quality, simhash, tokens
+from . import binpack, mixing, pii, quality, repeats, simhash, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +62,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 512 to 8,192 words."""
     return binpack.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without passages of 50 bytes that a smaller doc_id has too."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = repeats.remove_repeats(docs)
+    return found.select("doc_id", *[f"repeats.{c}" for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
