@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binpack, mixing, pii, quality, repeats, simhash, tokens
+from . import binpack, mixing, neighbours, pii, quality, repeats, secrets, simhash, tokens, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +70,26 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = repeats.remove_repeats(docs)
     return found.select("doc_id", *[f"repeats.{c}" for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
+
+
+RULES = {
+    "com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block",
+}
+
+
+@query
+def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by rule or else by its path template."""
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), RULES)
+
+
+@query
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets in every document."""
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest others of every vector whose id is divisible by 20."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))

@@ -1,0 +1,156 @@
+"""Secret scans: known forms by pattern, unknown ones by entropy.
+
+Assignments, access keys and long hexadecimal strings are found by pattern. Other candidates are long strings of base-64 or
+hexadecimal characters, digits among them. A window slides over each; its counts per character change by one in and one
+out, and its Shannon entropy with them. Windows above their class's limit are a span; overlapping ones are one. Spans
+that a base span covers, and candidates on the allow-list (identifiers, placeholders, runs of few characters,
+documented example keys), add nothing. Base spans always stay.
+
+Everything is DataFrame functions. Defined results: a null text is empty and has no spans; repeated rows each give a row.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import fresh_name
+
+#: The base patterns, by kind, with the least length of a match (of group 2 for assignments).
+ASSIGN = (
+    r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+)
+ACCESS = r"AKIA[A-Z0-9]+"
+HEX = r"[0-9a-f]+"
+LEAST = {"assign": 12, "access": 18, "hex": 16}
+KINDS = ("assign", "access", "hex", "entropy")
+
+#: Character classes: pattern of a candidate, window, least entropy in bits.
+CLASSES = {
+    "base64": (r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{24,}+", 24, 3.9),
+    "hexadecimal": (r"(?<![A-Za-z0-9])(?=[A-Fa-f]*+[0-9])[0-9A-Fa-f]{20,}+(?![A-Za-z0-9])", 20, 2.9),
+}
+ALLOWED = (
+    r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # identifiers
+    r"(?i)example|placeholder|changeme|x{6,}|0{8,}|1234567890",
+    r"^[0-9]+$",
+    r"^[A-Za-z]+([-_/][A-Za-z0-9]{1,12})+$",  # words joined to paths and names
+)
+
+
+def _matches(text: Column, pattern: str) -> Column:
+    """Every match of ``pattern``, leftmost first and not overlapping, as structs of start, end and string."""
+    strings = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    between = F.split(text, pattern, -1)
+    # Each string starts after all that lies before it: the texts between and the strings so far.
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<a:int,b:int,s:string>>").alias("out"))
+
+    def step(state: Column, pair: Column) -> Column:
+        a = state["at"] + F.char_length(pair["gap"])
+        b = a + F.char_length(pair["s"])
+        return F.struct(b.alias("at"), F.concat(state["out"], F.array(F.struct(a.alias("a"), b.alias("b"), pair["s"].alias("s")))).alias("out"))
+
+    pairs = F.zip_with(F.slice(between, 1, F.size(strings)), strings, lambda g, s: F.struct(g.alias("gap"), s.alias("s")))
+    none = F.array().cast("array<struct<a:int,b:int,s:string>>")
+    return F.when(text.rlike(pattern), F.aggregate(pairs, start, step, lambda s: s["out"])).otherwise(none)
+
+
+def _base(text: Column, kind: str) -> Column:
+    least = LEAST[kind]
+    if kind == "assign":
+        value = lambda m: F.regexp_extract(m["s"], ASSIGN, 1)
+        return F.filter(_matches(text, ASSIGN), lambda m: F.char_length(value(m)) >= least)
+    # A run that is too short holds no match that is long enough, so the length may stand in the pattern.
+    head, rest = {"access": ("AKIA", r"[A-Z0-9]"), "hex": ("", r"[0-9a-f]")}[kind]
+    return _matches(text, f"{head}{rest}{{{least - len(head)},}}+")
+
+
+def _hot(candidate: Column, window: int, least: float) -> Column:
+    """The spans of ``candidate`` (a, b, s) whose windows reach ``least`` bits, as structs of a and b."""
+    codes = F.transform(F.split(candidate["s"], ""), F.ascii)
+
+    def weight(n: Column) -> Column:
+        return F.when(n > 0, n * F.log2(n)).otherwise(0.0)
+
+    def step(state: Column, pair: Column) -> Column:
+        new, old = pair["code"], pair["old"]  # what the window gains and, once it is full, loses
+        turn = old.isNull() | (new != old)
+        n = F.element_at(state["counts"], new + 1)
+        m = F.element_at(state["counts"], F.coalesce(old, new) + 1)
+        gain = F.when(turn, weight(n + 1) - weight(n)).otherwise(0.0)
+        loss = F.when(turn & old.isNotNull(), weight(m - 1) - weight(m)).otherwise(0.0)
+        total = state["sum"] + gain + loss
+        counts = F.transform(
+            state["counts"],
+            lambda c, i: c + F.when(i == new, 1).otherwise(0) - F.when(i == old, 1).otherwise(0),
+        )
+        bits = F.log2(F.lit(float(window))) - total / window
+        high = (state["at"] + 1 >= window) & (bits >= least)
+        a, b = candidate["a"] + state["at"] + 1 - window, candidate["a"] + state["at"] + 1
+        last = F.try_element_at(state["out"], F.lit(-1))
+        fresh = F.concat(state["out"], F.array(F.struct(a.alias("a"), b.alias("b"))))
+        wider = F.concat(F.slice(state["out"], 1, F.greatest(F.size(state["out"]) - 1, F.lit(0))), F.array(F.struct(last["a"].alias("a"), b.alias("b"))))
+        out = F.when(~high, state["out"]).when(last.isNotNull() & (last["b"] >= a), wider).otherwise(fresh)
+        return F.struct(
+            counts.alias("counts"), total.alias("sum"), (state["at"] + 1).alias("at"), out.alias("out")
+        )
+
+    start = F.struct(
+        F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).alias("at"),
+        F.array().cast("array<struct<a:int,b:int>>").alias("out"),
+    )
+    pairs = F.transform(codes, lambda c, i: F.struct(c.alias("code"), F.when(i >= window, F.get(codes, i - window)).alias("old")))
+    return F.aggregate(pairs, start, step, lambda s: s["out"])
+
+
+def _windows(window: int, least: float) -> Callable[[Column], Column]:
+    return lambda candidate: _hot(candidate, window, least)
+
+
+def _of(kind: str) -> Callable[[Column], Column]:
+    return lambda span: span["kind"] == kind
+
+
+def scan(docs: DataFrame, name: str = "secrets") -> DataFrame:
+    """``docs`` with a last column ``secrets``: spans (kind, a, b: code points, end exclusive), sorted."""
+    name = fresh_name(docs, name)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    work = docs.select("*", text.alias("_text"))
+    work = work.withColumns({f"_{k}": _base(F.col("_text"), k) for k in LEAST})
+    work = work.withColumns({f"_{c}": _matches(F.col("_text"), p) for c, (p, _, _) in CLASSES.items()})
+    kind_at = {k: i for i, k in enumerate(KINDS)}
+
+    def tagged(column: str, kind: str) -> Column:
+        return F.transform(column, lambda m: F.struct(m["a"].alias("a"), F.lit(kind_at[kind]).alias("k"), m["b"].alias("b"), F.lit(kind).alias("kind")))
+
+    base = F.concat(*[tagged(f"_{k}", k) for k in LEAST])
+    found = []
+    for c, (_, window, least) in CLASSES.items():
+        wanted = F.filter(f"_{c}", lambda m: ~F.greatest(*[m["s"].rlike(p) for p in ALLOWED]))
+        found.append(F.flatten(F.transform(wanted, _windows(window, least))))
+    work = work.withColumn("_base", base).withColumn(
+        "_more", F.when(F.size("_base64") + F.size("_hexadecimal") > 0, F.array_distinct(F.concat(*found)))
+        .otherwise(F.array().cast("array<struct<a:int,b:int>>"))
+    )
+    fresh = F.filter("_more", lambda m: ~F.exists("_base", lambda o: (o["a"] <= m["a"]) & (m["b"] <= o["b"])))
+    work = work.withColumn("_fresh", fresh)
+    spans = F.array_sort(F.concat("_base", tagged("_fresh", "entropy")))
+    spans = F.transform(spans, lambda s: F.struct(s["kind"].alias("kind"), s["a"].alias("a"), s["b"].alias("b")))
+    return work.select(*[f"`{c}`" for c in docs.columns], spans.alias(name))
+
+
+def listed(spans: Column) -> Column:
+    """Spans as kind:start:end, comma-joined."""
+    return F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["a"].cast("string"), s["b"].cast("string"))
+    ), ",")
+
+
+def digest(found: DataFrame, name: str = "secrets") -> DataFrame:
+    """doc_id, counts of the base kinds, the hash of the base spans and all spans in writing."""
+    spans = F.col(name)
+    base = F.filter(spans, lambda s: s["kind"] != "entropy")
+    counts = [F.size(F.filter(spans, _of(k))).cast("long").alias(f"n_{k}") for k in LEAST]
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(spans).alias("spans"))
