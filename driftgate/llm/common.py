@@ -13,6 +13,12 @@ from pyspark.sql import functions as F
 #: The words of a text, by the definition that all operators share.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: While an intermediate table is written: shuffle files go when it stands, and whole texts cross to Python few at a time.
+_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which all executors see; set to a local one only where unset."""
@@ -26,10 +32,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back: its lineage ends there."""
-    path = f"{shared_folder(df.sparkSession)}/llm/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written to the shared folder and read back: its lineage ends there, and its shuffles' files may go."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/llm/{uuid.uuid4().hex}"
+    before = {k: spark.conf.get(k, None) for k in _WRITING}
+    for k, v in _WRITING.items():
+        spark.conf.set(k, v)
+    try:
+        df.select("*").write.parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fresh_name(df: DataFrame, name: str) -> str:

@@ -29,14 +29,23 @@ from .common import cut, fresh_name, slices, text_bytes
 
 LENGTH = 50
 #: Bytes of text whose suffixes a bucket holds, on average.
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
 _CORE = 12
-_PIECE = 4 << 20
+_PIECE = 2 << 20
+_STRETCH = 1 << 17
 _MULT = 0x9E3779B97F4A7C15
 
 
 def _window_hashes(codes: np.ndarray, length: int) -> np.ndarray:
-    """A polynomial hash of the ``length`` bytes at each position that has them, by doubling."""
+    """A polynomial hash of the ``length`` bytes at each position that has them."""
+    out = np.empty(max(len(codes) - length + 1, 0), np.uint64)
+    for i in range(0, len(out), _STRETCH):
+        out[i : i + _STRETCH] = _stretch_hashes(codes[i : i + _STRETCH + length - 1], length)
+    return out
+
+
+def _stretch_hashes(codes: np.ndarray, length: int) -> np.ndarray:
+    """The same by doubling, for a stretch short enough for the processor's caches."""
     out, done = None, 0
     power = codes.astype(np.uint64) + np.uint64(1)  # of strings of ``step`` bytes
     step = 1
@@ -69,18 +78,71 @@ def _least(x: np.ndarray, width: int) -> np.ndarray:
     return x if span == width else np.minimum(x[: len(x) - (width - span)], x[width - span :])
 
 
-def _later(hashes: np.ndarray, docs: np.ndarray, at: np.ndarray, codes: np.ndarray, length: int) -> np.ndarray:
-    """Which of the strings at places ``at`` of ``codes`` also stand in a smaller document of ``docs``."""
-    out = np.zeros(len(hashes), bool)
-    if len(hashes) < 2:
+def _tied(hashes: np.ndarray) -> np.ndarray:
+    """Places of the hashes that occur more than once, sorted by hash.
+
+    The leading bits are sorted first, with the places in the trailing ones; only what ties there is sorted in full."""
+    bits = np.uint64(int(len(hashes)).bit_length())
+    packed = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
+    packed.sort()
+    same = (packed[1:] ^ packed[:-1]) >> bits == 0
+    some = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same]))
+    order = (packed[some] & np.uint64((1 << int(bits)) - 1)).astype(np.int64)
+    del packed
+    keys = hashes[order]
+    turn = np.argsort(keys)
+    order, keys = order[turn], keys[turn]
+    same = keys[1:] == keys[:-1]
+    if not len(order):
+        return order
+    return order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
+
+
+def _pack(docs: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
+    """Runs of suffixes (document, start, end), those of a document together."""
+    first = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]]))
+    per = np.diff(np.append(first, len(docs)))
+    steps = starts.copy()
+    steps[1:] -= starts[:-1]
+    head = np.array([len(docs), len(first)], "<i8").tobytes()
+    body = b"".join((
+        docs[first].astype("<i8").tobytes(), per.astype("<i4").tobytes(), steps.astype("<i4").tobytes(),
+        (ends - starts).astype("<i4").tobytes(),
+    ))
+    return zstandard.ZstdCompressor(level=1).compress(head + body)
+
+
+def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n, k = np.frombuffer(raw, "<i8", 2).tolist()
+    docs = np.frombuffer(raw, "<i8", k, 16)
+    per = np.frombuffer(raw, "<i4", k, 16 + 8 * k)
+    steps = np.frombuffer(raw, "<i4", n, 16 + 12 * k)
+    starts = np.cumsum(steps, dtype=np.int64)
+    return np.repeat(docs, per), starts, starts + np.frombuffer(raw, "<i4", n, 16 + 12 * k + 4 * n)
+
+
+def _unpack_all(blobs: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    docs, starts, ends = zip(*(_unpack(b) for b in blobs), strict=True)
+    return np.concatenate(docs), np.concatenate(starts), np.concatenate(ends)
+
+
+def _later(
+    owner: np.ndarray, ids: np.ndarray, inside: np.ndarray, codes: np.ndarray, length: int,
+) -> np.ndarray:
+    """Which of the strings at the places ``inside`` of ``codes`` also stand in a smaller document.
+
+    owner: whose each place is, as a place in ``ids``."""
+    out = np.zeros(len(inside), bool)
+    at = np.flatnonzero(inside).astype(np.int32 if len(inside) < 1 << 31 else np.int64)
+    if len(at) < 2:
         return out
-    order = np.argsort(hashes)
-    same = hashes[order[1:]] == hashes[order[:-1]]
-    some = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-    order = order[some]
+    hashes = _window_hashes(codes, length)[at]
+    order = _tied(hashes)
     if not len(order):
         return out
-    keys, own = hashes[order], docs[order]
+    keys, own = hashes[order], ids[owner[at[order]]]
+    del hashes
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     sizes = np.diff(np.append(first, len(order)))
     smallest = np.repeat(np.minimum.reduceat(own, first), sizes)
@@ -94,14 +156,15 @@ def _later(hashes: np.ndarray, docs: np.ndarray, at: np.ndarray, codes: np.ndarr
     for i in range(0, len(late), 1 << 18):
         part = late[i : i + (1 << 18)]
         right[i : i + (1 << 18)] = (view[at[order[part]]] == view[model[group[part]]]).all(axis=1)
-    out[order[late[right]]] = True
+    out[at[order[late[right]]]] = True
     for g in np.unique(group[late[~right]]).tolist():  # equal hashes of different strings
         members = order[first[g] : first[g] + sizes[g]]
         least: dict[bytes, int] = {}
         texts = [view[p].tobytes() for p in at[members]]
-        for text, doc in zip(texts, docs[members].tolist(), strict=True):
+        held = ids[owner[at[members]]].tolist()
+        for text, doc in zip(texts, held, strict=True):
             least[text] = min(doc, least.get(text, doc))
-        out[members] = [doc > least[t] for t, doc in zip(texts, docs[members].tolist(), strict=True)]
+        out[at[members]] = [doc > least[t] for t, doc in zip(texts, held, strict=True)]
     return out
 
 
@@ -114,6 +177,19 @@ def _spans(marked: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return at[new], at[np.concatenate([new[1:], [True]])]
 
 
+def _places(sizes: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of strings laid end to end: whose each place is, whether ``length`` bytes from there are the same
+    string's, and whether a string begins there. Places with less than that behind them are left out."""
+    total = int(sizes.sum()) - length + 1
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[:total]
+    inside = np.zeros(total + length, np.int8)
+    inside[starts] += 1
+    np.add.at(inside, starts + sizes - length + 1, -1)
+    edge = np.zeros(total, bool)
+    edge[starts[starts < total]] = True
+    return owner, np.cumsum(inside[:total], dtype=np.int8) > 0, edge
+
+
 def _suffixes(items: list[tuple[int, bytes]], buckets: int, length: int) -> Iterator[tuple]:
     """For some documents, sorted by doc_id: spans decided here (bucket -1), and a blob of runs for each bucket."""
     whole = b"".join(t for _, t in items)
@@ -121,14 +197,8 @@ def _suffixes(items: list[tuple[int, bytes]], buckets: int, length: int) -> Iter
     sizes = np.array([len(t) for _, t in items])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     ids = np.array([d for d, _ in items], np.int64)
-    hashes = _window_hashes(codes, length)
-    owner = np.repeat(np.arange(len(items)), sizes)[: len(hashes)]
-    inside = (np.arange(len(hashes)) - starts[owner]) <= sizes[owner] - length
-    at = np.flatnonzero(inside)
-    late = np.zeros(len(hashes), bool)
-    late[at] = _later(hashes[at], ids[owner[at]], at, codes, length)
-    edge = np.zeros(len(hashes), bool)
-    edge[starts[starts < len(hashes)]] = True
+    owner, inside, edge = _places(sizes, starts, length)
+    late = _later(owner, ids, inside, codes, length)
     low, high = _spans(late, edge)
     own = owner[low]
     yield -1, ids[own], low - starts[own], high - starts[own] + length, b""
@@ -148,7 +218,7 @@ def _suffixes(items: list[tuple[int, bytes]], buckets: int, length: int) -> Iter
         yield int(which[a]), ids[own], low[a:b] - starts[own], high[a:b] - starts[own], data
 
 
-_BLOB = "bucket long, docs binary, starts binary, ends binary, data binary"
+_BLOB = "bucket long, runs binary, data binary"
 
 
 def _shipped(buckets: int, length: int):
@@ -170,7 +240,7 @@ def _shipped(buckets: int, length: int):
     def send(items: list[tuple[int, bytes]]) -> Iterator[pd.DataFrame]:
         items = sorted(items)
         rows = [
-            (bucket, *(np.asarray(x, np.int64).tobytes() for x in (docs, a, b)), data)
+            (bucket, _pack(docs, a, b), data)
             for bucket, docs, a, b, data in _suffixes(items, buckets, length)
             if len(docs)
         ]
@@ -182,21 +252,13 @@ def _shipped(buckets: int, length: int):
 
 def _sort_bucket(frame: pd.DataFrame, length: int) -> pd.DataFrame:
     """The spans of one bucket's suffixes that a smaller document has too: docs, starts, ends."""
-    ids, a, b = (
-        np.frombuffer(b"".join(frame[c]), np.int64) for c in ("docs", "starts", "ends")
-    )
+    ids, a, b = _unpack_all(frame["runs"])
     unpack = zstandard.ZstdDecompressor()
     codes = np.frombuffer(b"".join(unpack.decompress(x) for x in frame["data"]), np.uint8)
     sizes = b - a
     first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    hashes = _window_hashes(codes, length)
-    run = np.repeat(np.arange(len(sizes)), sizes)[: len(hashes)]
-    inside = (np.arange(len(hashes)) - first[run]) <= sizes[run] - length
-    at = np.flatnonzero(inside)
-    late = np.zeros(len(hashes), bool)
-    late[at] = _later(hashes[at], ids[run[at]], at, codes, length)
-    edge = np.zeros(len(hashes), bool)
-    edge[first[first < len(hashes)]] = True
+    run, inside, edge = _places(sizes, first, length)
+    late = _later(run, ids, inside, codes, length)
     low, high = _spans(late, edge)
     own = run[low]
     offset = a[own] - first[own]
@@ -217,11 +279,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BU
     def decide(key, frames):
         if key[0] >= 0:
             return _sort_bucket(frames, length)
-        ids, a, b = (np.frombuffer(b"".join(frames[c]), np.int64) for c in ("docs", "starts", "ends"))
+        ids, a, b = _unpack_all(frames["runs"])
         return pd.DataFrame({"doc": ids, "a": a, "b": b})
 
     # Spans decided on the way stay dealt out: each blob of them is a group by itself.
-    tag = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("docs", "starts"), F.lit(1 << 20))).otherwise(-1)
+    tag = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("runs"), F.lit(1 << 20))).otherwise(-1)
     grouped = sent.withColumn("own", tag).repartition(max(parts, buckets), "bucket", "own").groupBy("bucket", "own")
     return grouped.applyInPandas(decide, "doc long, a long, b long")
 
