@@ -116,11 +116,19 @@ def _iban(text: str, key: bytes, back: bool) -> str | None:
 
 
 def _ip(text: str, key: bytes, back: bool) -> str | None:
-    octets = [int(x) for x in text.split(".")]
-    if max(octets) > 255:
+    octets = text.split(".")
+    if any(int(x) > 255 or str(int(x)) != x for x in octets):
         return None
-    value = pseudonym(int.from_bytes(bytes(octets), "big"), 1 << 32, key, "ip", back)
-    return ".".join(map(str, value.to_bytes(4, "big")))
+    spans = [{1: (0, 10), 2: (10, 90), 3: (100, 156)}[len(x)] for x in octets]  # lengths stay
+    value, size = 0, 1
+    for x, (low, count) in zip(octets, spans, strict=True):
+        value, size = value * count + int(x) - low, size * count
+    value = pseudonym(value, size, key, "ip", back)
+    out = []
+    for low, count in reversed(spans):
+        value, x = divmod(value, count)
+        out.append(str(low + x))
+    return ".".join(reversed(out))
 
 
 def _date(text: str, key: bytes, back: bool) -> str | None:

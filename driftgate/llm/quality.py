@@ -26,6 +26,8 @@ from .common import column, cut, fresh_name, lookup, slices, text_bytes
 
 ORDER = 4
 SIZE = 1 << 20
+#: What is seen once is left to back-off at any size, so that no text vouches for itself.
+FEWEST = 2
 #: Robust standard deviations that a document's log-perplexity may lie from the median of its language.
 WIDTH = 16.0
 #: Least half-width of a band: a language whose documents are all alike rejects nobody for less.
@@ -270,11 +272,11 @@ def _hashed(codes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return keys[order], np.asarray(values, float)[order]
 
 
-def fit(docs: DataFrame, size: int = SIZE) -> dict[str | None, Model]:
+def fit(docs: DataFrame, size: int = SIZE, fewest: int = FEWEST) -> dict[str | None, Model]:
     """A model of each language. What reaches the driver has at most ``size`` rows per order and kind."""
     grams = cut(count_grams(docs).withColumn("raw", F.col("c")))
     total = grams.agg(F.sum("c")).head()[0] or 0
-    least = total / size
+    least = max(total / size, fewest)
     tables, spectra = [], []
     for order in range(ORDER, 0, -1):
         if order < ORDER:
@@ -380,7 +382,7 @@ def judged_rows(docs: DataFrame, width: float = WIDTH) -> DataFrame:
 
 def _judged(described: DataFrame, name: str, width: float) -> DataFrame:
     loss, words = F.col(f"{name}.log_perplexity"), F.col(f"{name}.n_words")
-    spread = F.col("_half") * (1 + F.lit(SHORT) / words)
+    spread = F.col("_half") * (1 + F.lit(SHORT) / F.greatest(words, F.lit(1)))
     low, high = F.col("_mid") - spread, F.col("_mid") + spread
     failed = (words < 10) | (100 * F.col(f"{name}.n_repeat_words") > 20 * words)
     inside = F.coalesce(loss.between(low, high), F.lit(True))

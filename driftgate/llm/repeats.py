@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -190,6 +191,12 @@ def _places(sizes: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndar
     return owner, np.cumsum(inside[:total], dtype=np.int8) > 0, edge
 
 
+def _prints(text: bytes, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """A hash of what each span holds: by it a span is known to belong to one text of several with the same doc_id."""
+    spans = zip(low.tolist(), high.tolist(), strict=True)
+    return np.fromiter((xxhash.xxh3_64_intdigest(text[a:b]) for a, b in spans), np.uint64, len(low)).astype(np.int64)
+
+
 def _suffixes(items: list[tuple[int, bytes]], buckets: int, length: int) -> Iterator[tuple]:
     """For some documents, sorted by doc_id: spans decided here (bucket -1), and a blob of runs for each bucket."""
     whole = b"".join(t for _, t in items)
@@ -201,7 +208,8 @@ def _suffixes(items: list[tuple[int, bytes]], buckets: int, length: int) -> Iter
     late = _later(owner, ids, inside, codes, length)
     low, high = _spans(late, edge)
     own = owner[low]
-    yield -1, ids[own], low - starts[own], high - starts[own] + length, b""
+    marks = _prints(whole, low, high + length).astype("<i8").tobytes()
+    yield -1, ids[own], low - starts[own], high - starts[own] + length, marks
     core = _mixed(_window_hashes(codes, _CORE))
     bucket = (_mixed(_least(core, length - _CORE + 1)) % np.uint64(buckets)).astype(np.int64)
     edge[1:] |= bucket[1:] != bucket[:-1]
@@ -251,10 +259,11 @@ def _shipped(buckets: int, length: int):
 
 
 def _sort_bucket(frame: pd.DataFrame, length: int) -> pd.DataFrame:
-    """The spans of one bucket's suffixes that a smaller document has too: docs, starts, ends."""
+    """The spans of one bucket's suffixes that a smaller document has too: doc, a, b, and a hash of what they hold."""
     ids, a, b = _unpack_all(frame["runs"])
     unpack = zstandard.ZstdDecompressor()
-    codes = np.frombuffer(b"".join(unpack.decompress(x) for x in frame["data"]), np.uint8)
+    whole = b"".join(unpack.decompress(x) for x in frame["data"])
+    codes = np.frombuffer(whole, np.uint8)
     sizes = b - a
     first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     run, inside, edge = _places(sizes, first, length)
@@ -262,11 +271,13 @@ def _sort_bucket(frame: pd.DataFrame, length: int) -> pd.DataFrame:
     low, high = _spans(late, edge)
     own = run[low]
     offset = a[own] - first[own]
-    return pd.DataFrame({"doc": ids[own], "a": low + offset, "b": high + offset + length})
+    marks = _prints(whole, low, high + length)
+    return pd.DataFrame({"doc": ids[own], "a": low + offset, "b": high + offset + length, "mark": marks})
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """Spans of bytes (doc, a, b; overlapping ones are not merged) that stand in a document of smaller doc_id too."""
+    """Spans of bytes (doc, a, b, and a hash of them as mark; overlapping ones are not merged) that stand in a document
+    of smaller doc_id too."""
     if length < _CORE:
         raise ValueError(f"passages have {_CORE} bytes at least")
     volume = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
@@ -280,12 +291,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BU
         if key[0] >= 0:
             return _sort_bucket(frames, length)
         ids, a, b = _unpack_all(frames["runs"])
-        return pd.DataFrame({"doc": ids, "a": a, "b": b})
+        marks = np.frombuffer(b"".join(frames["data"]), "<i8")
+        return pd.DataFrame({"doc": ids, "a": a, "b": b, "mark": marks})
 
     # Spans decided on the way stay dealt out: each blob of them is a group by itself.
     tag = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("runs"), F.lit(1 << 20))).otherwise(-1)
     grouped = sent.withColumn("own", tag).repartition(max(parts, buckets), "bucket", "own").groupBy("bucket", "own")
-    return grouped.applyInPandas(decide, "doc long, a long, b long")
+    return grouped.applyInPandas(decide, "doc long, a long, b long, mark long")
 
 
 def _kept(text: bytes, starts: np.ndarray | None, ends: np.ndarray | None) -> tuple[bytes, int, int]:
@@ -309,16 +321,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BU
     name = fresh_name(docs, "repeats")
     spans = cut(repeated_spans(docs, length, bucket_bytes))
     by_doc = spans.groupBy(F.col("doc").alias("_doc")).agg(
-        F.collect_list("a").alias("_a"), F.collect_list("b").alias("_b"),
+        F.collect_list(F.struct("a", "b", "mark")).alias("_spans"),
     )
+    by_doc = by_doc.select("_doc", *[F.col(f"_spans.{c}").alias(f"_{c}") for c in ("a", "b", "mark")])
 
     @F.pandas_udf("kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    def remove(text: pd.Series, a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    def remove(text: pd.Series, a: pd.Series, b: pd.Series, mark: pd.Series) -> pd.DataFrame:
         rows = []
-        for t, x, y in zip(text, a, b, strict=True):
+        for t, x, y, m in zip(text, a, b, mark, strict=True):
+            if x is not None:
+                own = _prints(t, x, y) == m
+                x, y = x[own], y[own]
             kept, removed, count = _kept(t, x, y)
             rows.append((kept, len(t), removed, count, hashlib.sha256(kept).hexdigest()))
         return pd.DataFrame(rows, columns=["kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     joined = docs.join(by_doc, F.col("doc_id").cast("long") == F.col("_doc"), "left")
-    return joined.withColumn(name, remove(text_bytes(), "_a", "_b")).drop("_doc", "_a", "_b")
+    return joined.withColumn(name, remove(text_bytes(), "_a", "_b", "_mark")).drop("_doc", "_a", "_b", "_mark")
