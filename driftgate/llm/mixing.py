@@ -218,7 +218,8 @@ def segments(rows: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def mixed(rows: DataFrame, mix: Mix, block: int = BLOCK) -> DataFrame:
     """The mix, as parts of documents: shard, slot, turn, source_at, start, first, n. ``rows``: of ``placed``."""
-    return segments(rows, block).join(slots(rows.sparkSession, mix), ["source_at", "block"])
+    # Spark takes the slots for as few as the shards they are drawn from, and would broadcast them all.
+    return segments(rows, block).join(slots(rows.sparkSession, mix).hint("merge"), ["source_at", "block"])
 
 
 def taken(docs: DataFrame, block: int = BLOCK) -> DataFrame:

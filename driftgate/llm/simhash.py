@@ -134,30 +134,32 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -
     )
 
 
-def grouped(rows: DataFrame, bits: int = BITS, fp: str = "fp") -> DataFrame:
-    """``rows`` (doc_id, ``fp``) with component_id."""
-    classes = cut(rows.groupBy(F.col(fp).alias("fp")).agg(F.min("doc_id").alias("least")))
-    joined = components(links(classes.select("fp"), bits))
-    ids = classes.join(joined, classes["fp"] == joined["node"], "left").select(
+def classes(rows: DataFrame, bits: int = BITS, fp: str = "fp") -> DataFrame:
+    """Each fingerprint (``fp``) with its component's root and smallest doc_id (component_id)."""
+    each = cut(rows.groupBy(F.col(fp).alias("fp")).agg(F.min("doc_id").alias("least")))
+    joined = components(links(each.select("fp"), bits))
+    ids = each.join(joined, each["fp"] == joined["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     smallest = ids.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = ids.join(smallest, "root").select(F.col("fp").alias("_class"), "component_id")
-    return rows.join(named, F.col(fp) == F.col("_class"), "left").drop("_class")
+    return ids.join(smallest, "root").select(F.col("fp").alias("_class"), "root", "component_id")
+
+
+def grouped(rows: DataFrame, bits: int = BITS, fp: str = "fp") -> DataFrame:
+    """``rows`` (doc_id, ``fp``) with component_id."""
+    return rows.join(classes(rows, bits, fp), F.col(fp) == F.col("_class"), "left").drop("_class", "root")
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """One document of each group, the one with the smallest doc_id; columns as they came.
 
-    Rows that repeat a group's doc_id are one document: the first by content stays. Of a group without any doc_id
-    likewise.
+    Rows that repeat a group's doc_id are one document: the first by its text's hash stays. Of a group without any
+    doc_id likewise. Which rows stay is settled on ids and hashes; the texts then move once.
     """
-    name = fresh_name(docs, "fp")
-    marked = cut(with_fingerprints(docs, name, shingle))
-    groups = grouped(marked.select("doc_id", name), bits, name)
-    ids = groups.groupBy(F.col(name).alias("_fp")).agg(F.min("component_id").alias("_component"))
-    own = marked.join(ids, F.col(name) == F.col("_fp")).filter(F.col("doc_id").eqNullSafe(F.col("_component")))
-    rest = [F.col(f"`{c}`") for c in docs.columns]
-    first = F.min_by(F.struct(*rest), F.xxhash64("text", F.col(name))).alias("_row")
-    kept = own.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col(name)).alias("_none")).agg(first)
-    return kept.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    fp, row = fresh_name(docs, "fp"), fresh_name(docs, "row_number")
+    marked = cut(with_fingerprints(docs, fp, shingle).withColumn(row, F.monotonically_increasing_id()))
+    rows = marked.select("doc_id", F.col(fp).alias("fp"), F.xxhash64("text").alias("hash"), F.col(row).alias("at"))
+    known = rows.join(classes(rows, bits), F.col("fp") == F.col("_class"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "hash", "at")).alias("first")
+    winners = known.groupBy("root").agg(first).select(F.col("first.at").alias("_at"))
+    return marked.join(winners, F.col(row) == F.col("_at"), "left_semi").select(*[f"`{c}`" for c in docs.columns])
