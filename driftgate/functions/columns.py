@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from datetime import datetime
 
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 _NOT_ALLOWED = "[^A-Za-z0-9_]"
 _RUN_ID_LENGTH = 40
 _RUN_ID_PREFIX = "run_"
+# Ours: digits of the hash behind an id that was changed.
+_MARK_LENGTH = 8
 
 
 def quoted(name: str) -> str:
@@ -60,16 +63,26 @@ def anomaly_id(run_id, entity, anomaly_type, field) -> Column:
 def sanitize_run_id(raw: Column) -> Column:
     """Column form of :func:`resolve_run_id` for a caller-supplied id."""
     safe = F.regexp_replace(raw, _NOT_ALLOWED, "_")
-    return F.concat(F.lit(_RUN_ID_PREFIX), F.substring(safe, 1, _RUN_ID_LENGTH))
+    whole = (safe == raw) & (F.length(raw) <= _RUN_ID_LENGTH)
+    mark = F.concat(F.lit("_"), F.substring(F.md5(raw), 1, _MARK_LENGTH))
+    return F.concat(F.lit(_RUN_ID_PREFIX), F.substring(safe, 1, _RUN_ID_LENGTH), F.when(whole, "").otherwise(mark))
 
 
 def default_run_id(now: datetime) -> str:
-    return now.strftime(_RUN_ID_PREFIX + "%Y%m%d_%H%M%S")
+    """An id from the clock, to the microsecond where it has any."""
+    shape = "%Y%m%d_%H%M%S_%f" if now.microsecond else "%Y%m%d_%H%M%S"
+    return now.strftime(_RUN_ID_PREFIX + shape)
 
 
 def resolve_run_id(raw: str | None, now: datetime) -> str:
-    """The run id to use: a caller-supplied one made safe, else one from the clock."""
+    """The run id to use: a caller-supplied one made safe, else one from the clock.
+
+    An id that had to be changed or cut ends in a hash of what was given, so different ids stay different.
+    """
     if not raw:
         return default_run_id(now)
-    safe = re.sub(_NOT_ALLOWED, "_", str(raw))
-    return _RUN_ID_PREFIX + safe[:_RUN_ID_LENGTH]
+    raw = str(raw)
+    safe = re.sub(_NOT_ALLOWED, "_", raw)
+    whole = safe == raw and len(raw) <= _RUN_ID_LENGTH
+    mark = "" if whole else "_" + hashlib.md5(raw.encode()).hexdigest()[:_MARK_LENGTH]
+    return _RUN_ID_PREFIX + safe[:_RUN_ID_LENGTH] + mark

@@ -180,8 +180,12 @@ def heal(
             known = probe_type(actual[name], expected[name], tested) if name in expected else None
             if on_safe == "cast" and known:
                 casts.add(name)
+            if action == QUARANTINE_ROWS and not known and name in expected:
+                known = probe_type(actual[name], expected[name], "all")  # found by a wider probe than this one
+            if action == QUARANTINE_ROWS and not known:
+                raise ValueError(f"no test of {name!r} is known that could tell its bad rows")
             if action == QUARANTINE_ROWS or name in casts:
-                tests[name] = known or T.DoubleType()
+                tests[name] = known
         elif action == QUARANTINE_BATCH:
             # The batch is kept as it came; later columns are still tested, only to be counted.
             batch_reason = batch_reason or f"full_batch:{anomaly['anomaly_type']}"

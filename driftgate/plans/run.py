@@ -68,6 +68,7 @@ def run_batch(
 
 
 def _run(store, df, contract, run_id, now, drift_type, force_critical, drifted_path, probe, on_safe):
+    store.claim(run_id, contract.entity)
     findings = compare_schema(df.schema, contract, probe_for(probe, on_safe))
     healed = heal(df, contract, presume(findings), on_safe, probe)
     counts = store.write_split(healed, run_id)
@@ -82,12 +83,16 @@ def _run(store, df, contract, run_id, now, drift_type, force_critical, drifted_p
         held = F.when(F.col("rows_affected") > 0, F.lit(store.quarantine_path(run_id)))
         logs["anomaly_log"] = anomalies_of(assessed)
         logs["action_log"] = actions_of(assessed).withColumn("result_path", held)
+    else:  # a run that is repeated on better data leaves nothing of the first one behind
+        logs |= {name: store.empty_log(name) for name in ("anomaly_log", "action_log")}
+    commit = logs.pop("pipeline_log")
     # A handful of rows each: the time goes into starting the jobs, so start them together.
     with ThreadPoolExecutor(len(logs)) as pool:
         written = [pool.submit(store.append_log, name, df, run_id) for name, df in logs.items()]
         record = records.first().asDict()
         for log in written:
             log.result()
+    store.append_log("pipeline_log", commit, run_id)  # last: a run counts once all else stands
     return RunResult(run_id, record)
 
 

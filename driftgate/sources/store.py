@@ -179,6 +179,16 @@ class RunStore:
         own = rows.drop("run_id").coalesce(1)
         own.write.mode("overwrite").parquet(f"{self.root}/logs/{name}/run_id={run_id}")
 
+    def claim(self, run_id: str, entity: str) -> None:
+        """Refuse a run id under which another entity's run is stored: its folders would be replaced."""
+        if self.has_log("pipeline_log"):
+            others = self.log("pipeline_log").filter((F.col("run_id") == run_id) & (F.col("entity") != entity))
+            if taken := others.head():
+                raise ValueError(f"run id {run_id!r} belongs to a run of {taken['entity']!r}; use another")
+
+    def empty_log(self, name: str) -> DataFrame:
+        return self.spark.createDataFrame([], LOG_SCHEMAS[name])
+
     def log(self, name: str, evolved: bool = False) -> DataFrame:
         """All rows of a log.
 

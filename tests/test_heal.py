@@ -147,3 +147,10 @@ def test_null_values_are_skipped_at_the_scan(spark, root):
 
 def test_anomaly_fields_are_the_documented_nine():
     assert len(ANOMALY_FIELDS) == 9
+
+
+def test_a_plain_heal_keeps_dates_that_a_wider_probe_passed(spark):
+    contract = Contract.of("days", "id long, day date", ("id",), ("id",))
+    rows = spark.createDataFrame([(1, "2024-01-01"), (2, "junk"), (3, "2024-02-29")], "id long, day string")
+    found = detect(rows, contract, "r", "2024-01-31 12:00:00", probe="all")
+    assert [r["id"] for r in heal(rows, contract, found).quarantine.collect()] == [2]

@@ -143,7 +143,7 @@ def test_run_without_drift(spark, store):
     record = run_batch(store, table(spark, SMALL, "events"), EVENTS, "calm", NOW).record
     assert (record["anomaly_count"], record["max_severity"]) == (0, "NONE")
     assert record["summary_text"] == "No schema drift detected for events in run run_calm."
-    assert not store.has_log("anomaly_log")
+    assert store.log("anomaly_log").count() == 0
     assert store.clean("run_calm").count() == 1000
     views = dashboard(store)
     assert set(views) == {"recent runs", "summaries", "quarantine"}
@@ -252,7 +252,9 @@ def test_bad_parameters(spark, store):
 def test_run_ids(spark):
     assert resolve_run_id("", NOW) == resolve_run_id(None, NOW) == "run_20240131_120000"
     raw = "a b/c-é_" + "x" * 60
-    assert resolve_run_id(raw, NOW) == "run_a_b_c___" + "x" * 32
+    assert resolve_run_id(raw, NOW).startswith("run_a_b_c___" + "x" * 32 + "_")
+    assert resolve_run_id("a b", NOW) != resolve_run_id("a_b", NOW) == "run_a_b"
+    assert resolve_run_id("n" * 41 + "a", NOW) != resolve_run_id("n" * 41 + "b", NOW)
     (row,) = spark.range(1).select(sanitize_run_id(F.lit(raw)).alias("id")).collect()
     assert row["id"] == resolve_run_id(raw, NOW)
 
@@ -334,3 +336,18 @@ def test_records_and_log_summaries_agree(spark):
 def test_result_as_json(store):
     result = drill(store, "accounts", "column_added")
     assert json.loads(result.json())["max_severity"] == "LOW"
+
+
+def test_an_id_belongs_to_one_entity(store):
+    drill(store, "accounts", "column_added", run_id="shared")
+    with pytest.raises(ValueError, match="belongs to a run of 'accounts'"):
+        drill(store, "customers", "column_added", run_id="shared")
+    assert store.log("pipeline_log").count() == 1
+
+
+def test_a_better_batch_clears_the_logs_of_the_first(store, spark):
+    good = spark.createDataFrame([(1, 1.0, 2.0, 3)], "id long, a double, b double, c integer")
+    run_batch(store, good.drop("b"), THINGS, "again", NOW)
+    assert store.log("anomaly_log").count() == 1
+    run_batch(store, good, THINGS, "again", NOW)
+    assert store.log("anomaly_log").count() == store.log("action_log").count() == 0

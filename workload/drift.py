@@ -190,10 +190,12 @@ def latest_snapshot(spark, sf_dir):
 
 
 @query("""
-SELECT event_id, 'run_' || substr(
-    regexp_replace(event_type || ' #' || event_id::VARCHAR || '/' || props || '~é-' || ts::VARCHAR,
-                   '[^A-Za-z0-9_]', '_', 'g'), 1, 40) AS run_id
-FROM events
+WITH given AS (
+    SELECT event_id, event_type || ' #' || event_id::VARCHAR || '/' || props || '~é-' || ts::VARCHAR AS raw FROM events),
+made AS (SELECT *, regexp_replace(raw, '[^A-Za-z0-9_]', '_', 'g') AS safe FROM given)
+SELECT event_id, 'run_' || substr(safe, 1, 40)
+    || CASE WHEN safe = raw AND length(raw) <= 40 THEN '' ELSE '_' || substr(md5(raw), 1, 8) END AS run_id
+FROM made
 """)
 def run_id_sanitize(spark, sf_dir):
     raw = F.concat(
