@@ -34,6 +34,8 @@ WIDTH = 16.0
 LEAST_WIDTH = 1.0
 #: Words at which a text is so short that its band is twice as wide.
 SHORT = 25
+#: A language needs one in so many of all texts for a band: this bounds the table of bands, which is broadcast.
+LANGUAGES = 1 << 16
 WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 
@@ -357,10 +359,13 @@ def describe(docs: DataFrame, models: dict[str | None, Model], name: str) -> Dat
 
 
 def bands(described: DataFrame, loss: str, width: float = WIDTH) -> DataFrame:
-    """For each language the median log-perplexity and the half-width of the band around it."""
+    """For each language the median log-perplexity and the half-width of the band around it.
+
+    A language of less than one in ``LANGUAGES`` texts has none, so there are at most that many."""
+    least = described.count() / LANGUAGES
     middle = described.filter(F.col(loss).isNotNull()).groupBy(F.col("lang").alias("_lang")).agg(
-        F.percentile_approx(loss, [0.25, 0.5, 0.75], 10_000).alias("_q"),
-    )
+        F.percentile_approx(loss, [0.25, 0.5, 0.75], 10_000).alias("_q"), F.count("*").alias("_n"),
+    ).filter(F.col("_n") >= least)
     robust = (F.col("_q")[2] - F.col("_q")[0]) / 1.349
     return middle.select(
         "_lang", F.col("_q")[1].alias("_mid"), F.greatest(width * robust, F.lit(LEAST_WIDTH)).alias("_half"),
@@ -392,7 +397,7 @@ def _judged(described: DataFrame, name: str, width: float) -> DataFrame:
         failed.alias("base_failed"), (~failed & inside).alias("kept"),
     )
     return (
-        described.join(limits, F.col("lang").eqNullSafe(F.col("_lang")), "left")
+        described.join(F.broadcast(limits), F.col("lang").eqNullSafe(F.col("_lang")), "left")
         .select(*[column(described, c) for c in described.columns if c != name], own.alias(name))
     )
 
