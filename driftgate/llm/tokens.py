@@ -13,6 +13,8 @@ gives no rows.
 from __future__ import annotations
 
 import base64
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +30,10 @@ GROUP_BYTES = 24 << 20
 #: How the vocabulary's texts are cut before merging: a fixed value that belongs to it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_HELD = 200_000
+_HELD = 400_000
+#: Spaces that have other white space or an end of the text beside them, and the places where it is safe to cut.
+_SPACES = re.compile(r" \s|\s |^ | $")
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 def read_ranks(spark: SparkSession, path: str = VOCABULARY) -> dict[bytes, int]:
@@ -40,32 +45,24 @@ def read_ranks(spark: SparkSession, path: str = VOCABULARY) -> dict[bytes, int]:
 
 
 class Encoder:
-    """Texts to ids. A text is cut before each single space between two other characters, where no token of the
-    pattern can cross; the ids of those chunks are kept, since most come again."""
+    """Texts to ids, as little-endian bytes. A text is cut before each single space between two other characters, where
+    no token of the pattern can cross; the ids of those chunks are kept, since most come again."""
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.chunks: dict[str, int] = {}
-        self.forget()
-
-    def forget(self) -> None:
-        self.chunks.clear()
-        self.ids: list[np.ndarray] = []
-
-    def encode(self, text: str) -> np.ndarray:
-        chunks = text.split(" ")
-        if len(chunks) > 1 and ("  " in text or any(c[0].isspace() or c[-1].isspace() for c in chunks if c)):
-            return np.array(self.encoding.encode_ordinary(text), np.uint16)
-        chunks = [chunks[0], *(" " + c for c in chunks[1:])] if chunks[-1] else chunks
-        if not chunks[-1]:  # ends with a space
-            return np.array(self.encoding.encode_ordinary(text), np.uint16)
-        if len(self.chunks) > _HELD:
-            self.forget()
-        new = [c for c in dict.fromkeys(chunks) if c not in self.chunks]
-        for c in new:
-            self.chunks[c] = len(self.ids)
-            self.ids.append(np.array(self.encoding.encode_ordinary(c), np.uint16))
-        return np.concatenate([self.ids[self.chunks[c]] for c in chunks])
+        self.held: dict[str, bytes] = {}  # ids of a chunk and the space before it
+
+    def whole(self, text: str) -> bytes:
+        return array("H", self.encoding.encode_ordinary(text)).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        first, *chunks = _CUT.split(text) if _SPACES.search(text) else text.split(" ")
+        held = self.held
+        if len(held) > _HELD:
+            held.clear()
+        for c in {*chunks}.difference(held):
+            held[c] = self.whole(" " + c)
+        return self.whole(first) + b"".join([held[c] for c in chunks])
 
 
 class Rooms:
@@ -121,16 +118,17 @@ def best_fit(sizes: np.ndarray, width: int) -> tuple[np.ndarray, int]:
 def encoded(docs: DataFrame, ranks: dict[bytes, int], width: int = WIDTH) -> DataFrame:
     """The pieces of all documents: doc_id, piece, start (the id of the document it begins with), n, ids."""
     sent = docs.sparkSession.sparkContext.broadcast(ranks)
+    end = END.to_bytes(2, "little")
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(sent.value)
         for frame in frames:
             rows = []
             for doc, text in zip(frame["doc_id"], frame["text"], strict=True):
-                ids = np.append(encoder.encode(text), np.uint16(END)) if text else np.array([END], np.uint16)
-                for k, a in enumerate(range(0, len(ids), width)):
-                    own = ids[a : a + width]
-                    rows.append((doc, k, a, len(own), own.astype("<u2").tobytes()))
+                ids = encoder.encode(text) + end
+                for k, a in enumerate(range(0, len(ids) // 2, width)):
+                    own = ids[2 * a : 2 * (a + width)]
+                    rows.append((doc, k, a, len(own) // 2, own))
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "n", "ids"])
             yield out.astype({"doc_id": frame["doc_id"].dtype})
 
