@@ -146,8 +146,8 @@ def test_run_without_drift(spark, store):
     assert store.log("anomaly_log").count() == 0
     assert store.clean("run_calm").count() == 1000
     views = dashboard(store)
-    assert set(views) == {"recent runs", "summaries", "quarantine"}
-    assert views["quarantine"].count() == 0
+    assert set(views) == {"recent runs", "summaries", "quarantine", "anomalies"}
+    assert views["quarantine"].count() == views["anomalies"].count() == 0
 
 
 def test_empty_batch(spark, store):
