@@ -4,14 +4,15 @@ Centroids are fitted on a sample of at most ``SAMPLE`` vectors, by k-means that
 vector is then indexed. A vector near a boundary goes into several lists: all whose centroids are at most ``REPLICATE`` times
 as far as the nearest one, ``COPIES`` at most. A query finds its lists by walking a graph of near centroids in memory,
 and takes those within a ratio of the nearest centroid's distance. The ratio is fitted on the sample, such that
-``RECALL`` of its true neighbours lie in lists that are taken. Lists join queries by their number; long ones are dealt out
-in parts. Candidates are scored exactly, component by component in double precision.
+``RECALL`` of its true neighbours lie in lists that are taken. Near lists form cells of some thousand vectors, in which a
+query scores the vectors of its own lists and keeps one short list of the best; cells with more vectors or queries than
+a group holds are dealt out in parts. Candidates are scored exactly, component by component in double precision.
 
 Inner products become distances by one more component, which brings every vector to the length of the longest.
 
 Defined results: vectors that are null, zero, hold null or non-finite components, or have another length than most take
-no part, nor do rows without vec_id; repeated vec_ids are candidates for each other's queries no more than for their
-own; an empty table gives no rows.
+no part, nor do rows without vec_id; rows repeated as a whole count once, and rows of one vec_id are no candidates for
+each other's queries; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -31,7 +32,9 @@ COPIES = 3
 REPLICATE = 1.03
 RECALL = 0.95
 DEGREE = 16
-PART = 10_000
+#: Vectors and queries that meet in one group, about.
+PART = 8_192
+QUERIES = 2_048
 SEED = 7
 
 
@@ -149,27 +152,65 @@ def scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def best(queries: np.ndarray, names: np.ndarray, vectors: np.ndarray, ids: np.ndarray, top: int) -> pd.DataFrame:
-    """The ``top`` nearest of ``vectors`` for each query, exactly."""
-    slack = 1e-12 * np.linalg.norm(vectors, axis=1).max()
+def cells_of(centres: np.ndarray, sizes: np.ndarray, most: int) -> np.ndarray:
+    """The cell of each list: near lists share one of about ``most`` postings, halved along the widest direction."""
+    cells = np.zeros(len(centres), int)
+    open_, n = [np.arange(len(centres))], 0
+    while open_:
+        own = open_.pop()
+        if len(own) < 2 or sizes[own].sum() <= most:
+            cells[own] = n
+            n += 1
+            continue
+        away = centres[own] - centres[own].mean(axis=0)
+        own = own[np.argsort(away @ np.linalg.svd(away, full_matrices=False)[2][0], kind="stable")]
+        half = np.searchsorted(np.cumsum(sizes[own]), sizes[own].sum() / 2)
+        half = min(max(half, 1), len(own) - 1)
+        open_ += [own[half:], own[:half]]
+    return cells
+
+
+def padded(lists: pd.Series) -> np.ndarray:
+    """Short lists of numbers as one array, -1 where there are no more."""
+    out = np.full((len(lists), max(map(len, lists))), -1)
+    for i, x in enumerate(lists):
+        out[i, : len(x)] = x
+    return out
+
+
+def best(queries: pd.DataFrame, vectors: pd.DataFrame, top: int, k: int) -> pd.DataFrame:
+    """For each query the ``top`` nearest, exactly, of those ``vectors`` that share one of its ``k`` lists."""
+    if vectors["vec_id"].duplicated().any():  # rows repeated as a whole would push others out
+        whole = vectors["embedding"].map(lambda x: x.tobytes())
+        vectors = vectors[~pd.DataFrame({"v": vectors["vec_id"], "x": whole}).duplicated()]
+    ids, names = vectors["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
+    x, q = (np.stack(f["embedding"].to_numpy()).astype(float) for f in (vectors, queries))
+    taken = np.zeros((len(q), k + 1), bool)  # the last stands for no list
+    for i, own in enumerate(queries["lists"]):
+        taken[i, own] = True
+    lists = padded(vectors["lists"])
+    slack = 2e-12 * np.linalg.norm(x, axis=1).max()
     found = []
-    step = max(1, 2_000_000 // len(vectors))
-    for i in range(0, len(queries), step):
-        part, own = queries[i : i + step], names[i : i + step]
-        rough = part @ vectors.T
+    step = max(1, 2_000_000 // len(x))
+    for i in range(0, len(q), step):
+        part, own, mine = q[i : i + step], names[i : i + step], taken[i : i + step]
+        rough = part @ x.T
+        rough[~np.logical_or.reduce([mine[:, c] for c in lists.T])] = -np.inf
         rough[own[:, None] == ids[None, :]] = -np.inf
-        k = min(top, len(vectors)) - 1
-        least = -np.partition(-rough, k, axis=1)[:, k]
-        row, col = np.nonzero(
-            (rough >= (least - 2 * slack * np.linalg.norm(part, axis=1))[:, None]) & np.isfinite(rough)
-        )
-        exact = scores(part[row], vectors[col])
+        last = min(top, len(x)) - 1
+        least = -np.partition(-rough, last, axis=1)[:, last]
+        row, col = np.nonzero((rough >= (least - slack * np.linalg.norm(part, axis=1))[:, None]) & np.isfinite(rough))
+        exact = scores(part[row], x[col])
         order = np.lexsort((ids[col], -exact, row))
         row, col, exact = row[order], col[order], exact[order]
-        first = np.searchsorted(row, row)
-        keep = np.arange(len(row)) - first < top
-        found.append(pd.DataFrame({"query_id": own[row[keep]], "vec_id": ids[col[keep]], "score": exact[keep]}))
-    return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < top
+        row, col, exact = row[keep], col[keep], exact[keep]
+        some, start = np.unique(row, return_index=True)
+        found.append(pd.DataFrame({
+            "query_id": own[some], "ids": np.split(ids[col], start[1:]) if len(some) else [],
+            "scores": np.split(exact, start[1:]) if len(some) else [],
+        }))
+    return pd.concat(found)
 
 
 def nearest(vectors: DataFrame, every: int = 20, top: int = 20, sample: int = SAMPLE) -> DataFrame:
@@ -205,8 +246,7 @@ def nearest(vectors: DataFrame, every: int = 20, top: int = 20, sample: int = SA
     first = dict(indexed.groupBy(F.col("lists")[0].alias("l")).count().collect())
     filled = dict(indexed.select(F.explode("lists").alias("l")).groupBy("l").count().collect())
     members = np.array([first.get(i, 0) for i in range(k)])
-    parts = {i: max(1, -(-filled.get(i, 0) // PART)) for i in range(k)}
-    dealt = spark.createDataFrame(list(parts.items()), "list int, parts int")
+    cells = cells_of(graph.centres, np.array([filled.get(i, 0) for i in range(k)]), PART)
 
     def probe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, length, reach = restored()
@@ -226,30 +266,43 @@ def nearest(vectors: DataFrame, every: int = 20, top: int = 20, sample: int = SA
                 part["lists"] = lists
                 yield part
 
+    def in_cells(listed: DataFrame) -> DataFrame:
+        of = F.array(*[F.lit(int(c)) for c in cells])  # one per list, and those are bounded by the sample
+        return listed.withColumn("cell", F.explode(F.array_distinct(F.transform("lists", lambda v: F.get(of, v)))))
+
     queries = indexed.filter(F.col("vec_id") % every == 0).select("vec_id", "embedding")
-    probes = (
-        queries.mapInPandas(probe, "vec_id long, embedding array<double>, lists array<int>")
-        .select("vec_id", "embedding", F.explode("lists").alias("list"))
-        .join(F.broadcast(dealt), "list")  # at most a row per list, and those are bounded by the sample
-        .select("vec_id", "embedding", "list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    )
-    postings = (
-        indexed.select("vec_id", "embedding", F.explode("lists").alias("list")).join(F.broadcast(dealt), "list")
-        .select("vec_id", "embedding", "list", F.pmod(F.xxhash64("vec_id"), "parts").cast("int").alias("part"))
-    )
+    probes = in_cells(cut(queries.mapInPandas(probe, "vec_id long, embedding array<double>, lists array<int>")))
+    postings = in_cells(indexed)
+    # Every part of a cell's queries meets every part of its vectors; both counts have a row per cell.
+    asked, held = (dict(f.groupBy("cell").count().collect()) for f in (probes, postings))
+    parts = [(c, -(-asked[c] // QUERIES), -(-held[c] // PART)) for c in sorted(asked) if c in held]
+    dealt = F.broadcast(spark.createDataFrame(parts, "cell int, asking int, holding int"))
+    blocks = int(sum(p[2] for p in parts) ** 0.5) + 1
+
+    def part(of: str) -> Column:
+        return F.pmod(F.xxhash64("vec_id"), of).cast("int")
+
+    def each(of: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+
+    left = probes.join(dealt, "cell").withColumn("a", part("asking")).withColumn("h", each("holding"))
+    right = postings.join(dealt, "cell").withColumn("h", part("holding")).withColumn("a", each("asking"))
+    key, kept = ["cell", "a", "h"], ["vec_id", "embedding", "lists"]
 
-    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def score(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        q, x = (np.array(f["embedding"].tolist(), float) for f in (left, right))
-        return best(q, left["vec_id"].to_numpy(), x, right["vec_id"].to_numpy(), top)
+            return pd.DataFrame({"query_id": [], "block": [], "ids": [], "scores": []})
+        return best(left, right, top, k).assign(block=(key[0] + key[2]) % blocks)
 
-    found = probes.groupBy("list", "part").cogroup(postings.groupBy("list", "part")).applyInPandas(
-        score, "query_id long, vec_id long, score double"
+    found = left.select(*key, *kept).groupBy(*key).cogroup(right.select(*key, *kept).groupBy(*key)).applyInPandas(
+        score, "query_id long, block int, ids array<long>, scores array<double>"
     )
-    # Negated scores sort with the ids: nearest first, ties to the smaller.
-    pairs = F.sort_array(F.collect_set(F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("v"))))
-    ranked = found.groupBy("query_id").agg(F.slice(pairs, 1, top).alias("near"))
+    # Negated scores sort with the ids: nearest first, ties to the smaller. Twice, so that no group holds all parts' lists.
+    pairs = F.transform(F.arrays_zip("ids", "scores"), lambda p: F.struct((-p["scores"]).alias("s"), p["ids"].alias("v")))
+    ranked = found.select("query_id", "block", pairs.alias("near"))
+    for keys in (["query_id", "block"], ["query_id"]):
+        near = F.sort_array(F.array_distinct(F.flatten(F.collect_list("near"))))
+        ranked = ranked.groupBy(*keys).agg(F.slice(near, 1, top).alias("near"))
     return ranked.select("query_id", F.posexplode("near").alias("at", "n")).select(
         "query_id", (F.col("at") + 1).alias("rank"), F.col("n.v").alias("vec_id"), (-F.col("n.s")).alias("score"),
     )
