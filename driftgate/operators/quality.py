@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from driftgate.functions.columns import col, quoted, zipped
 from driftgate.settings import AMOUNT_BANDS, HOUR_WEIGHTS, Limits
 from driftgate.sources.contracts import Contract
-from driftgate.sources.tables import local_frame, small_side
+from driftgate.sources.tables import local_frame
 
 _OTHER = "(other)"
 
@@ -21,6 +21,11 @@ def _rate(hits: Column, rows: Column) -> Column:
     return F.when(rows > 0, hits / rows).otherwise(F.lit(0.0))
 
 
+def _expected(at: str, shares: Sequence[float]) -> Column:
+    known = F.element_at(F.array(*map(F.lit, shares)), F.col(at) + 1)
+    return F.when(F.col(at).isNull(), F.lit(0.0)).otherwise(known)
+
+
 def null_profile(
     df: DataFrame, contract: Contract, limits: Limits | Mapping[str, Limits] = Limits()
 ) -> DataFrame:
@@ -91,22 +96,20 @@ def domain_violations(df: DataFrame, column: str, allowed: Sequence[str]) -> Dat
 def domain_share(df: DataFrame, column: str, weights: Mapping[str, float]) -> DataFrame:
     """Observed share of each allowed value beside its expected share.
 
-    Values outside the domain count as one, so the table stays as short as the domain.
+    Values outside the domain count as one, so the table stays as short as the domain;
+    nulls have a row of their own.
     """
     total = float(sum(weights.values()))
-    shares = [(v, float(w) / total) for v, w in weights.items()] + [(_OTHER, 0.0)]
+    shares = [(v, float(w) / total) for v, w in weights.items()] + [(_OTHER, 0.0), (None, 0.0)]
     expected = local_frame(df.sparkSession, {"value": "string", "expected_share": "double"}, shares)
-    bucket = F.when(col(column).isin(*weights), col(column)).otherwise(F.lit(_OTHER))
-    counted = (
-        df.filter(col(column).isNotNull())
-        .groupBy(bucket.alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    known = col(column).isNull() | col(column).isin(*weights)
+    bucket = F.when(known, col(column)).otherwise(F.lit(_OTHER))
+    counted = df.groupBy(bucket.alias("seen")).agg(F.count(F.lit(1)).alias("n"))
     n_rows = F.coalesce(F.col("n"), F.lit(0).cast("bigint"))
     # One row per domain value reaches the window.
     everything = F.sum(n_rows).over(Window.partitionBy())
-    # At most one row per domain value, and one for the others.
-    return expected.join(F.broadcast(counted), "value", "left").select(
+    # At most one row per domain value, one for the others and one for nulls.
+    return expected.join(F.broadcast(counted), F.col("value").eqNullSafe(F.col("seen")), "left").select(
         "value",
         n_rows.alias("n_rows"),
         _rate(n_rows, everything).alias("share"),
@@ -119,18 +122,21 @@ def range_violations(
 ) -> DataFrame:
     """Rows whose value lies outside the bounds of their category, with those bounds.
 
-    ``bounds`` maps a category to its lowest and highest value, or is a DataFrame of
+    ``reason`` is ``out_of_range``, or ``unknown_category`` for rows whose category is null or has
+    no bounds. A null value is in no range and not reported by itself. ``bounds`` maps a category to its lowest and highest value, or is a DataFrame of
     ``category``, ``low`` and ``high`` with one row per category.
     """
     if isinstance(bounds, DataFrame):
-        limits = small_side(bounds.select(F.col("category").alias("_category"), "low", "high"))
+        limits = bounds.select(F.col("category").alias("_category"), "low", "high")
     else:
         # Parameters of the call; a handful.
         columns = {"_category": "string", "low": "double", "high": "double"}
         rows = [(name, *lowest_highest) for name, lowest_highest in bounds.items()]
         limits = F.broadcast(local_frame(df.sparkSession, columns, rows))
-    matched = df.join(limits, col(category) == F.col("_category"))
-    return matched.filter(~col(value).between(F.col("low"), F.col("high"))).drop("_category")
+    matched = df.join(limits, col(category) == F.col("_category"), "left")
+    outside = ~col(value).between(F.col("low"), F.col("high"))
+    reason = F.when(F.col("_category").isNull(), "unknown_category").when(outside, "out_of_range")
+    return matched.withColumn("reason", reason).filter(F.col("reason").isNotNull()).drop("_category")
 
 
 def amount_bands(
@@ -139,38 +145,29 @@ def amount_bands(
     """Rows by amount band, with the share expected of each.
 
     ``bands`` lists the upper edge of each band, exclusive, and its expected percentage;
-    amounts from the last edge up form a band of their own.
+    amounts from the last edge up form a band of their own, and nulls a null band.
     """
-    label = F.when(col(value) < bands[0][0], F.lit(0))
-    for i, (edge, _) in enumerate(bands[1:], start=1):
+    label = F.when(col(value).isNull(), F.lit(None).cast("int"))
+    for i, (edge, _) in enumerate(bands):
         label = label.when(col(value) < edge, F.lit(i))
     label = label.otherwise(F.lit(len(bands)))
-    counted = (
-        df.filter(col(value).isNotNull())
-        .groupBy(label.alias("band"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    counted = df.groupBy(label.alias("band")).agg(F.count(F.lit(1)).alias("n_rows"))
     expected = [percent / 100.0 for _, percent in bands] + [0.0]
     return counted.select(
         "band",
         "n_rows",
         (F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy())).alias("share"),
-        F.element_at(F.array(*map(F.lit, expected)), F.col("band") + 1).alias("expected_share"),
+        _expected("band", expected).alias("expected_share"),
     )
 
 
 def hour_profile(df: DataFrame, ts: str, weights: Sequence[float] = HOUR_WEIGHTS) -> DataFrame:
-    """Rows by hour of the day, with the share expected of each hour."""
+    """Rows by hour of the day, with the share expected of each hour; rows without a time under a null hour."""
     total = float(sum(weights))
-    counted = (
-        df.filter(col(ts).isNotNull())
-        .groupBy(F.hour(col(ts)).alias("hour"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
-    expected = F.array(*[F.lit(w / total) for w in weights])
+    counted = df.groupBy(F.hour(col(ts)).alias("hour")).agg(F.count(F.lit(1)).alias("n_rows"))
     return counted.select(
         "hour",
         "n_rows",
         (F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy())).alias("share"),
-        F.element_at(expected, F.col("hour") + 1).alias("expected_share"),
+        _expected("hour", [w / total for w in weights]).alias("expected_share"),
     )

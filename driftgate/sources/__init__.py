@@ -15,7 +15,6 @@ from driftgate.sources.tables import (
     build_session,
     local_frame,
     read_table,
-    small_side,
     tables_with_prefix,
     workspace,
     write_baseline,
@@ -33,7 +32,6 @@ __all__ = [
     "local_frame",
     "read_table",
     "save_snapshots",
-    "small_side",
     "snapshot_frame",
     "tables_with_prefix",
     "workspace",

@@ -130,19 +130,22 @@ class RunStore:
         return seen.get
 
     def _batch(self, run_id: str, disposition: str) -> DataFrame:
-        return (
-            self.spark.read.option("basePath", f"{self.root}/batches")
-            .parquet(f"{self.run_path('batches', run_id)}/_disposition={disposition}")
-            .drop("_disposition")
-        )
+        """The rows of one disposition; empty, with the columns of the other, if the run has none."""
+        read = self.spark.read.option("basePath", f"{self.root}/batches")
+        run = self.run_path("batches", run_id)
+        try:
+            rows = read.parquet(f"{run}/_disposition={disposition}")
+        except AnalysisException:
+            rows = read.parquet(run).filter(F.col("_disposition") == disposition)
+        return rows.drop("_disposition")
 
     def clean(self, run_id: str) -> DataFrame:
-        """Clean rows of a run, with its id; fails if the run kept none."""
+        """Clean rows of a run, with its id; none if all were held back."""
         reasons = ("_quarantine_reason", "_quarantine_reasons")
         return self._batch(run_id, CLEAN).drop(*reasons)
 
     def quarantine(self, run_id: str) -> DataFrame:
-        """Quarantined rows of a run with their reasons; fails if the run held none back."""
+        """Quarantined rows of a run with their reasons; none if all were clean."""
         return self._batch(run_id, QUARANTINE)
 
     def register_run(self, run_id: str) -> list[str]:

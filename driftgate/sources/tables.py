@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from driftgate.functions.columns import zipped
 
-# A side of at most this many rows may be broadcast.
-BROADCAST_ROWS = 100_000
-
 
 def build_session(app: str = "driftgate", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the engine is tuned for; ``conf`` adds or overrides."""
@@ -79,10 +76,3 @@ def local_frame(spark: SparkSession, columns: dict[str, str], rows) -> DataFrame
     values = dict(zip(columns, zip(*rows, strict=True), strict=True))
     array = zipped(**values).cast(f"array<struct<{types}>>")
     return spark.range(1, numPartitions=1).select(F.inline(array))
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else as it is."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

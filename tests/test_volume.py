@@ -61,6 +61,24 @@ def test_groups_are_judged_apart(spark):
     assert flagged == [("b", "spike")]
 
 
+def test_a_group_that_stops_is_judged_to_the_end(spark):
+    both = frame(spark, [10] * 20, "a").union(frame(spark, [10] * 9, "b"))
+    zero = [r for r in volume_by_day(both, "ts", by=["g"]).collect() if r["flag"] == "zero"]
+    assert {r["g"] for r in zero} == {"b"}
+    assert [(r["day"] - START).days for r in sorted(zero, key=lambda r: r["day"])] == list(range(9, 20))
+
+
+def test_stray_and_missing_times_are_counted_apart(spark):
+    stray = [(dt.datetime(9999, 12, 31), "g"), (dt.datetime(1, 1, 1), "g"), (None, "g"), (None, "g")]
+    rows = frame(spark, [10] * 9).union(spark.createDataFrame(stray, "ts timestamp_ntz, g string"))
+    found = volume_by_day(rows, "ts").collect()
+    assert len(found) == 5
+    odd = {(r["day"] and r["day"].year, r["n_rows"], r["flag"]) for r in found if r["flag"]}
+    assert odd == {(9999, 1, "outside"), (1, 1, "outside"), (None, 2, "undated")}
+    early = volume_by_day(frame(spark, [10] * 9), "ts", since="2024-01-02", until="2024-01-08").collect()
+    assert {str(r["day"]) for r in early if r["flag"] == "outside"} == {"2024-01-01", "2024-01-09"}
+
+
 def test_limits_apply(spark):
     counts = [10] * 8 + [12]
     assert ours(frame(spark, counts), limits=Limits(volume_spike=1.2))[8][1] == "spike"

@@ -84,15 +84,14 @@ def null_rates(spark, sf_dir):
 
 
 @query(" UNION ALL ".join(
-    f"SELECT '{name}' AS profile, field, metric, flagged FROM ({_profile_sql(limits)})"
+    f"SELECT '{name}' AS profile, * FROM ({_profile_sql(limits)})"
     for name, limits in PROFILES.items()
 ),
     name="null_profile_by_limits",
 )
 def null_rates_by_profile(spark, sf_dir):
     """The same batch judged by each named set of limits."""
-    judged = null_profile(_gappy(spark, sf_dir), EVENTS, PROFILES)
-    return judged.select("profile", "field", "metric", "flagged")
+    return null_profile(_gappy(spark, sf_dir), EVENTS, PROFILES)
 
 
 _SPIKE_DAYS = ("2024-01-08", "2024-01-17")
@@ -105,20 +104,24 @@ FROM (SELECT ts::DATE AS day, count(*) AS n_rows, count(*) FILTER (WHERE {bucket
           < CASE WHEN ts::DATE IN ('2024-01-08', '2024-01-17') THEN 4000 ELSE 500 END) AS n_nulls
       FROM events GROUP BY 1)
 UNION ALL
-SELECT ts::DATE, 'event_id', count(*), 0, 0.0, false FROM events GROUP BY 1
+SELECT day, field, count(*), count(*) FILTER (WHERE gone), count(*) FILTER (WHERE gone)::DOUBLE / count(*),
+    count(*) FILTER (WHERE gone)::DOUBLE / count(*) >= 0.25
+FROM (SELECT ts::DATE AS day, unnest(['event_id', 'user_id', 'event_type', 'props']) AS field,
+          unnest([event_id IS NULL, user_id IS NULL, event_type IS NULL, props IS NULL]) AS gone FROM events)
+GROUP BY 1, 2
 """,
     name="null_spike_daily",
 )
 def null_spikes_daily(spark, sf_dir):
     share = F.when(F.to_date("ts").cast("string").isin(*_SPIKE_DAYS), 4000).otherwise(500)
     value = F.when(hash_bucket("event_id", 11) >= share, F.col("value"))
-    batch = table(spark, sf_dir, "events").select("event_id", "ts", value.alias("value"))
-    return null_spikes(batch, "ts")
+    return null_spikes(table(spark, sf_dir, "events").withColumn("value", value), "ts")
 
 
 # -- volume -------------------------------------------------------------------------
 
-# Copies of each event by day: one day tripled, one thinned, one gone, then a long decline.
+# Copies of each event by day: one day tripled, one thinned, one gone, then a long decline. One type stops early.
+_STOPPED = ("purchase", "2024-01-25")
 _COPIES = {"2024-01-12": 3, "2024-01-18": 0}
 _THINNED = {"2024-01-15": 7000, "2024-01-21": 2000, "2024-01-22": 4000, "2024-01-23": 5500,
             "2024-01-24": 6700, "2024-01-25": 7600, "2024-01-26": 8300}
@@ -133,17 +136,20 @@ def _uneven(spark, sf_dir) -> DataFrame:
     for date, share in _THINNED.items():
         kept = F.when(hash_bucket("event_id", 12) >= share, 1).otherwise(0)
         copies = F.when(day == date, kept).otherwise(copies)
+    kind, stop = _STOPPED
+    copies = F.when((F.col("event_type") == kind) & (day >= stop), 0).otherwise(copies)
     return events.select("event_id", "ts", "event_type", F.explode(F.array_repeat(F.lit(1), copies)))
 
 
 _KEPT = (
+    f"CASE WHEN event_type = '{_STOPPED[0]}' AND ts::DATE::VARCHAR >= '{_STOPPED[1]}' THEN 0 ELSE "
     "CASE ts::DATE::VARCHAR "
     + "".join(f"WHEN '{d}' THEN {n} " for d, n in _COPIES.items())
     + "".join(
         f"WHEN '{d}' THEN CASE WHEN {bucket_sql(EVENT_KEY, 12)} >= {s} THEN 1 ELSE 0 END "
         for d, s in _THINNED.items()
     )
-    + "ELSE 1 END"
+    + "ELSE 1 END END"
 )
 
 
@@ -153,8 +159,9 @@ def _volume_sql(by: str = "") -> str:
     on = f"USING ({key}day)"
     return f"""
     WITH daily AS (SELECT {key}ts::DATE AS day, sum({_KEPT})::BIGINT AS n FROM events GROUP BY ALL),
-    span AS (SELECT {key}min(day) AS lo, max(day) AS hi FROM daily WHERE n > 0 {"GROUP BY " + by if by else ""}),
-    spine AS (SELECT {key}unnest(generate_series(lo, hi, INTERVAL 1 DAY))::DATE AS day FROM span),
+    span AS (SELECT min(day) AS lo, max(day) AS hi FROM daily WHERE n > 0),
+    spine AS (SELECT {key}unnest(generate_series(lo, hi, INTERVAL 1 DAY))::DATE AS day
+              FROM span{f", (SELECT DISTINCT {by} FROM daily WHERE n > 0)" if by else ""}),
     filled AS (SELECT {key}day, coalesce(n, 0) AS n FROM spine LEFT JOIN daily {on}),
     step AS (SELECT *, CASE WHEN n <= 0.9::DOUBLE * lag(n) OVER ({part}ORDER BY day)
                        THEN 1 ELSE 0 END AS fell,
@@ -197,6 +204,8 @@ SELECT d.value, count(t.value) AS n_rows,
     count(t.value)::DOUBLE / (SELECT count(*) FROM typed) AS share, d.w::DOUBLE / 100 AS expected_share
 FROM (VALUES ('DEBIT', 35), ('CREDIT', 30), ('TRANSFER', 20), ('PAYMENT', 15), ('(other)', 0)) d(value, w)
 LEFT JOIN typed t ON t.value = d.value GROUP BY d.value, d.w
+UNION ALL SELECT NULL, count(*) FILTER (WHERE value IS NULL), count(*) FILTER (WHERE value IS NULL)::DOUBLE / count(*), 0
+FROM typed
 """,
     name="domain_share",
 )
@@ -206,17 +215,20 @@ def domain_shares(spark, sf_dir):
 
 
 @query("""
-SELECT o_orderkey::VARCHAR AS account_id, a.category AS account_type, o_totalprice AS balance, low, high
+SELECT o_orderkey::VARCHAR AS account_id, a.category AS account_type, o_totalprice AS balance, low, high,
+    CASE WHEN b.category IS NULL THEN 'unknown_category' ELSE 'out_of_range' END AS reason
 FROM (SELECT *, CASE o_orderstatus WHEN 'F' THEN 'SAVINGS' WHEN 'O' THEN 'CHECKING' ELSE 'LOAN' END
              AS category FROM orders) a
-JOIN (VALUES ('SAVINGS', 100.0::DOUBLE, 500000.0::DOUBLE), ('CHECKING', 50.0, 100000.0),
-             ('CREDIT', -50000.0, 0.0), ('LOAN', -1000000.0, -1000.0)) b(category, low, high)
+LEFT JOIN (VALUES ('SAVINGS', 100.0::DOUBLE, 500000.0::DOUBLE), ('CHECKING', 50.0, 100000.0),
+             ('CREDIT', -50000.0, 0.0)) b(category, low, high)
     ON a.category = b.category
-WHERE NOT o_totalprice BETWEEN low AND high
+WHERE b.category IS NULL OR NOT o_totalprice BETWEEN low AND high
 """)
 def range_by_category(spark, sf_dir):
-    outside = range_violations(accounts(spark, sf_dir), "account_type", "balance", BALANCE_BOUNDS)
-    return outside.select("account_id", "account_type", "balance", "low", "high")
+    """Balances outside the bounds of their type, loans without any bounds."""
+    bounds = {kind: b for kind, b in BALANCE_BOUNDS.items() if kind != "LOAN"}
+    outside = range_violations(accounts(spark, sf_dir), "account_type", "balance", bounds)
+    return outside.select("account_id", "account_type", "balance", "low", "high", "reason")
 
 
 @query("""
