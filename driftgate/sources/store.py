@@ -129,14 +129,18 @@ class RunStore:
             _write_parts(rows, path)
         return seen.get
 
+    def _stored(self, run_id: str, disposition: str | None = None) -> DataFrame:
+        """What a run stored, or of that one disposition; fails if there is nothing."""
+        part = f"/_disposition={disposition}" if disposition else ""
+        read = self.spark.read.option("basePath", f"{self.root}/batches")
+        return read.parquet(self.run_path("batches", run_id) + part)
+
     def _batch(self, run_id: str, disposition: str) -> DataFrame:
         """The rows of one disposition; empty, with the columns of the other, if the run has none."""
-        read = self.spark.read.option("basePath", f"{self.root}/batches")
-        run = self.run_path("batches", run_id)
         try:
-            rows = read.parquet(f"{run}/_disposition={disposition}")
+            rows = self._stored(run_id, disposition)
         except AnalysisException:
-            rows = read.parquet(run).filter(F.col("_disposition") == disposition)
+            rows = self._stored(run_id).filter(F.col("_disposition") == disposition)
         return rows.drop("_disposition")
 
     def clean(self, run_id: str) -> DataFrame:
@@ -149,15 +153,15 @@ class RunStore:
         return self._batch(run_id, QUARANTINE)
 
     def register_run(self, run_id: str) -> list[str]:
-        """Make the batches of a run queryable in SQL as temporary views; returns their names."""
-        reads = {
-            f"drifted_{run_id}": lambda: self.drifted(run_id),
-            f"clean_{run_id}": lambda: self.clean(run_id),
-            f"quarantine_{run_id}": lambda: self.quarantine(run_id),
+        """Make the batches of a run queryable in SQL as temporary views, those that hold rows; returns their names."""
+        parts = {
+            f"drifted_{run_id}": (self.drifted, lambda: self.drifted(run_id)),
+            f"clean_{run_id}": (self.clean, lambda: self._stored(run_id, CLEAN)),
+            f"quarantine_{run_id}": (self.quarantine, lambda: self._stored(run_id, QUARANTINE)),
         }
-        made = [name for name, read in reads.items() if _readable(read)]
+        made = [name for name, (_, stored) in parts.items() if _readable(stored)]
         for name in made:
-            reads[name]().createOrReplaceTempView(name)
+            parts[name][0](run_id).createOrReplaceTempView(name)
         return made
 
     def quarantine_counts(self, run_ids: Sequence[str] | None = None) -> DataFrame:

@@ -234,6 +234,8 @@ def test_batches_of_a_run_as_views(spark, store):
     assert [r[0] for r in listed.collect()] == ["quarantine_run_v"]
     drill(store, "accounts", "column_added", run_id="w")
     assert store.register_run("run_w") == ["drifted_run_w", "clean_run_w"]
+    none = store.quarantine("run_w")
+    assert none.count() == 0 and "_quarantine_reason" in none.columns
 
 
 def test_landed_drill_is_kept(store):
