@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Shape of a run id.
@@ -27,6 +28,31 @@ def col(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def apart(df: DataFrame, known: Iterable[str] = ()) -> DataFrame:
+    """The same columns with no two names that differ only in case, which Spark cannot tell apart.
+
+    The one spelt as in ``known`` keeps its name, else the first; the others get their position, ``V`` in
+    the third place becoming ``V_3``, and so count as columns nobody expects.
+    """
+    known, names = set(known), df.columns
+    if len({name.lower() for name in names}) == len(names):
+        return df
+    keeps = {}
+    for name in sorted(names, key=lambda name: name not in known):  # stable: in order otherwise
+        keeps.setdefault(name.lower(), name)
+    taken, renamed = {name.lower() for name in names}, []
+    for i, name in enumerate(names, 1):
+        if keeps.get(name.lower()) == name:
+            keeps[name.lower()] = None
+        else:
+            name = f"{name}_{i}"
+            while name.lower() in taken:
+                name += "_"
+        taken.add(name.lower())
+        renamed.append(name)
+    return df.toDF(*renamed)
+
+
 def as_column(value) -> Column:
     """A Column as it is, anything else as a literal."""
     return value if isinstance(value, Column) else F.lit(value)

@@ -28,18 +28,23 @@ def parseable(value: Column, target: T.DataType = T.DoubleType()) -> Column:
 
 
 def reason_text(field: str) -> str:
+    # Fixed value: why a row with a value that does not parse is held back.
     return f"unparseable:{field}"
 
 
+def missing_text(field: str) -> str:
+    return f"missing:{field}"
+
+
 def reasons(bad: Mapping[str, Column]) -> Column:
-    """All reasons that hold for a row, as an array in the order given."""
-    texts = [F.when(test, F.lit(reason_text(name))) for name, test in bad.items()]
+    """All reasons whose test holds for a row, as an array in the order given."""
+    texts = [F.when(test, F.lit(reason)) for reason, test in bad.items()]
     return F.array_except(F.array(*texts), F.array(F.lit(None).cast("string")))
 
 
 def first_reason(bad: Mapping[str, Column]) -> Column:
-    """The first reason that holds for a row, null if none does."""
-    return F.coalesce(*[F.when(test, F.lit(reason_text(name))) for name, test in bad.items()])
+    """The first reason whose test holds for a row, null if none does."""
+    return F.coalesce(*[F.when(test, F.lit(reason)) for reason, test in bad.items()])
 
 
 def any_of(tests: Iterable[Column]) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftgate.functions.columns import anomaly_id, as_column, col, count_where, zipped
+from driftgate.functions.columns import anomaly_id, apart, as_column, col, count_where, zipped
 from driftgate.functions.probes import any_of, unparseable
 from driftgate.functions.text import type_name
 from driftgate.settings import (
@@ -182,7 +182,7 @@ def _entries(findings, contract, run_id, as_of, counts) -> Column:
         turned = F.coalesce(fact["bad"] > 0, F.lit(False))
         kind = F.when(turned, unsafe.anomaly_type).otherwise(fact["kind"])
         action = F.when(turned, unsafe.action).otherwise(fact["action"])
-        counted = F.concat(
+        counted = F.concat(  # fixed value: the suffix
             fact["details"], F.lit(" ("), fact["bad"].cast("string"), F.lit(" unparseable values)")
         )
         return F.struct(
@@ -211,6 +211,7 @@ def assess(
     ``run_id`` and ``as_of`` are texts for a single batch, or columns of ``df`` when it
     holds the batches of many runs.
     """
+    df = apart(df, contract.schema.names)
     findings = compare_schema(df.schema, contract, probe)
     tests = bad_value_tests(findings)
     counts = count_columns(flags(tests))
@@ -248,6 +249,7 @@ def detect(df: DataFrame, contract: Contract, run_id, as_of, probe: str = "numer
 
     A single batch is read only if a retyped column must be tested.
     """
+    df = apart(df, contract.schema.names)
     findings = compare_schema(df.schema, contract, probe)
     many_runs = isinstance(run_id, Column) or isinstance(as_of, Column)
     if many_runs or any(f.probe is not None for f in findings):

@@ -14,8 +14,15 @@ from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftgate.functions.columns import col, quoted
-from driftgate.functions.probes import any_of, first_reason, reasons, unparseable
+from driftgate.functions.columns import apart, col, quoted
+from driftgate.functions.probes import (
+    any_of,
+    first_reason,
+    missing_text,
+    reason_text,
+    reasons,
+    unparseable,
+)
 from driftgate.operators.detect import (
     Finding,
     count_columns,
@@ -33,7 +40,7 @@ from driftgate.settings import (
     RULES,
 )
 from driftgate.sources.contracts import Contract
-from driftgate.sources.store import CLEAN, QUARANTINE
+from driftgate.sources.store import ARRIVED, CLEAN, QUARANTINE
 
 _LABELS = ("_quarantine_reason", "_quarantine_reasons", "_disposition")
 
@@ -49,13 +56,14 @@ class Healed:
     tests: Mapping[str, T.DataType]
     batch_reason: str | None
     casts: frozenset[str] = field(default_factory=frozenset)
+    required: tuple[str, ...] = ()
 
     def _repaired(self) -> list:
         """Contract columns in contract order, then the others as they came.
 
         Labels of an earlier run, on rows that come back from quarantine, give way to new ones.
         """
-        kept = [name for name in self.source.columns if name not in _LABELS]
+        kept = [name for name in self.source.columns if name not in (*_LABELS, ARRIVED)]
         if self.batch_reason:
             return [quoted(name) for name in kept]
         present = [name for name in kept if name not in self.dropped]
@@ -73,7 +81,8 @@ class Healed:
 
         ``seen`` receives the counts named by ``count_columns`` when the result is written.
         """
-        tests = {name: unparseable(col(name), t) for name, t in self.tests.items()}
+        tests = {reason_text(name): unparseable(col(name), t) for name, t in self.tests.items()}
+        tests |= {missing_text(name): col(name).isNull() for name in self.required}
         repaired = self._repaired()
         tested = self.source.select(*repaired, *flag_columns(tests))
         names = tested.columns[: len(repaired)]
@@ -95,23 +104,35 @@ class Healed:
             *map(quoted, names), *[c.alias(name) for c, name in zip(labels, _LABELS, strict=True)]
         )
 
+    def stored(self, seen: Observation | None = None) -> DataFrame:
+        """The labelled batch as one write can take it: every row of one shape.
+
+        Columns that are cast are cast in all rows; what they held in rows held back stays in ``_arrived``.
+        """
+        rows = self.labelled(seen)
+        if not self.casts:
+            return rows
+        arrived = F.struct(*[quoted(name) for name in rows.columns if name in self.casts])
+        held = F.when(F.col("_disposition") == QUARANTINE, arrived)
+        return rows.withColumns({ARRIVED: held} | self._cast())
+
+    def _cast(self) -> dict:
+        types = self.contract.types()
+        return {name: col(name).try_cast(types[name]) for name in self.casts}
+
     @property
     def clean(self) -> DataFrame | None:
         """Rows that passed; None if the whole batch is held back."""
-        return None if self.batch_reason else self.clean_of(self.labelled())
-
-    def clean_of(self, labelled: DataFrame) -> DataFrame:
-        """The rows that passed of the labelled batch, cast where asked for."""
-        kept = labelled.filter(F.col("_disposition") == CLEAN).drop(*_LABELS)
-        types = self.contract.types()
-        return kept.withColumns({name: col(name).try_cast(types[name]) for name in self.casts})
+        if self.batch_reason:
+            return None
+        kept = self.labelled().filter(F.col("_disposition") == CLEAN).drop(*_LABELS)
+        return kept.withColumns(self._cast())
 
     @property
     def quarantine(self) -> DataFrame:
         """Rows held back: the batch as it arrived, or its bad rows with every reason."""
         return self.labelled().filter(F.col("_disposition") == QUARANTINE).drop("_disposition")
 
-
     @property
     def quarantine_by_reason(self) -> DataFrame:
         """Rows held back, once per reason, which is in ``reason``."""
@@ -153,6 +174,7 @@ def heal(
     anomalies: DataFrame | Iterable,
     on_safe: str = "keep",
     probe: str = "numeric",
+    required: Iterable[str] = (),
 ) -> Healed:
     """Plan the repairs that the anomalies of one run call for.
 
@@ -160,13 +182,19 @@ def heal(
     new type and only warns, ``cast`` turns text back into the contract's type. So that no
     value is lost, ``cast`` tests every such column for exactly that type, and rows that
     fail go to quarantine.
-    A DataFrame of anomalies is collected; one run has at most one per column.
+    Rows without a value in a ``required`` column go to quarantine too.
+    A DataFrame of anomalies is collected; one run has at most one per column, and more are refused.
+    Columns whose names differ only in case are told apart first; see :func:`apart`.
     """
     if on_safe not in ("keep", "cast"):
         raise ValueError(f"unknown on_safe {on_safe!r}; use 'keep' or 'cast'")
-    if isinstance(anomalies, DataFrame):
-        anomalies = in_report_order(anomalies).collect()
+    df = apart(df, contract.schema.names)
     expected = contract.types()
+    if isinstance(anomalies, DataFrame):
+        most = len(set(df.columns) | set(expected))
+        anomalies = in_report_order(anomalies).limit(most + 1).collect()
+        if len(anomalies) > most or len({a["run_id"] for a in anomalies}) > 1:
+            raise ValueError("these are the anomalies of several runs; heal takes those of one")
     actual = {f.name: f.dataType for f in df.schema.fields}
     dropped, filled, casts, tests, batch_reason = set(), set(), set(), {}, None
     for anomaly in map(_as_mapping, anomalies):
@@ -188,11 +216,13 @@ def heal(
                 tests[name] = known
         elif action == QUARANTINE_BATCH:
             # The batch is kept as it came; later columns are still tested, only to be counted.
+            # Fixed value: why a whole batch is held back.
             batch_reason = batch_reason or f"full_batch:{anomaly['anomaly_type']}"
         else:
             raise ValueError(f"unknown action {action!r}")
     if batch_reason:
         casts.clear()
     return Healed(
-        df, contract, frozenset(dropped), frozenset(filled), tests, batch_reason, frozenset(casts)
+        df, contract, frozenset(dropped), frozenset(filled), tests, batch_reason, frozenset(casts),
+        tuple(name for name in required if name in actual),
     )

@@ -7,10 +7,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftgate.functions.columns import resolve_run_id
+from driftgate.functions.columns import apart, resolve_run_id
 from driftgate.operators.detect import (
     actions_of,
     anomalies_of,
@@ -69,6 +70,7 @@ def run_batch(
 
 def _run(store, df, contract, run_id, now, drift_type, force_critical, drifted_path, probe, on_safe):
     store.claim(run_id, contract.entity)
+    df = apart(df, contract.schema.names)
     findings = compare_schema(df.schema, contract, probe_for(probe, on_safe))
     healed = heal(df, contract, presume(findings), on_safe, probe)
     counts = store.write_split(healed, run_id)
@@ -86,9 +88,11 @@ def _run(store, df, contract, run_id, now, drift_type, force_critical, drifted_p
     else:  # a run that is repeated on better data leaves nothing of the first one behind
         logs |= {name: store.empty_log(name) for name in ("anomaly_log", "action_log")}
     commit = logs.pop("pipeline_log")
-    # A handful of rows each: the time goes into starting the jobs, so start them together.
+    # A handful of rows each: the time goes into starting the jobs, so start them together,
+    # in the caller's job group and pool.
+    append = inheritable_thread_target(store.spark)(store.append_log)
     with ThreadPoolExecutor(len(logs)) as pool:
-        written = [pool.submit(store.append_log, name, df, run_id) for name, df in logs.items()]
+        written = [pool.submit(append, name, df, run_id) for name, df in logs.items()]
         record = records.first().asDict()
         for log in written:
             log.result()

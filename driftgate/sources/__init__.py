@@ -6,6 +6,7 @@ from driftgate.sources.contracts import (
     MissingContractError,
     contract_rows,
     latest_by,
+    latest_snapshots,
     load_contract,
     save_snapshots,
     snapshot_frame,
@@ -28,6 +29,7 @@ __all__ = [
     "build_session",
     "contract_rows",
     "latest_by",
+    "latest_snapshots",
     "load_contract",
     "local_frame",
     "read_table",

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,12 +26,21 @@ class Contract:
     key: tuple[str, ...]
 
     @classmethod
-    def of(cls, entity: str, columns: str, critical: Iterable[str], key: Iterable[str]) -> "Contract":
-        """A contract from ``name type`` pairs; a type followed by ``?`` may be null."""
-        schema = T.StructType()
-        for entry in columns.split(","):
-            name, kind = entry.split()
-            schema = schema.add(name, kind.rstrip("?"), kind.endswith("?"))
+    def of(
+        cls, entity: str, columns: str | T.StructType, critical: Iterable[str], key: Iterable[str]
+    ) -> "Contract":
+        """A contract from a schema, or from ``name type`` pairs; a type followed by ``?`` may be null.
+
+        Pairs need no session and state simple types, decimals included; nested ones take a schema, such as
+        ``StructType.fromDDL`` reads.
+        """
+        schema = columns
+        if isinstance(columns, str):
+            schema = T.StructType()
+            for entry in re.split(r",(?![^(]*\))", columns):  # not at the comma of a decimal
+                name, kind = entry.split(maxsplit=1)
+                kind = kind.strip()
+                schema = schema.add(name, kind.rstrip("?").replace(" ", ""), kind.endswith("?"))
         return cls(entity, schema, frozenset(critical), tuple(key))
 
     def types(self) -> dict[str, T.DataType]:
@@ -75,14 +85,20 @@ CONTRACTS = {
     )
 }
 
-SNAPSHOT_COLUMNS = ("entity_name", "schema_json", "snapshot_timestamp", "version")
+# Fixed values, but for the last two: the columns of a snapshot.
+SNAPSHOT_COLUMNS = (
+    "entity_name", "schema_json", "snapshot_timestamp", "version", "critical_json", "key_json",
+)
 
 
 def snapshot_frame(
     spark: SparkSession, contracts: Iterable[Contract], as_of: str, version: str = "1.0"
 ) -> DataFrame:
     """One snapshot row per contract."""
-    rows = [(c.entity, c.schema.json(), as_of, version) for c in contracts]
+    rows = [
+        (c.entity, c.schema.json(), as_of, version, json.dumps(sorted(c.critical)), json.dumps(c.key))
+        for c in contracts
+    ]
     return local_frame(spark, dict.fromkeys(SNAPSHOT_COLUMNS, "string"), rows)
 
 
@@ -91,28 +107,42 @@ def save_snapshots(snapshots: DataFrame, path: str) -> None:
     snapshots.write.mode("append").parquet(path)
 
 
-def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row of each key that comes last in ``order``.
+def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """The row of each key that comes last in ``order``, names or expressions.
 
     An aggregate rather than a ranked window: each task first reduces its own rows to one
     per key, so a key that holds much of the table never lands in one task.
     """
-    last = F.max_by(F.struct(*map(quoted, df.columns)), F.struct(*map(quoted, order)))
+    ranks = [by if isinstance(by, Column) else quoted(by) for by in order]
+    last = F.max_by(F.struct(*map(quoted, df.columns)), F.struct(*ranks))
     return df.groupBy(*map(quoted, keys)).agg(last.alias("_last")).select("_last.*")
 
 
+def version_rank(version: Column) -> Column:
+    """A version such as ``10.0`` as its numbers, which order it after ``9.0``."""
+    return F.transform(F.split(version, "[.]"), lambda part: part.try_cast("bigint"))
+
+
+def latest_snapshots(snapshots: DataFrame) -> DataFrame:
+    """The snapshot in force of each entity: the newest, and within a second the highest version."""
+    order = ["snapshot_timestamp", version_rank(F.col("version")), "version"]
+    return latest_by(snapshots, ["entity_name"], order)
+
+
 def load_contract(
     snapshots: DataFrame, entity: str, registry: Mapping[str, Contract] = CONTRACTS
 ) -> Contract:
-    """The contract in force: the newest snapshot with the registry's critical fields and key."""
-    newest = latest_by(
-        snapshots.filter(F.col("entity_name") == entity),
-        ["entity_name"],
-        ["snapshot_timestamp", "version"],
-    ).first()
+    """The contract in force: the newest snapshot.
+
+    One from before critical fields and keys were saved takes them from the registry.
+    """
+    newest = latest_snapshots(snapshots.filter(F.col("entity_name") == entity)).first()
     if newest is None:
         raise MissingContractError(f"no schema snapshot saved for {entity!r}")
     schema = T.StructType.fromJson(json.loads(newest["schema_json"]))
+    if "critical_json" in newest and newest["critical_json"] is not None:
+        critical, key = json.loads(newest["critical_json"]), json.loads(newest["key_json"])
+        return Contract(entity, schema, frozenset(critical), tuple(key))
     if entity in registry:
         return replace(registry[entity], schema=schema)
     return Contract(entity, schema, frozenset(), ())

@@ -32,6 +32,9 @@ from driftgate.sources.tables import write_baseline
 
 CLEAN = "clean"
 QUARANTINE = "quarantine"
+# The values of cast columns as they arrived, in rows held back.
+ARRIVED = "_arrived"
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 # Columns of the logs.
 _ANOMALY = (
@@ -60,13 +63,17 @@ def _readable(read: Callable[[], DataFrame]) -> bool:
     return True
 
 
-def _write_parts(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    rows.drop("_run_id").write.mode(mode).partitionBy("_disposition").parquet(path)
+def _partition_values(path: str) -> dict[str, str]:
+    """The partition columns that the path of a file names."""
+    return dict(part.split("=", 1) for part in path.split("/") if "=" in part)
 
 
 class RunStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
+        # With one open file at a time, Spark would sort every batch by disposition.
+        if int(spark.conf.get(_WRITERS)) < 2:
+            spark.conf.set(_WRITERS, "4")
         self.root = root.rstrip("/")
 
     def run_path(self, kind: str, run_id: str) -> str:
@@ -117,16 +124,8 @@ class RunStore:
         """
         seen = Observation()
         path = self.run_path("batches", run_id)
-        rows = healed.labelled(seen)
-        if healed.casts:
-            # Clean rows change type here, so the two halves cannot share one write. The counts
-            # come from the first: without tests, Spark plans the second away, counts and all.
-            _write_parts(healed.clean_of(rows).withColumn("_disposition", F.lit(CLEAN)), path)
-            if healed.tests:
-                held = healed.quarantine.withColumn("_disposition", F.lit(QUARANTINE))
-                _write_parts(held, path, mode="append")
-        else:
-            _write_parts(rows, path)
+        rows = healed.stored(seen).drop("_run_id")
+        rows.write.mode("overwrite").partitionBy("_disposition").parquet(path)
         return seen.get
 
     def _stored(self, run_id: str, disposition: str | None = None) -> DataFrame:
@@ -145,12 +144,28 @@ class RunStore:
 
     def clean(self, run_id: str) -> DataFrame:
         """Clean rows of a run, with its id; none if all were held back."""
-        reasons = ("_quarantine_reason", "_quarantine_reasons")
+        reasons = ("_quarantine_reason", "_quarantine_reasons", ARRIVED)
         return self._batch(run_id, CLEAN).drop(*reasons)
 
     def quarantine(self, run_id: str) -> DataFrame:
-        """Quarantined rows of a run with their reasons; none if all were clean."""
-        return self._batch(run_id, QUARANTINE)
+        """Quarantined rows of a run as they arrived, with their reasons; none if all were clean."""
+        rows = self._batch(run_id, QUARANTINE)
+        if ARRIVED not in rows.columns:
+            return rows
+        names = rows.schema[ARRIVED].dataType.names
+        return rows.withColumns({name: F.col(ARRIVED)[name] for name in names}).drop(ARRIVED)
+
+    def quarantined_runs(self, n: int) -> list[str]:
+        """The last ``n`` run ids that hold quarantined rows, logged or not.
+
+        A partition has files only if it has rows, so listing the files is enough and none is opened.
+        """
+        listed = map(_partition_values, self._layout().inputFiles())
+        return sorted({p["_run_id"] for p in listed if p["_disposition"] == QUARANTINE}, reverse=True)[:n]
+
+    def _layout(self) -> DataFrame:
+        """The stored batches as run ids and dispositions alone."""
+        return self.spark.read.schema("_run_id STRING, _disposition STRING").parquet(f"{self.root}/batches")
 
     def register_run(self, run_id: str) -> list[str]:
         """Make the batches of a run queryable in SQL as temporary views, those that hold rows; returns their names."""
@@ -169,8 +184,7 @@ class RunStore:
 
         Only the partitions asked for are visited, and of their files only the footers.
         """
-        layout = "_run_id STRING, _disposition STRING"
-        held = self.spark.read.schema(layout).parquet(f"{self.root}/batches")
+        held = self._layout()
         if run_ids is not None:
             held = held.filter(F.col("_run_id").isin(*run_ids))
         return (

@@ -1,6 +1,20 @@
 """The row split and the volume count over streams."""
 
-from driftgate.streaming.gate import gate, read_gate, read_gate_log
+from driftgate.streaming.gate import (
+    gate,
+    read_gate,
+    read_gate_actions,
+    read_gate_anomalies,
+    read_gate_log,
+)
 from driftgate.streaming.volume import count_windows, read_windows
 
-__all__ = ["count_windows", "gate", "read_gate", "read_gate_log", "read_windows"]
+__all__ = [
+    "count_windows",
+    "gate",
+    "read_gate",
+    "read_gate_actions",
+    "read_gate_anomalies",
+    "read_gate_log",
+    "read_windows",
+]

@@ -6,7 +6,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from driftgate.functions import resolve_run_id, sanitize_run_id
-from driftgate.operators import detect, retype_to_string
+from driftgate.operators import detect, heal, retype_to_string
 from driftgate.operators.detect import anomalies_of, assess
 from driftgate.plans import (
     dashboard,
@@ -304,6 +304,48 @@ def test_views_over_stored_logs(spark, store):
     assert held["run_id"] == "run_r1" and held["n_rows"] == store.quarantine("run_r1").count()
 
 
+def test_a_quarantine_without_a_log_entry_is_listed(spark, store):
+    for i in range(3):
+        drill(store, "transactions", "type_changed", run_id=f"r{i}")
+    batch = events_unsafe(spark, SMALL)
+    store.write_split(heal(batch, EVENTS, detect(batch, EVENTS, "run_r9", "now")), "run_r9")
+    assert [r["run_id"] for r in stored_quarantines(store, 2).collect()] == ["run_r9", "run_r2"]
+
+
+def test_casting_reads_the_batch_once_and_keeps_what_arrived(spark, store):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for part in parts:
+            reads.add(part.num_rows)
+            yield part
+
+    df = spark.createDataFrame([(1, "1", "2", "3"), (2, "1", "2", "1.5")], "id long, a string, b string, c string")
+    watched = df.mapInArrow(counted, df.schema)
+    run_batch(store, watched, THINGS, "once", NOW, on_safe="cast")
+    assert reads.value == 2
+    held = store.quarantine("run_once")
+    assert [tuple(r[c] for c in "abc") for r in held.collect()] == [("1", "2", "1.5")]
+    assert "_arrived" not in held.columns + store.clean("run_once").columns
+
+
+def test_names_that_differ_only_in_case(spark, store):
+    df = spark.createDataFrame([(1, "1", "9", "2", "3")], "id long, x1 string, x2 string, b string, c string")
+    twins = df.toDF("id", "A", "a", "b", "c")
+    record = run_batch(store, twins, THINGS, "twins", NOW).record
+    clean = store.clean("run_twins").drop("_run_id")
+    assert record["rows_surviving"] == 1 and clean.columns == ["id", "a", "b", "c"]
+    assert clean.first()["a"] == "9"
+    assert [r["field"] for r in store.log("anomaly_log").collect()].count("A_2") == 1
+
+
+def test_healing_takes_the_anomalies_of_one_run(spark):
+    batch = events_unsafe(spark, SMALL)
+    both = detect(batch, EVENTS, "run_1", "now").union(detect(batch, EVENTS, "run_2", "now"))
+    with pytest.raises(ValueError, match="several runs"):
+        heal(batch, EVENTS, both)
+
+
 def test_counting_quarantines_reads_no_columns(store):
     drill(store, "transactions", "type_changed")
     counts = store.quarantine_counts(["run_drill"])

@@ -4,7 +4,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftgate.operators import detect, heal
-from driftgate.streaming import count_windows, gate, read_gate, read_gate_log, read_windows
+from driftgate.streaming import (
+    count_windows,
+    gate,
+    read_gate,
+    read_gate_actions,
+    read_gate_anomalies,
+    read_gate_log,
+    read_windows,
+)
 from tests.test_queries import QUERIES, SMALL
 from workload.tables import EVENTS, events_unsafe
 
@@ -44,6 +52,23 @@ def test_gate_holds_back_a_stream_without_a_critical_column(spark, root):
     assert totals[0] == 1000
 
 
+def test_gate_holds_back_rows_of_files_that_lost_a_critical_column(spark, root):
+    whole = events_unsafe(spark, SMALL)
+    _, stream = landing(spark, root, whole, 1)
+    landing(spark, root, whole.drop("value").withColumn("tier", F.lit("GOLD")), 1)
+    gate(stream, EVENTS, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    held = read_gate(spark, f"{root}/out", "quarantine")
+    assert held.filter("_quarantine_reason = 'missing:value'").count() == 1000
+    assert read_gate(spark, f"{root}/out", "clean").filter("value IS NULL").count() == 0
+    log = {len(r["rows_missing"]): r.asDict() for r in read_gate_log(spark, f"{root}/out").collect()}
+    assert log[1]["rows_missing"] == {"value": 1000} and log[1]["rows_quarantined"] == 1000
+    assert log[0]["rows_surviving"] + log[0]["rows_quarantined"] == 1000
+    found = read_gate_anomalies(spark, f"{root}/out").select("run_id", "field", "severity").collect()
+    assert len(found) == 2 and {r["field"] for r in found} == {"value"}
+    moved = {r["run_id"]: r["rows_affected"] for r in read_gate_actions(spark, f"{root}/out").collect()}
+    assert sorted(moved.values()) == [0, log[0]["rows_quarantined"]]
+
+
 def at(*when):
     return dt.datetime(2024, 1, *when)
 

@@ -21,7 +21,7 @@ from driftgate.operators import (
 )
 from driftgate.operators.detect import actions_of
 from driftgate.settings import DRILLS
-from driftgate.sources import CONTRACTS, contract_rows, latest_by
+from driftgate.sources import CONTRACTS, contract_rows, latest_by, latest_snapshots
 from workload.entities import BASELINES
 from workload.registry import query
 from workload.tables import (
@@ -189,6 +189,37 @@ def latest_snapshot(spark, sf_dir):
     return latest_by(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"])
 
 
+@query("""
+WITH saved AS (
+    SELECT event_type AS entity_name, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS snapshot_timestamp,
+        hour(ts)::VARCHAR || '.' || minute(ts)::VARCHAR AS version, hour(ts) AS major, minute(ts) AS minor
+    FROM events GROUP BY ALL)
+SELECT entity_name, snapshot_timestamp, version FROM saved
+QUALIFY row_number() OVER (
+    PARTITION BY entity_name ORDER BY snapshot_timestamp DESC, major DESC, minor DESC) = 1
+""")
+def latest_versions(spark, sf_dir):
+    """The snapshot in force where many share a second, so that only the version as a number tells."""
+    saved = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("entity_name"),
+        F.date_format(F.date_trunc("day", "ts"), "yyyy-MM-dd HH:mm:ss").alias("snapshot_timestamp"),
+        F.concat_ws(".", F.hour("ts"), F.minute("ts")).alias("version"),
+    ).distinct()
+    return latest_snapshots(saved)
+
+
+@query("""
+SELECT c_custkey, c_nationkey::VARCHAR AS c_nationkey FROM customer
+""")
+def heal_case_twin(spark, sf_dir):
+    """A batch with a column that differs from an expected one only in case: that one is dropped."""
+    batch = table(spark, sf_dir, "customer").withColumn("c_nationkey", F.col("c_nationkey").cast("string"))
+    names = [*batch.columns, "C_NATIONKEY"]
+    twin = batch.withColumn("_twin", F.lit("junk")).toDF(*names)
+    healed = heal(twin, CUSTOMER, detect(twin, CUSTOMER, "run_twin", AS_OF))
+    return healed.clean.select("c_custkey", "c_nationkey")
+
+
 @query("""
 WITH given AS (
     SELECT event_id, event_type || ' #' || event_id::VARCHAR || '/' || props || '~é-' || ts::VARCHAR AS raw FROM events),

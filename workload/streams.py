@@ -3,10 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from driftgate.operators import retype_to_string
 from driftgate.sources import workspace
-from driftgate.streaming import count_windows, gate, read_gate, read_gate_log, read_windows
+from driftgate.streaming import (
+    count_windows,
+    gate,
+    read_gate,
+    read_gate_anomalies,
+    read_gate_log,
+    read_windows,
+)
 from workload.registry import query
 from workload.tables import EVENTS, EVENTS_UNSAFE, bad_sql, table
 
@@ -52,6 +60,38 @@ def stream_gate_log(spark, sf_dir):
     return log.groupBy().sum("rows_total", "rows_quarantined").toDF("rows_total", "rows_quarantined")
 
 
+@query(f"""
+SELECT field, anomaly_type, severity, action
+FROM (VALUES ('value', 'schema_drift_type_change_unsafe', 'CRITICAL', 'quarantine_affected_records'))
+    t(field, anomaly_type, severity, action)
+WHERE EXISTS (SELECT 1 FROM ({EVENTS_UNSAFE}) WHERE {bad_sql("value")})
+""")
+def stream_anomalies(spark, sf_dir):
+    """What the gate found, over all micro-batches."""
+    found = read_gate_anomalies(spark, _gated(spark, sf_dir))
+    return found.select("field", "anomaly_type", "severity", "action").distinct()
+
+
+@query("""
+SELECT event_id, CASE WHEN day(ts) <= 15 THEN value END AS value,
+    CASE WHEN day(ts) <= 15 THEN 'clean' ELSE 'missing:value' END AS outcome
+FROM events
+""")
+def stream_drift(spark, sf_dir):
+    """A stream whose later files come without a critical column and with one nobody expects."""
+    root, events = workspace(spark, "drifting"), table(spark, sf_dir, "events")
+    early, landing = F.dayofmonth("ts") <= 15, f"{root}/landing"
+    events.filter(early).write.parquet(landing)
+    changed = events.filter(~early).drop("value").withColumn("tier", F.lit("GOLD"))
+    changed.write.mode("append").parquet(landing)
+    stream = spark.readStream.schema(events.schema).parquet(landing)
+    gate(stream, EVENTS, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    kept, held = (read_gate(spark, f"{root}/out", part) for part in ("clean", "quarantine"))
+    return kept.select("event_id", "value", F.lit("clean").alias("outcome")).union(
+        held.select("event_id", "value", F.col("_quarantine_reason").alias("outcome"))
+    )
+
+
 @query("""
 SELECT date_trunc('day', ts)::TIMESTAMP AS window_start,
     date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY AS window_end, event_type, count(*) AS n_rows
