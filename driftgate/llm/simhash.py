@@ -81,7 +81,8 @@ def _stars(members: list[int], most: int) -> Iterator[tuple[int, int]]:
     members = sorted(members)
     if len(members) <= _FEW:
         for i, j in combinations(range(len(members)), 2):
-            if (members[i] ^ members[j]).bit_count() <= most:
+            # Members are signed: a negative number's bit_count is that of its absolute value.
+            if ((members[i] ^ members[j]) & (2**64 - 1)).bit_count() <= most:
                 link(i, j)
     else:
         spread = 0

@@ -231,6 +231,15 @@ def test_op6_dense_clusters(spark):
     assert got == dict(enumerate(want))
 
 
+def test_op6_sign_bit():
+    signed = lambda p: p - (1 << 64) if p >> 63 else p
+    for base in (0, 0x0123456789ABCDEF):
+        for b in range(63):
+            near = [signed(base), signed(base ^ (1 << 63 | 1 << b))]
+            assert list(simhash._stars(near, 2)) == [(max(near), min(near))]
+        assert not list(simhash._stars([signed(base), signed(base ^ 0xFF << 56)], 2))
+
+
 def test_components_of_a_chain(spark):
     nodes = list(range(60))
     random.Random(7).shuffle(nodes)
