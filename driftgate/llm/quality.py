@@ -1,7 +1,8 @@
 """Quality rules: counts of each text, and perplexity under an n-gram model of its language.
 
 The model is an interpolated modified Kneser-Ney model of byte 4-grams over the words of a text, joined by
-single spaces. Spark counts every text; the counts per language, context and lower order come from those by
+single spaces. It is trained on prose: texts with more than one symbol in ``PROSE`` words would make their own junk
+likely, so they are judged but not learnt from, unless they are most of their language. Spark counts every such text; the counts per language, context and lower order come from those by
 aggregation. N-grams seen less often than once in ``SIZE`` predictions of the whole corpus are then left to
 back-off, so the stored model has at most ``SIZE`` entries per order, whatever the corpus: that is what bounds the
 broadcast. It is held as sorted arrays of hashed n-grams. A document is rejected when its perplexity lies
@@ -29,9 +30,11 @@ SIZE = 1 << 20
 #: What is seen once is left to back-off at any size, so that no text vouches for itself.
 FEWEST = 2
 #: Robust standard deviations that a document's log-perplexity may lie from the median of its language.
-WIDTH = 16.0
+WIDTH = 6.0
 #: Least half-width of a band: a language whose documents are all alike rejects nobody for less.
-LEAST_WIDTH = 1.0
+LEAST_WIDTH = 0.1
+#: A text is learnt from if it has at most one symbol in so many words.
+PROSE = 10
 #: Words at which a text is so short that its band is twice as wide.
 SHORT = 25
 #: A language needs one in so many of all texts for a band: this bounds the table of bands, which is broadcast.
@@ -148,37 +151,50 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def _count_partition(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The 4-gram counts of one partition, by language."""
-    held: dict[str | None, list] = {}
+    """The 4-gram counts of one partition, by language and whether the texts are prose."""
+    held: dict[tuple[str | None, bool], list] = {}
     for frame in frames:
         for lang, texts in frame.groupby("lang", dropna=False)["text"]:
             lang = lang if isinstance(lang, str) else None
             items = texts.tolist()
             for a, b in slices(items, _PIECE):
-                joined = [j for j in (b" ".join(t.split()) for t in items[a:b]) if j]
-                if not joined:
-                    continue
-                grams, starts, ends = _grams(joined)
-                own = np.ones(len(grams), bool)
-                for k in range(ORDER - 1):
-                    own[starts[1:] - 1 - k] = False
-                parts = held.setdefault(lang, [])
-                parts.append(_counted(grams[own]))
-                if len(parts) > 16:
-                    held[lang] = [_merged(parts)]
-    for lang, parts in held.items():
+                kinds: dict[bool, list[bytes]] = {}
+                for words in (t.split() for t in items[a:b]):
+                    if words:
+                        line = b" ".join(words)
+                        symbols = len(line) - len(line.translate(None, SYMBOLS))
+                        kinds.setdefault(PROSE * symbols <= len(words), []).append(line)
+                for prose, joined in kinds.items():
+                    grams, starts, ends = _grams(joined)
+                    own = np.ones(len(grams), bool)
+                    for k in range(ORDER - 1):
+                        own[starts[1:] - 1 - k] = False
+                    parts = held.setdefault((lang, prose), [])
+                    parts.append(_counted(grams[own]))
+                    if len(parts) > 16:
+                        held[lang, prose] = [_merged(parts)]
+    for (lang, prose), parts in held.items():
         keys, counts = _merged(parts)
         for i in range(0, len(keys), 100_000):
             own = slice(i, i + 100_000)
-            yield pd.DataFrame({"lang": lang, "gram": keys[own].astype(np.int64), "c": counts[own].astype(np.int64)})
+            yield pd.DataFrame({
+                "lang": lang, "prose": prose, "gram": keys[own].astype(np.int64), "c": counts[own].astype(np.int64)
+            })
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
-    """How often each 4-gram occurs in each language, over all texts: lang, gram, c."""
+    """How often each 4-gram occurs in each language: lang, gram, c. Over all its prose, or over all its texts where
+    prose is less than half of them."""
     source = docs.select(column(docs, "lang").alias("lang"), text_bytes().alias("text"))
+    counts = cut(
+        source.mapInPandas(_count_partition, "lang string, prose boolean, gram long, c long")
+        .groupBy("lang", "gram").agg(F.sum("c").alias("c"), F.sum(F.when(F.col("prose"), F.col("c"))).alias("own"))
+    )
+    shares = cut(counts.groupBy(F.col("lang").alias("_lang")).agg((2 * F.sum("own") >= F.sum("c")).alias("_prose")))
     return (
-        source.mapInPandas(_count_partition, "lang string, gram long, c long")
-        .groupBy("lang", "gram").agg(F.sum("c").alias("c"))
+        counts.join(shares, F.col("lang").eqNullSafe(F.col("_lang")))
+        .select("lang", "gram", F.when(F.col("_prose"), F.col("own")).otherwise(F.col("c")).alias("c"))
+        .filter("c IS NOT NULL")
     )
 
 

@@ -394,6 +394,22 @@ def test_op9_bands(spark):
     assert all(got[i]["kept"] for i in range(200)) and not any(got[i]["kept"] for i in range(200, 203))
 
 
+def test_op9_junk(spark):
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8))) for _ in range(3000)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    clean = [prose(rng.randint(40, 300)) for _ in range(400)]
+    junk = [" ".join(w + rng.choice(["###", "$$$", "%%%", "&&&"]) for w in prose(120).split()) for _ in range(25)]
+    junk += [" | ".join(prose(80).split()) for _ in range(10)]
+    regular = [" ".join(f"{a}{b}" * 2 for a in "ab" for b in "abcdefghijklmnop"[i : i + 15]) for i in range(2)]
+    texts = clean + junk + regular
+    frame = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in quality.judge(frame).select("doc_id", "quality.*").collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert sum(got[i]["kept"] for i in range(400)) >= 398
+    assert not any(got[i]["kept"] for i in range(400, len(texts)))
+
+
 def test_op10_packing(spark, docs, texts):
     rows = binpack.pack(docs, group_bytes=100_000).collect()
     used, count, parts = Counter(), Counter(), {}
