@@ -8,12 +8,15 @@ its spacing, a date whatever its notation, in all documents. Without the key not
 ``pseudonym(..., back=True)`` does.
 
 Defined results: a null text stays null; a text without personal data stays as it is; values that fail validation are
-left alone; repeated rows each give a row.
+left alone; repeated rows each give a row. Where more letters or digits follow a card number or an IBAN, the longest valid
+part that ends with a group counts, for an IBAN that of its country's length; so a text that was changed is not always read the
+same way again.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Callable
 from datetime import date
 from hashlib import blake2b
@@ -34,7 +37,7 @@ PATTERNS = {
     "email": re.compile(rb"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
     "iban": re.compile(_B + rb"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}" + _E),
     "ip": re.compile(rb"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9A-Za-z])"),
-    "date": re.compile(_B + rb"(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})" + _E),
+    "date": re.compile(_B + rb"(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})(?:" + _E + rb"|(?=[Tt][0-9]{2}|[Zz]" + _E + rb"))"),
     "ssn": re.compile(_B + rb"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _E),
     "phone": re.compile(
         rb"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}"
@@ -43,6 +46,15 @@ PATTERNS = {
     "card": re.compile(_B + rb"[0-9](?:[ -]?[0-9]){12,18}" + _E),
 }
 
+#: Length of an IBAN by country.
+IBAN_LENGTHS = {c: int(n) for n, names in (
+    x.split(":") for x in (
+        "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,CR,HR,LI,LV "
+        "22:BG,BH,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR "
+        "27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU"
+    ).split()
+) for c in names.split(",")}
+
 
 def pseudonym(value: int, size: int, key: bytes, kind: str, back: bool = False) -> int:
     """``value`` permuted within 0 … ``size`` - 1 by a Feistel network, walking on until it is inside again."""
@@ -184,18 +196,42 @@ _RULES: dict[str, Callable[[str, bytes, bool], str | None]] = {
 }
 
 
+def _ends(kind: str, value: bytes) -> list[int]:
+    """How long a value may be within a match: the match itself, or for cards and IBANs also a part that ends with a group."""
+    if kind not in ("card", "iban"):
+        return [len(value)]
+    sizes, n = {}, 0
+    for group in re.finditer(rb"[0-9A-Za-z]+", value):
+        n += len(group.group())
+        sizes[group.end()] = n
+    if kind == "card":
+        return [i for i in sorted(sizes, reverse=True) if sizes[i] >= 13]
+    own = IBAN_LENGTHS.get(value[:2].decode())
+    return [i for i in sizes if sizes[i] == own and i < len(value)] + [len(value)]
+
+
 def replaced(text: bytes, key: bytes, back: bool = False) -> tuple[bytes | None, dict[str, int]]:
     """The text with pseudonyms, or None where nothing changes, and how many values of each kind it had."""
     found: list[tuple[int, int, str, bytes]] = []
     for kind in KINDS:
         if kind == "email" and b"@" not in text:
             continue
-        for m in PATTERNS[kind].finditer(text):
-            if any(a < m.end() and m.start() < b for a, b, _, _ in found):
+        others, at = sorted((a, b) for a, b, _, _ in found), 0
+        while m := PATTERNS[kind].search(text, at):
+            start, at = m.start(), m.start() + 1
+            i = bisect_right(others, (start, len(text)))
+            if i and others[i - 1][1] > start:
+                at = others[i - 1][1]
                 continue
-            new = _RULES[kind](m.group().decode(), key, back)
-            if new is not None:
-                found.append((m.start(), m.end(), kind, new.encode()))
+            free = others[i][0] if i < len(others) else len(text)
+            for end in _ends(kind, m.group()):
+                if start + end > free:
+                    continue
+                new = _RULES[kind](text[start : start + end].decode(), key, back)
+                if new is not None:
+                    found.append((start, start + end, kind, new.encode()))
+                    at = start + end
+                    break
     if not found:
         return None, {}
     out, last, counts = [], 0, dict.fromkeys(KINDS, 0)
