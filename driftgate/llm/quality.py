@@ -3,9 +3,9 @@
 The model is an interpolated modified Kneser-Ney model of byte 4-grams over the words of a text, joined by
 single spaces. It is trained on prose: texts with more than one symbol in ``PROSE`` words would make their own junk
 likely, so they are judged but not learnt from, unless they are most of their language. Spark counts every such text; the counts per language, context and lower order come from those by
-aggregation. N-grams seen less often than once in ``SIZE`` predictions of the whole corpus are then left to
-back-off, so the stored model has at most ``SIZE`` entries per order, whatever the corpus: that is what bounds the
-broadcast. It is held as sorted arrays of hashed n-grams. A document is rejected when its perplexity lies
+aggregation. N-grams seen less often than ``FEWEST`` times in their language are then left to back-off; the rest is
+the model, however large the corpus and whatever the other languages. It is held as sorted arrays of hashed n-grams. Models of
+up to ``HELD`` entries are broadcast at once; beyond that languages are taken in ranges, one after the other. A document is rejected when its perplexity lies
 outside the band of its language: ``WIDTH`` robust deviations around the median on the logarithmic scale, wider
 for short texts.
 
@@ -17,16 +17,18 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import column, cut, fresh_name, lookup, slices, text_bytes
 
 ORDER = 4
-SIZE = 1 << 20
+#: Entries of models that the driver holds and broadcasts at once; a language is never divided.
+HELD = 1 << 21
 #: What is seen once is left to back-off at any size, so that no text vouches for itself.
 FEWEST = 2
 #: Robust standard deviations that a document's log-perplexity may lie from the median of its language.
@@ -37,8 +39,6 @@ LEAST_WIDTH = 0.1
 PROSE = 10
 #: Words at which a text is so short that its band is twice as wide.
 SHORT = 25
-#: A language needs one in so many of all texts for a band: this bounds the table of bands, which is broadcast.
-LANGUAGES = 1 << 16
 WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 
@@ -290,34 +290,55 @@ def _hashed(codes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return keys[order], np.asarray(values, float)[order]
 
 
-def fit(docs: DataFrame, size: int = SIZE, fewest: int = FEWEST) -> dict[str | None, Model]:
-    """A model of each language. What reaches the driver has at most ``size`` rows per order and kind."""
+def _tables(docs: DataFrame, fewest: int) -> tuple[DataFrame, DataFrame]:
+    """What models are made of: n-grams and contexts, and how many n-grams were seen how often."""
     grams = cut(count_grams(docs).withColumn("raw", F.col("c")))
-    total = grams.agg(F.sum("c")).head()[0] or 0
-    least = max(total / size, fewest)
     tables, spectra = [], []
     for order in range(ORDER, 0, -1):
         if order < ORDER:
             grams = _of_lower(grams, order + 1)
         tag = [F.lit(order).alias("order"), "lang", "gram"]
-        tables.append(grams.filter(F.col("raw") >= least).select(*tag, F.lit(False).alias("above"), "c"))
+        tables.append(grams.filter(F.col("raw") >= fewest).select(*tag, F.lit(False).alias("above"), "c"))
         tables.append(
-            _of_contexts(grams, "c").filter(F.col("raw") >= least)
+            _of_contexts(grams, "c").filter(F.col("raw") >= fewest)
             .select(*tag, F.lit(True).alias("above"), F.col("total").alias("c"))
         )
         spectra.append(
-            grams.filter("c <= 4").groupBy("lang", "c").agg(F.count("*").alias("n"), F.sum("raw").alias("raw"))
-            .filter(F.col("raw") >= least).select(F.lit(order).alias("order"), "lang", "c", "n")
+            grams.filter("c <= 4").groupBy("lang", "c").agg(F.count("*").alias("n"))
+            .select(F.lit(order).alias("order"), "lang", "c", "n")
         )
-    union = tables[0]
-    for t in tables[1:]:
-        union = union.unionAll(t)
-    found = union.toPandas()
-    seen = spectra[0]
-    for t in spectra[1:]:
-        seen = seen.unionAll(t)
+    return cut(reduce(DataFrame.unionAll, tables)), cut(reduce(DataFrame.unionAll, spectra))
+
+
+def _ranges(found: DataFrame, held: int) -> list[Column]:
+    """Conditions on ``lang`` that part all languages into ranges of up to ``held`` entries, or of one language."""
+    sizes = found.filter("lang IS NOT NULL").groupBy("lang").count().collect()
+    starts, full = [], found.filter("lang IS NULL").count()
+    for r in sorted(sizes, key=lambda r: r["lang"].encode()):
+        if full and full + r["count"] > held:
+            starts.append(r["lang"])
+            full = 0
+        full += r["count"]
+    out = []
+    for low, high in zip([None, *starts], [*starts, None], strict=True):
+        own = F.col("lang").isNull() if low is None else F.col("lang") >= low
+        if low is None:
+            own = F.lit(True) if high is None else own | (F.col("lang") < high)
+        elif high is not None:
+            own &= F.col("lang") < high
+        out.append(own)
+    return out
+
+
+def fit(docs: DataFrame, fewest: int = FEWEST) -> dict[str | None, Model]:
+    """A model of each language."""
+    return _models(*_tables(docs, fewest))
+
+
+def _models(tables: DataFrame, spectra: DataFrame) -> dict[str | None, Model]:
+    found = tables.toPandas()
     counts: dict = {}
-    for r in seen.collect():
+    for r in spectra.collect():
         counts.setdefault(r["lang"], {}).setdefault(r["order"], {})[r["c"]] = r["n"]
     models = {}
     for lang, own in found.groupby("lang", dropna=False):
@@ -375,30 +396,37 @@ def describe(docs: DataFrame, models: dict[str | None, Model], name: str) -> Dat
 
 
 def bands(described: DataFrame, loss: str, width: float = WIDTH) -> DataFrame:
-    """For each language the median log-perplexity and the half-width of the band around it.
-
-    A language of less than one in ``LANGUAGES`` texts has none, so there are at most that many."""
-    least = described.count() / LANGUAGES
+    """For each language the median log-perplexity and the half-width of the band around it."""
     middle = described.filter(F.col(loss).isNotNull()).groupBy(F.col("lang").alias("_lang")).agg(
-        F.percentile_approx(loss, [0.25, 0.5, 0.75], 10_000).alias("_q"), F.count("*").alias("_n"),
-    ).filter(F.col("_n") >= least)
+        F.percentile_approx(loss, [0.25, 0.5, 0.75], 10_000).alias("_q"),
+    )
     robust = (F.col("_q")[2] - F.col("_q")[0]) / 1.349
     return middle.select(
         "_lang", F.col("_q")[1].alias("_mid"), F.greatest(width * robust, F.lit(LEAST_WIDTH)).alias("_half"),
     )
 
 
+def _described(docs: DataFrame, name: str, without: tuple[str, ...] = ()) -> DataFrame:
+    """``docs`` with the counts and the log-perplexity, less the columns ``without``, written range by range of languages."""
+    tables, spectra = _tables(docs, FEWEST)
+    parts = [
+        cut(describe(docs.filter(own), _models(tables.filter(own), spectra.filter(own)), name).drop(*without))
+        for own in _ranges(tables, HELD)
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def judge(docs: DataFrame, width: float = WIDTH) -> DataFrame:
     """``docs`` with a struct column ``quality`` (or that name with underscores, the last column): the counts,
     the log-perplexity, its band, base_failed and kept."""
     name = fresh_name(docs, "quality")
-    return _judged(cut(describe(docs, fit(docs), name)), name, width)
+    return _judged(_described(docs, name), name, width)
 
 
 def judged_rows(docs: DataFrame, width: float = WIDTH) -> DataFrame:
     """As ``judge``, without the texts: they are not written on the way."""
     name = fresh_name(docs, "quality")
-    return _judged(cut(describe(docs, fit(docs), name).drop("text")), name, width)
+    return _judged(_described(docs, name, ("text",)), name, width)
 
 
 def _judged(described: DataFrame, name: str, width: float) -> DataFrame:
@@ -407,13 +435,14 @@ def _judged(described: DataFrame, name: str, width: float) -> DataFrame:
     low, high = F.col("_mid") - spread, F.col("_mid") + spread
     failed = (words < 10) | (100 * F.col(f"{name}.n_repeat_words") > 20 * words)
     inside = F.coalesce(loss.between(low, high), F.lit(True))
-    limits = bands(described.select("lang", loss.alias("loss")), "loss", width)
+    # Written first, so that Spark knows the table's size: it is broadcast if small, else joined by language.
+    limits = cut(bands(described.select("lang", loss.alias("loss")), "loss", width))
     own = F.struct(
         f"{name}.*", F.exp(low).alias("lower"), F.exp(high).alias("upper"),
         failed.alias("base_failed"), (~failed & inside).alias("kept"),
     )
     return (
-        described.join(F.broadcast(limits), F.col("lang").eqNullSafe(F.col("_lang")), "left")
+        described.join(limits, F.col("lang").eqNullSafe(F.col("_lang")), "left")
         .select(*[column(described, c) for c in described.columns if c != name], own.alias(name))
     )
 

@@ -410,6 +410,30 @@ def test_op9_junk(spark):
     assert not any(got[i]["kept"] for i in range(400, len(texts)))
 
 
+def test_op9_rare_languages(spark, monkeypatch):
+    rng = random.Random(12)
+    rare = [(" ".join(rng.choice(["lumo", "teka", "siri", "pano"]) for _ in range(12)), "r") for _ in range(4)]
+    common = [("".join(rng.choice("abcdefgh ") for _ in range(3000)), lang) for lang in ("a", "z") for _ in range(12)]
+    alone = quality.fit(spark.createDataFrame(rare, "text string, lang string"))["r"]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rare + common + [(None, None)])], "doc_id long, text string, lang string")
+    beside = quality.fit(frame)["r"]
+    assert all(np.array_equal(x, y) for x, y in zip(alone.four, beside.four, strict=True)) and len(alone.four[0])
+    wanted = {r["doc_id"]: r["quality"] for r in quality.judge(frame).collect()}
+    assert all(wanted[i]["upper"] is not None for i in range(len(rare)))
+    monkeypatch.setattr(quality, "HELD", 1)  # a range for each language
+    assert {r["doc_id"]: r["quality"] for r in quality.judge(frame).collect()} == wanted and len(wanted) == 29
+
+
+def test_op9_small_share(spark):
+    many = spark.range(70_000).selectExpr("id AS doc_id", "sha2(string(id), 256) AS text", "'z' AS lang")
+    rare = spark.createDataFrame([(-1, "lumo teka siri pano " * 3, "r")], "doc_id long, text string, lang string")
+    frame = many.unionAll(rare)
+    alone, beside = quality.fit(rare)["r"], quality.fit(frame)["r"]
+    assert len(alone.four[0]) and all(np.array_equal(x, y) for x, y in zip(alone.four, beside.four, strict=True))
+    (row,) = quality.judge(frame).filter("lang = 'r'").collect()
+    assert row["quality"]["upper"] is not None
+
+
 def test_op10_packing(spark, docs, texts):
     rows = binpack.pack(docs, group_bytes=100_000).collect()
     used, count, parts = Counter(), Counter(), {}
