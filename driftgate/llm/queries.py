@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binpack, mixing, neighbours, pii, quality, repeats, secrets, simhash, tokens, urls
+from . import binpack, mixing, neighbours, phrases, pii, quality, repeats, secrets, simhash, tokens, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,6 +17,16 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+def in_sql(sql: str) -> Callable[[Callable], Callable]:
+    """The SQL that gives the same rows as the query below."""
+
+    def register(fn: Callable) -> Callable:
+        ORACLES[fn.__name__] = sql
+        return fn
+
+    return register
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -93,3 +103,42 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest others of every vector whose id is divisible by 20."""
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@in_sql(r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') AS w
+    FROM (SELECT lang, unnest(regexp_split_to_array(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+grams AS (
+    SELECT lang, words, array_to_string(w[i:i + words - 1], ' ') AS phrase
+    FROM (SELECT lang, w, words, unnest(range(1, len(w) - words + 2)) AS i
+        FROM pieces CROSS JOIN (VALUES (1), (2), (3), (4), (5)) t(words))),
+counts AS (SELECT lang, words, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+longer AS (
+    SELECT lang, part, max(f) AS f
+    FROM (SELECT lang, f, unnest([array_to_string(string_split(phrase, ' ')[2:], ' '),
+            array_to_string(string_split(phrase, ' ')[:-2], ' ')]) AS part
+        FROM counts WHERE words > 1)
+    GROUP BY lang, part),
+cuts AS (
+    SELECT c.lang, c.phrase, c.f AS a, x.f AS l, y.f AS r, n, k,
+        (1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f) AS score
+    FROM (SELECT *, unnest(range(1, words)) AS k FROM counts WHERE words > 1) c
+    JOIN totals USING (lang)
+    JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(string_split(c.phrase, ' ')[:k], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(string_split(c.phrase, ' ')[k + 1:], ' ')),
+lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+    phrase, a, l, r, n, score::BIGINT AS score
+FROM lowest
+WHERE NOT EXISTS (SELECT 1 FROM longer o WHERE o.lang = lowest.lang AND o.part = phrase AND 100 * o.f >= 100 * a)
+QUALIFY rank <= 2000
+""")
+@query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 phrases of each language that stand out most."""
+    return phrases.mine(table(spark, sf_dir, "documents").select("text", "lang"))
