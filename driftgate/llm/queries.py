@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import binpack, mixing, neighbours, phrases, pii, quality, repeats, secrets, simhash, tokens, urls
+from . import binpack, mixing, neighbours, phrases, pii, quality, repeats, secrets, simhash, tokens, urls, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -142,3 +143,10 @@ QUALIFY rank <= 2000
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2,000 phrases of each language that stand out most."""
     return phrases.mine(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the eight leading components, whitened."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
