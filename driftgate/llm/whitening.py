@@ -42,13 +42,15 @@ ROUNDS = 60
 NOTHING = 1e-11
 #: Entries up to here stay whole numbers in double precision when scaled.
 LARGEST = 2.0**41
+#: Bytes of vectors that are multiplied at once.
+PACKED = 1 << 18
 SEED = 13
 
 _Multiply = Callable[[np.ndarray], np.ndarray]
 
 
-def whole_entries(vectors: DataFrame) -> DataFrame:
-    """vec_id, x: floor(1024 c) + 100000 of every entry of the vectors that take part."""
+def whole_entries(vectors: DataFrame) -> tuple[DataFrame, int]:
+    """vec_id, x: floor(1024 c) + 100000 of every entry of the vectors that take part; and how many entries they have."""
 
     def usable(c: Column) -> Column:
         return c.isNotNull() & ~F.isnan(c) & (F.abs(c) <= LARGEST)
@@ -57,41 +59,60 @@ def whole_entries(vectors: DataFrame) -> DataFrame:
     rows = vectors.select(column(vectors, "vec_id").alias("vec_id"), entries)
     rows = rows.filter(F.size("x") > 0).filter(F.forall("x", usable))
     sizes = rows.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).head()
-    rows = rows.filter(F.size("x") == (sizes["d"] if sizes else -1))
-    return rows.withColumn("x", F.transform("x", lambda c: F.floor(c * 1024).cast("long") + F.lit(100_000)))
+    d = sizes["d"] if sizes else 0
+    whole = F.transform("x", lambda c: F.floor(c * 1024).cast("long") + F.lit(100_000))
+    return rows.filter(F.size("x") == d).select("vec_id", whole.alias("x")), d
 
 
-def _matrix(batch: pa.RecordBatch, d: int) -> np.ndarray:
-    return batch.column("x").flatten().to_numpy().reshape(-1, d)
+def _packed(rows: DataFrame, d: int) -> DataFrame:
+    """The vectors some ``PACKED`` bytes at a time: vec_ids, x. Passes then move few rows from Spark to numpy."""
+    most = max(1, PACKED // (8 * max(d, 1)))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, most):
+                own = batch.slice(at, most)
+                ids, x = own.column("vec_id"), own.column("x").flatten().to_numpy()
+                ids = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+                yield pa.RecordBatch.from_arrays([ids, pa.array([x.tobytes()], pa.binary())], ["vec_ids", "x"])
+
+    kind = rows.schema["vec_id"].dataType.simpleString()
+    return cut(rows.mapInArrow(pack, f"vec_ids array<{kind}>, x binary"))
+
+
+def _matrices(batches: Iterator[pa.RecordBatch], d: int) -> Iterator[np.ndarray]:
+    for batch in batches:
+        for x in batch.column("x"):
+            yield np.frombuffer(x.as_buffer(), np.int64).reshape(-1, d)
 
 
 class Fitted:
     """The fit list: its vectors, how many, their length, and the exact sums by dimension."""
 
-    def __init__(self, rows: DataFrame) -> None:
-        self.rows = rows
-        first = rows.select(F.size("x").alias("d")).head()
-        self.d = first["d"] if first else 0
-        d = self.d
+    def __init__(self, vectors: DataFrame) -> None:
+        whole, self.d = whole_entries(vectors)
+        d, self.rows = self.d, _packed(whole, self.d)
 
         def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            n, high, low = 0, np.zeros(d, np.int64), np.zeros(d, np.int64)
-            for batch in batches:
-                x = _matrix(batch, d)
+            n, high, low, squares = 0, np.zeros(d, np.int64), np.zeros(d, np.int64), np.zeros(d)
+            for x in _matrices(batches, d):
                 n += len(x)
                 high += (x >> 26).sum(axis=0)  # in halves, which cannot overflow
                 low += (x & ((1 << 26) - 1)).sum(axis=0)
-            columns = np.arange(d), np.full(d, n), high, low
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["dim", "n", "high", "low"])
+                squares += (x.astype(float) ** 2).sum(axis=0)
+            columns = np.arange(d), np.full(d, n), high, low, squares
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["dim", "n", "high", "low", "squares"])
 
         found = []
         if d:
-            parts = rows.select("x").mapInArrow(sums, "dim long, n long, high long, low long")
+            parts = self.rows.select("x").mapInArrow(sums, "dim long, n long, high long, low long, squares double")
             whole = [F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in ("high", "low")]
-            found = sorted(parts.groupBy("dim").agg(F.sum("n").alias("n"), *whole).collect())
+            found = sorted(parts.groupBy("dim").agg(F.sum("n").alias("n"), *whole, F.sum("squares").alias("s")).collect())
         self.n = found[0]["n"] if found else 0
         self.sums = [(int(r["high"]) << 26) + int(r["low"]) for r in found]
         self.mean = np.array([s / self.n for s in self.sums])
+        #: No less than all squares around the mean add up to.
+        self.most = 2 * sum(r["s"] for r in found)
 
     def total(self, part: Callable[[np.ndarray], np.ndarray], shape: tuple[int, int], bound: float) -> np.ndarray:
         """``part`` of the centred vectors, added up over all of them; ``bound``: no sum of absolute values passes it."""
@@ -100,14 +121,14 @@ class Fitted:
 
         def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = np.zeros(shape)
-            for batch in batches:
-                held += part(_matrix(batch, d) - mean)
+            for x in _matrices(batches, d):
+                held += part(x - mean)
             whole = np.rint(held * scale).astype(np.int64)
             columns = [pa.array(np.arange(shape[0])), *[pa.array(whole[:, i]) for i in range(shape[1])]]
             yield pa.RecordBatch.from_arrays(columns, ["dim", *names])
 
         parts = self.rows.select("x").mapInArrow(summed, "dim long, " + ", ".join(f"{c} long" for c in names))
-        found = sorted(parts.groupBy("dim").agg(*[F.sum(c).alias(c) for c in names]).collect())
+        found = sorted(parts.groupBy("dim").sum(*names).collect())
         return np.array([r[1:] for r in found], float) / scale
 
 
@@ -177,16 +198,14 @@ def _deviations(x: np.ndarray, n: int, sums: list[int]) -> list[Decimal | None]:
 def whiten(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
     """One row per vector that takes part and component: vec_id, component, n, deviation (decimal), whitened, explained
     and identity_error."""
-    fit = Fitted(cut(whole_entries(vectors)))
-    kind = fit.rows.schema["vec_id"].dataType.simpleString()
+    fit = Fitted(vectors)
+    kind = fit.rows.schema["vec_ids"].dataType.elementType.simpleString()
     schema = f"vec_id {kind}, deviation decimal(38,0), component int, whitened double"
     values, axes = np.zeros(0), np.zeros((fit.d, 0))
     trace = error = 0.0
     d, n, sums, mean = fit.d, fit.n, fit.sums, fit.mean
     if n:
-        # Each task adds up what cannot be negative; a bound of all of it first, roughly, then the sum itself.
-        rough = float(fit.rows.agg(F.sum(F.aggregate("x", F.lit(0.0), lambda s, x: s + x.cast("double") ** 2))).head()[0])
-        squares = fit.total(lambda x: np.array([[(x**2).sum()]]), (1, 1), 2 * rough)[0, 0]
+        squares = fit.total(lambda x: np.array([[(x**2).sum()]]), (1, 1), fit.most)[0, 0]
         trace = squares / n
     if trace > 0:
 
@@ -209,18 +228,16 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
         error = float(np.abs(fit.total(products, (k, k), 4 * n) / n - np.eye(k)).max())
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = _matrix(batch, d) if k else np.zeros((0, d))
-            if not len(x):
-                continue
-            at = pa.array(np.repeat(np.arange(len(x)), k))
-            deviations = pa.array(_deviations(x, n, sums), pa.decimal128(38, 0))
-            own = ((x - mean) @ scaled).ravel()
-            columns = [
-                batch.column("vec_id").take(at), deviations.take(at),
-                pa.array(np.tile(np.arange(1, k + 1, dtype=np.int32), len(x))), pa.array(own),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["vec_id", "deviation", "component", "whitened"])
+        for batch in batches if k else ():
+            for ids, x in zip(batch.column("vec_ids"), _matrices([batch], d), strict=True):
+                at = pa.array(np.repeat(np.arange(len(x)), k))
+                deviations = pa.array(_deviations(x, n, sums), pa.decimal128(38, 0))
+                own = ((x - mean) @ scaled).ravel()
+                columns = [
+                    ids.values.take(at), deviations.take(at),
+                    pa.array(np.tile(np.arange(1, k + 1, dtype=np.int32), len(x))), pa.array(own),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["vec_id", "deviation", "component", "whitened"])
 
     share = F.element_at(F.array(*[F.lit(float(v / trace)) for v in values] or [F.lit(0.0)]), F.col("component"))
     return fit.rows.mapInArrow(project, schema).select(
