@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import binpack, mixing, neighbours, phrases, pii, quality, repeats, secrets, simhash, tokens, urls, whitening
+from . import binpack, classifier, mixing, neighbours, phrases, pii, quality, repeats, secrets, simhash, tokens, urls, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -150,3 +150,10 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector on the eight leading components, whitened."""
     found = whitening.whiten(table(spark, sf_dir, "embeddings"))
     return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query
+def op11_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score, learnt from the labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return classifier.judge(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
