@@ -30,10 +30,10 @@ from .quality import _word_hashes
 BITS = 20
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE = 20_000
-EPOCHS = 3
+EPOCHS = 5
 NGRAMS = 2
 #: Rate and smoothing of the steps, and the penalties on weights.
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 1e-4, 1e-5
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 1e-4, 1e-5
 #: Scores from here on predict a good document.
 THRESHOLD = 0.3
 FOLDS = 5
