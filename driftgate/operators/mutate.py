@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from driftgate.functions.columns import col, hash_bucket, quoted
 from driftgate.settings import DRILL_KINDS, ERROR_SHARE, NOT_AVAILABLE_SHARE, Drill
+from driftgate.sources.contracts import Contract
 from driftgate.sources.store import RunStore
 
 
@@ -76,13 +77,13 @@ def drill(
 
 
 def inject(
-    store: RunStore, df: DataFrame, spec: Drill, kind: str, key: Sequence[str], run_id: str,
+    store: RunStore, df: DataFrame, spec: Drill, kind: str, contract: Contract, run_id: str,
     force_critical: bool = False,
 ) -> tuple[DataFrame, str, Drilled]:
     """Apply a drill and land the drifted batch; returns the landed batch, its path and the drill.
 
     The batch is read back from where it landed, so what follows does not redo the drill.
     """
-    done = drill(df, spec, kind, key, force_critical)
-    path = store.write_drifted(done.df, run_id)
+    done = drill(df, spec, kind, contract.key, force_critical)
+    path = store.write_drifted(done.df, contract.entity, run_id)
     return store.spark.read.schema(done.df.schema).parquet(path), path, done

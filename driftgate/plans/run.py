@@ -69,7 +69,6 @@ def run_batch(
 
 
 def _run(store, df, contract, run_id, now, drift_type, force_critical, drifted_path, probe, on_safe):
-    store.claim(run_id, contract.entity)
     df = apart(df, contract.schema.names)
     findings = compare_schema(df.schema, contract, probe_for(probe, on_safe))
     healed = heal(df, contract, presume(findings), on_safe, probe)
@@ -82,7 +81,7 @@ def _run(store, df, contract, run_id, now, drift_type, force_critical, drifted_p
     records = run_records(assessed, drift_type, force_critical, drifted_path)
     logs = {"run_summaries": records.select(*SUMMARY_FIELDS), "pipeline_log": records}
     if findings:
-        held = F.when(F.col("rows_affected") > 0, F.lit(store.quarantine_path(run_id)))
+        held = F.when(F.col("rows_affected") > 0, F.lit(store.quarantine_path(contract.entity, run_id)))
         logs["anomaly_log"] = anomalies_of(assessed)
         logs["action_log"] = actions_of(assessed).withColumn("result_path", held)
     else:  # a run that is repeated on better data leaves nothing of the first one behind
@@ -92,11 +91,11 @@ def _run(store, df, contract, run_id, now, drift_type, force_critical, drifted_p
     # in the caller's job group and pool.
     append = inheritable_thread_target(store.spark)(store.append_log)
     with ThreadPoolExecutor(len(logs)) as pool:
-        written = [pool.submit(append, name, df, run_id) for name, df in logs.items()]
+        written = [pool.submit(append, name, df, run_id, contract.entity) for name, df in logs.items()]
         record = records.first().asDict()
         for log in written:
             log.result()
-    store.append_log("pipeline_log", commit, run_id)  # last: a run counts once all else stands
+    store.append_log("pipeline_log", commit, run_id, contract.entity)  # last: a run counts once all else stands
     return RunResult(run_id, record)
 
 
@@ -118,7 +117,7 @@ def run_drill(
         raise ValueError(f"no drill for {contract.entity!r}; known: {sorted(DRILLS)}")
     now = _clock(as_of)
     run_id = resolve_run_id(run_id, now)
-    landed, path, _ = inject(store, df, spec, drift_type, contract.key, run_id, force_critical)
+    landed, path, _ = inject(store, df, spec, drift_type, contract, run_id, force_critical)
     return _run(
         store, landed, contract, run_id, now, drift_type, force_critical, path, "numeric", "keep"
     )

@@ -49,7 +49,8 @@ def recent_summaries(summaries: DataFrame, n: int = SUMMARIES) -> DataFrame:
 
 def quarantine_counts(per_run: DataFrame, n: int = QUARANTINES) -> DataFrame:
     """The last runs by id that hold quarantined rows, with how many."""
-    return per_run.filter(F.col("n_rows") > 0).orderBy(F.desc("run_id")).limit(n)
+    ties = [F.col(c) for c in ("entity",) if c in per_run.columns]
+    return per_run.filter(F.col("n_rows") > 0).orderBy(F.desc("run_id"), *ties).limit(n)
 
 
 def stored_quarantines(store: RunStore, n: int = QUARANTINES) -> DataFrame:

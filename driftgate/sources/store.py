@@ -2,18 +2,21 @@
 
     <root>/baselines/<entity>/                    good data, for drills
     <root>/contracts/                             schema snapshots, every version
-    <root>/drifted/_run_id=R/                     the batch as it arrived
-    <root>/batches/_run_id=R/_disposition=clean/       repaired rows
-    <root>/batches/_run_id=R/_disposition=quarantine/  rows held back, with reasons
-    <root>/logs/<name>/run_id=R/                  log rows of the run
-
-Every write of a run replaces the folder of its own run as a whole, so repeating a run
-changes nothing and leaves no rows of the earlier attempt behind.
+    <root>/drifted/_entity=E/_run_id=R/           the batch as it arrived
+    <root>/batches/_entity=E/_run_id=R/_disposition=clean/       repaired rows
+    <root>/batches/_entity=E/_run_id=R/_disposition=quarantine/  rows held back, with reasons
+    <root>/logs/<name>/_entity=E/run_id=R/        log rows of the run
+
+Every write of a run replaces the folder of its own entity and run as a whole, so repeating a run
+changes nothing and leaves no rows of the earlier attempt behind. An orchestrator may give one run id
+to several entities: nothing they write shares a folder, and no run has to look at earlier ones.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -76,11 +79,31 @@ class RunStore:
             spark.conf.set(_WRITERS, "4")
         self.root = root.rstrip("/")
 
-    def run_path(self, kind: str, run_id: str) -> str:
-        return f"{self.root}/{kind}/_run_id={run_id}"
+    def run_path(self, kind: str, entity: str, run_id: str) -> str:
+        return f"{self._entity_path(kind, entity)}/_run_id={run_id}"
+
+    def _entity_path(self, kind: str, entity: str) -> str:
+        # Spark reads such a name back as it was: it knows escapes of single bytes only.
+        name = re.sub(r"[\x00-\x7f]", lambda c: c[0] if c[0].isalnum() or c[0] in "_-. " else f"%{ord(c[0]):02X}", entity)
+        return f"{self.root}/{kind}/_entity={name}"
+
+    def quarantine_path(self, entity: str, run_id: str) -> str:
+        return f"{self.run_path('batches', entity, run_id)}/_disposition={QUARANTINE}"
+
+    def entities_of(self, run_id: str, kind: str = "batches") -> list[str]:
+        """The entities that have a run of this id."""
+        read = self.spark.read.schema("_entity STRING").option("basePath", f"{self.root}/{kind}")
+        try:
+            files = read.parquet(f"{self.root}/{kind}/_entity=*/_run_id={run_id}").inputFiles()
+        except AnalysisException:
+            return []
+        return sorted({unquote(unquote(_partition_values(path)["_entity"])) for path in files})
 
-    def quarantine_path(self, run_id: str) -> str:
-        return f"{self.run_path('batches', run_id)}/_disposition={QUARANTINE}"
+    def _only_entity(self, run_id: str, kind: str) -> str:
+        found = self.entities_of(run_id, kind)
+        if len(found) > 1:
+            raise ValueError(f"run id {run_id!r} has runs of {found}; name the entity")
+        return found[0] if found else ""
 
     # -- baselines and contracts -----------------------------------------
 
@@ -107,15 +130,14 @@ class RunStore:
 
     # -- batches -----------------------------------------------------------
 
-    def write_drifted(self, df: DataFrame, run_id: str) -> str:
-        path = self.run_path("drifted", run_id)
+    def write_drifted(self, df: DataFrame, entity: str, run_id: str) -> str:
+        path = self.run_path("drifted", entity, run_id)
         df.drop("_run_id").write.mode("overwrite").parquet(path)
         return path
 
-    def drifted(self, run_id: str) -> DataFrame:
+    def drifted(self, run_id: str, entity: str | None = None) -> DataFrame:
         """The batch of a run as it arrived, with its id."""
-        path = self.run_path("drifted", run_id)
-        return self.spark.read.option("basePath", f"{self.root}/drifted").parquet(path)
+        return self._read("drifted", run_id, entity)
 
     def write_split(self, healed, run_id: str) -> dict[str, int]:
         """Write clean and quarantined rows in one pass; return the counts seen on the way.
@@ -123,33 +145,38 @@ class RunStore:
         The counts are taken in the writing stage itself, so the batch is not read again.
         """
         seen = Observation()
-        path = self.run_path("batches", run_id)
+        path = self.run_path("batches", healed.contract.entity, run_id)
         rows = healed.stored(seen).drop("_run_id")
         rows.write.mode("overwrite").partitionBy("_disposition").parquet(path)
         return seen.get
 
-    def _stored(self, run_id: str, disposition: str | None = None) -> DataFrame:
-        """What a run stored, or of that one disposition; fails if there is nothing."""
-        part = f"/_disposition={disposition}" if disposition else ""
-        read = self.spark.read.option("basePath", f"{self.root}/batches")
-        return read.parquet(self.run_path("batches", run_id) + part)
+    def _read(self, kind: str, run_id: str, entity: str | None, part: str = "") -> DataFrame:
+        """What a run stored; fails if there is nothing. Without an entity, of the only one with a run of this id."""
+        entity = entity or self._only_entity(run_id, kind)
+        read = self.spark.read.option("basePath", self._entity_path(kind, entity))
+        return read.parquet(self.run_path(kind, entity, run_id) + part)
+
+    def _stored(self, run_id: str, entity: str | None, disposition: str | None = None) -> DataFrame:
+        """What a run's split stored, or of that one disposition; fails if there is nothing."""
+        return self._read("batches", run_id, entity, f"/_disposition={disposition}" if disposition else "")
 
-    def _batch(self, run_id: str, disposition: str) -> DataFrame:
+    def _batch(self, run_id: str, entity: str | None, disposition: str) -> DataFrame:
         """The rows of one disposition; empty, with the columns of the other, if the run has none."""
+        entity = entity or self._only_entity(run_id, "batches")
         try:
-            rows = self._stored(run_id, disposition)
+            rows = self._stored(run_id, entity, disposition)
         except AnalysisException:
-            rows = self._stored(run_id).filter(F.col("_disposition") == disposition)
+            rows = self._stored(run_id, entity).filter(F.col("_disposition") == disposition)
         return rows.drop("_disposition")
 
-    def clean(self, run_id: str) -> DataFrame:
+    def clean(self, run_id: str, entity: str | None = None) -> DataFrame:
         """Clean rows of a run, with its id; none if all were held back."""
         reasons = ("_quarantine_reason", "_quarantine_reasons", ARRIVED)
-        return self._batch(run_id, CLEAN).drop(*reasons)
+        return self._batch(run_id, entity, CLEAN).drop(*reasons)
 
-    def quarantine(self, run_id: str) -> DataFrame:
+    def quarantine(self, run_id: str, entity: str | None = None) -> DataFrame:
         """Quarantined rows of a run as they arrived, with their reasons; none if all were clean."""
-        rows = self._batch(run_id, QUARANTINE)
+        rows = self._batch(run_id, entity, QUARANTINE)
         if ARRIVED not in rows.columns:
             return rows
         names = rows.schema[ARRIVED].dataType.names
@@ -164,23 +191,27 @@ class RunStore:
         return sorted({p["_run_id"] for p in listed if p["_disposition"] == QUARANTINE}, reverse=True)[:n]
 
     def _layout(self) -> DataFrame:
-        """The stored batches as run ids and dispositions alone."""
-        return self.spark.read.schema("_run_id STRING, _disposition STRING").parquet(f"{self.root}/batches")
+        """The stored batches as entities, run ids and dispositions alone."""
+        return self.spark.read.schema("_entity STRING, _run_id STRING, _disposition STRING").parquet(f"{self.root}/batches")
+
+    def register_run(self, run_id: str, entity: str | None = None) -> list[str]:
+        """Make the batches of a run queryable in SQL as temporary views, those that hold rows; returns their names.
 
-    def register_run(self, run_id: str) -> list[str]:
-        """Make the batches of a run queryable in SQL as temporary views, those that hold rows; returns their names."""
+        With an entity given, the names hold it too, so that runs of one id can be seen side by side.
+        """
+        owner = f"{re.sub('[^A-Za-z0-9_]', '_', entity)}_" if entity else ""
         parts = {
-            f"drifted_{run_id}": (self.drifted, lambda: self.drifted(run_id)),
-            f"clean_{run_id}": (self.clean, lambda: self._stored(run_id, CLEAN)),
-            f"quarantine_{run_id}": (self.quarantine, lambda: self._stored(run_id, QUARANTINE)),
+            f"drifted_{owner}{run_id}": (self.drifted, lambda: self.drifted(run_id, entity)),
+            f"clean_{owner}{run_id}": (self.clean, lambda: self._stored(run_id, entity, CLEAN)),
+            f"quarantine_{owner}{run_id}": (self.quarantine, lambda: self._stored(run_id, entity, QUARANTINE)),
         }
         made = [name for name, (_, stored) in parts.items() if _readable(stored)]
         for name in made:
-            parts[name][0](run_id).createOrReplaceTempView(name)
+            parts[name][0](run_id, entity).createOrReplaceTempView(name)
         return made
 
     def quarantine_counts(self, run_ids: Sequence[str] | None = None) -> DataFrame:
-        """Quarantined rows by run, of the given runs or of all.
+        """Quarantined rows by run and entity, of the given runs or of all.
 
         Only the partitions asked for are visited, and of their files only the footers.
         """
@@ -189,23 +220,16 @@ class RunStore:
             held = held.filter(F.col("_run_id").isin(*run_ids))
         return (
             held.filter(F.col("_disposition") == QUARANTINE)
-            .groupBy(F.col("_run_id").alias("run_id"))
+            .groupBy(F.col("_run_id").alias("run_id"), F.col("_entity").alias("entity"))
             .agg(F.count("*").alias("n_rows"))
         )
 
     # -- logs --------------------------------------------------------------
 
-    def append_log(self, name: str, rows: DataFrame, run_id: str) -> None:
+    def append_log(self, name: str, rows: DataFrame, run_id: str, entity: str = "") -> None:
         """Add the log rows of one run. Later runs may bring more columns."""
         own = rows.drop("run_id").coalesce(1)
-        own.write.mode("overwrite").parquet(f"{self.root}/logs/{name}/run_id={run_id}")
-
-    def claim(self, run_id: str, entity: str) -> None:
-        """Refuse a run id under which another entity's run is stored: its folders would be replaced."""
-        if self.has_log("pipeline_log"):
-            others = self.log("pipeline_log").filter((F.col("run_id") == run_id) & (F.col("entity") != entity))
-            if taken := others.head():
-                raise ValueError(f"run id {run_id!r} belongs to a run of {taken['entity']!r}; use another")
+        own.write.mode("overwrite").parquet(f"{self._entity_path(f'logs/{name}', entity or '-')}/run_id={run_id}")
 
     def empty_log(self, name: str) -> DataFrame:
         return self.spark.createDataFrame([], LOG_SCHEMAS[name])
@@ -219,8 +243,9 @@ class RunStore:
         """
         path = f"{self.root}/logs/{name}"
         if name in LOG_SCHEMAS and not evolved:
-            return self.spark.read.schema(LOG_SCHEMAS[name]).parquet(path)
-        rows = self.spark.read.option("mergeSchema", "true").parquet(path)
+            schema = f"{LOG_SCHEMAS[name]}, _entity STRING"
+            return self.spark.read.schema(schema).parquet(path).drop("_entity")
+        rows = self.spark.read.option("mergeSchema", "true").parquet(path).drop("_entity")
         return rows.select("run_id", *[c for c in rows.columns if c != "run_id"])
 
     def has_log(self, name: str) -> bool:

@@ -382,13 +382,39 @@ def test_result_as_json(store):
     assert json.loads(result.json())["max_severity"] == "LOW"
 
 
-def test_an_id_belongs_to_one_entity(store):
-    drill(store, "accounts", "column_added", run_id="shared")
-    with pytest.raises(ValueError, match="belongs to a run of 'accounts'"):
-        drill(store, "customers", "column_added", run_id="shared")
+def test_one_id_for_several_entities(store):
+    drill(store, "accounts", "column_removed", True, run_id="shared")
+    drill(store, "customers", "column_added", run_id="shared")
+    assert store.entities_of("run_shared") == ["accounts", "customers"]
+    assert store.quarantine("run_shared", "accounts").count() == SIZES["accounts"]
+    assert store.clean("run_shared", "customers").count() == SIZES["customers"]
+    assert "balance" not in store.drifted("run_shared", "accounts").columns
+    with pytest.raises(ValueError, match="name the entity"):
+        store.clean("run_shared")
+    assert {r["entity"] for r in store.log("pipeline_log").collect()} == {"accounts", "customers"}
+    names = store.register_run("run_shared", "accounts")
+    assert names == ["drifted_accounts_run_shared", "quarantine_accounts_run_shared"]
+
+
+def test_a_run_that_broke_off_is_left_alone_by_another_entity(spark, store):
+    lost = BASELINES["accounts"](spark, SMALL).drop("balance")
+    store.write_split(heal(lost, CONTRACTS["accounts"], detect(lost, CONTRACTS["accounts"], "run_b", "now")), "run_b")
+    drill(store, "customers", "column_removed", True, run_id="b")
+    assert store.quarantine("run_b", "accounts").count() == SIZES["accounts"]
     assert store.log("pipeline_log").count() == 1
 
 
+@pytest.mark.parametrize("entity", ["a/b c", "50% off", "x=y", "..", "Größe", "2024"])
+def test_odd_entity_names(spark, store, entity):
+    contract = Contract.of(entity, "id long, a double", ("id",), ("id",))
+    df = spark.createDataFrame([(1, "1"), (2, "x")], "id long, a string")
+    run_batch(store, df, contract, "odd", NOW)
+    assert store.entities_of("run_odd") == [entity]
+    assert store.clean("run_odd").count() == store.quarantine("run_odd", entity).count() == 1
+    assert store.quarantine_counts().collect() == [("run_odd", entity, 1)]
+    assert store.log("pipeline_log").first()["entity"] == entity
+
+
 def test_a_better_batch_clears_the_logs_of_the_first(store, spark):
     good = spark.createDataFrame([(1, 1.0, 2.0, 3)], "id long, a double, b double, c integer")
     run_batch(store, good.drop("b"), THINGS, "again", NOW)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+from driftgate.operators import detect, drop_column, heal
 from driftgate.plans import run_drill, stored_quarantines
 from driftgate.sources import CONTRACTS, RunStore, workspace
 from workload.entities import BASELINES
@@ -61,7 +62,7 @@ def drill_runs(spark, sf_dir):
 @query(f"SELECT run_id, rows_quarantined AS n_rows FROM ({_DRILL_LOG}) WHERE rows_quarantined > 0")
 def drill_quarantines(spark, sf_dir):
     """Rows in the quarantine dataset, counted from what was written."""
-    return stored_quarantines(_store(spark, sf_dir))
+    return stored_quarantines(_store(spark, sf_dir)).select("run_id", "n_rows")
 
 
 @query(f"""
@@ -94,3 +95,54 @@ UNION ALL SELECT 'run_added', 'preferred_language', 'drop_added_column', 0
 def drill_actions(spark, sf_dir):
     log = _store(spark, sf_dir).log("action_log")
     return log.select("run_id", "field", "applied_action", "rows_affected")
+
+
+def _shared_id(spark, sf_dir) -> RunStore:
+    """Three entities whose runs share one id; another id's run broke off before its logs."""
+    store = RunStore(spark, workspace(spark, "shared-id"))
+    for entity, kind, force in (
+        ("transactions", "type_changed", False), ("accounts", "column_removed", True), ("customers", "column_added", False),
+    ):
+        run_drill(store, BASELINES[entity](spark, sf_dir), CONTRACTS[entity], kind, force, "nightly", _START)
+    broken = drop_column(BASELINES["accounts"](spark, sf_dir), "balance")
+    found = detect(broken, CONTRACTS["accounts"], "run_broken", "2024-01-31 12:00:00")
+    store.write_split(heal(broken, CONTRACTS["accounts"], found), "run_broken")
+    run_drill(
+        store, BASELINES["customers"](spark, sf_dir), CONTRACTS["customers"], "column_removed", True, "broken", _START
+    )
+    return store
+
+
+@query(f"""
+SELECT 'run_nightly' AS run_id, 'transactions' AS entity, {_ROWS["events"]} AS n_landed, {_BAD} AS n_held,
+    {_ROWS["events"]} - {_BAD} AS n_clean, true AS logged
+UNION ALL SELECT 'run_nightly', 'accounts', {_ROWS["orders"]}, {_ROWS["orders"]}, 0, true
+UNION ALL SELECT 'run_nightly', 'customers', {_ROWS["customer"]}, 0, {_ROWS["customer"]}, true
+UNION ALL SELECT 'run_broken', 'accounts', NULL, {_ROWS["orders"]}, 0, false
+UNION ALL SELECT 'run_broken', 'customers', {_ROWS["customer"]}, {_ROWS["customer"]}, 0, true
+""")
+def two_entities_one_id(spark, sf_dir):
+    """What each entity's run stored, where several share an id and one broke off."""
+    store = _shared_id(spark, sf_dir)
+    logged = {(r["run_id"], r["entity"]) for r in store.log("pipeline_log").select("run_id", "entity").collect()}
+    rows = []
+    for run_id in ("run_nightly", "run_broken"):
+        landed = store.entities_of(run_id, "drifted")
+        for entity in store.entities_of(run_id):
+            n_landed = store.drifted(run_id, entity).count() if entity in landed else None
+            counts = (part(run_id, entity).count() for part in (store.quarantine, store.clean))
+            rows.append((run_id, entity, n_landed, *counts, (run_id, entity) in logged))
+    return spark.createDataFrame(
+        rows, "run_id string, entity string, n_landed long, n_held long, n_clean long, logged boolean"
+    )
+
+
+@query(f"""
+SELECT 'run_nightly' AS run_id, 'transactions' AS entity, {_BAD} AS n_rows
+UNION ALL SELECT 'run_nightly', 'accounts', {_ROWS["orders"]}
+UNION ALL SELECT 'run_broken', 'accounts', {_ROWS["orders"]}
+UNION ALL SELECT 'run_broken', 'customers', {_ROWS["customer"]}
+""")
+def list_quarantines(spark, sf_dir):
+    """Quarantines by entity and run from what is stored, whether logged or not."""
+    return stored_quarantines(_shared_id(spark, sf_dir)).select("run_id", "entity", "n_rows")
