@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +23,25 @@ def unparseable(value: Column, target: T.DataType = T.DoubleType()) -> Column:
     return value.isNotNull() & failed
 
 
+def altered(spark: SparkSession, value: Column, actual: T.DataType, expected: T.DataType) -> Column:
+    """True where ``value``, of type ``actual``, is present but would not survive a cast to ``expected``; never null.
+
+    Text has to parse; anything else has to come back as it was. Between types that Spark does not cast or cannot
+    compare, nothing survives.
+    """
+    if isinstance(actual, T.StringType):
+        return unparseable(value, expected)
+
+    def kept(value: Column) -> Column:
+        return value.eqNullSafe(value.try_cast(expected).try_cast(actual))
+
+    try:
+        spark.range(0).select(kept(F.lit(None).cast(actual)))  # analysed, not run
+    except AnalysisException:
+        return value.isNotNull()
+    return value.isNotNull() & ~kept(value)
+
+
 def parseable(value: Column, target: T.DataType = T.DoubleType()) -> Column:
     """True where ``value`` is null or parses as ``target``."""
     return ~unparseable(value, target)

@@ -1,5 +1,6 @@
 """The row split and the volume count over streams."""
 
+from driftgate.streaming.files import gate_files, read_arrived
 from driftgate.streaming.gate import (
     gate,
     read_gate,
@@ -12,6 +13,8 @@ from driftgate.streaming.volume import count_windows, read_windows
 __all__ = [
     "count_windows",
     "gate",
+    "gate_files",
+    "read_arrived",
     "read_gate",
     "read_gate_actions",
     "read_gate_anomalies",

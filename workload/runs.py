@@ -118,7 +118,7 @@ SELECT 'run_nightly' AS run_id, 'transactions' AS entity, {_ROWS["events"]} AS n
     {_ROWS["events"]} - {_BAD} AS n_clean, true AS logged
 UNION ALL SELECT 'run_nightly', 'accounts', {_ROWS["orders"]}, {_ROWS["orders"]}, 0, true
 UNION ALL SELECT 'run_nightly', 'customers', {_ROWS["customer"]}, 0, {_ROWS["customer"]}, true
-UNION ALL SELECT 'run_broken', 'accounts', NULL, {_ROWS["orders"]}, 0, false
+UNION ALL SELECT 'run_broken', 'accounts', 0, {_ROWS["orders"]}, 0, false
 UNION ALL SELECT 'run_broken', 'customers', {_ROWS["customer"]}, {_ROWS["customer"]}, 0, true
 """)
 def two_entities_one_id(spark, sf_dir):
@@ -129,7 +129,7 @@ def two_entities_one_id(spark, sf_dir):
     for run_id in ("run_nightly", "run_broken"):
         landed = store.entities_of(run_id, "drifted")
         for entity in store.entities_of(run_id):
-            n_landed = store.drifted(run_id, entity).count() if entity in landed else None
+            n_landed = store.drifted(run_id, entity).count() if entity in landed else 0
             counts = (part(run_id, entity).count() for part in (store.quarantine, store.clean))
             rows.append((run_id, entity, n_landed, *counts, (run_id, entity) in logged))
     return spark.createDataFrame(

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftgate.operators import retype_to_string
-from driftgate.sources import workspace
+from driftgate.sources import Contract, workspace
 from driftgate.streaming import (
     count_windows,
     gate,
+    gate_files,
     read_gate,
     read_gate_anomalies,
     read_gate_log,
@@ -104,3 +105,59 @@ def stream_volume(spark, sf_dir):
     )
     started.awaitTermination()
     return read_windows(spark, f"{root}/out")
+
+
+# The critical value may be null, so only the files' own schemas tell that it is gone.
+LOOSE_EVENTS = Contract.of(
+    "events",
+    "event_id long, ts timestamp_ntz, user_id long, event_type string, value double?, props string?",
+    critical=("event_id", "value"),
+    key=("event_id",),
+)
+
+
+def _drifting_files(spark, sf_dir) -> str:
+    """A stream whose files change from one to the next: as agreed, without the value, then with it as text and one
+    column more."""
+    root, events = workspace(spark, "drifting-files"), table(spark, sf_dir, "events")
+    day, landing = F.dayofmonth("ts"), f"{root}/landing"
+    junk = retype_to_string(events.filter(day > 20), "value", EVENTS.key, corrupt=True)
+    for i, part in enumerate((
+        events.filter(day <= 10), events.filter(day.between(11, 20)).drop("value"), junk.withColumn("tier", F.lit("GOLD")),
+    )):
+        part.write.mode("append").parquet(landing)
+        if i != 1:  # the first alone, the others in one micro-batch
+            gate_files(spark, landing, LOOSE_EVENTS, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return f"{root}/out"
+
+
+_LATE_VALUE = f"(SELECT * FROM ({EVENTS_UNSAFE}) WHERE day(ts) > 20)"
+
+
+@query(f"""
+SELECT event_id, value, 'clean' AS outcome FROM events WHERE day(ts) <= 10
+UNION ALL SELECT event_id, NULL, 'full_batch:schema_drift_column_removed_critical' FROM events WHERE day(ts) BETWEEN 11 AND 20
+UNION ALL SELECT event_id, TRY_CAST(value AS DOUBLE), CASE WHEN {bad_sql("value")} THEN 'unparseable:value' ELSE 'clean' END
+FROM {_LATE_VALUE}
+""")
+def stream_drift_files(spark, sf_dir):
+    """Each file of a stream judged by its own schema."""
+    root = _drifting_files(spark, sf_dir)
+    kept, held = (read_gate(spark, root, part) for part in ("clean", "quarantine"))
+    return kept.select("event_id", "value", F.lit("clean").alias("outcome")).union(
+        held.select("event_id", "value", F.col("_quarantine_reason").alias("outcome"))
+    )
+
+
+@query(f"""
+SELECT 'value' AS field, 'schema_drift_column_removed_critical' AS anomaly_type, 'CRITICAL' AS severity,
+    'quarantine_batch' AS action, 'Expected column ''value'' missing from source.' AS details
+UNION ALL SELECT 'tier', 'schema_drift_column_added', 'LOW', 'drop_added_column', 'Unexpected new column ''tier'' (string).'
+UNION ALL SELECT 'value', 'schema_drift_type_change_unsafe', 'CRITICAL', 'quarantine_affected_records',
+    'Type drift on ''value'': expected double, got string (' || count(*) || ' unparseable values)'
+FROM {_LATE_VALUE} WHERE {bad_sql("value")}
+""")
+def stream_drift_anomalies(spark, sf_dir):
+    """What the gate found in the files of a stream."""
+    found = read_gate_anomalies(spark, _drifting_files(spark, sf_dir))
+    return found.select("field", "anomaly_type", "severity", "action", "details")
