@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftgate.functions.columns import anomaly_id, apart, as_column, col, count_where, zipped
+from driftgate.functions.nested import Step, anywhere, differences, path_text
 from driftgate.functions.probes import any_of, unparseable
 from driftgate.functions.text import type_name
 from driftgate.settings import (
@@ -43,6 +44,10 @@ _ENTRIES = (
 )
 
 
+# Ours: where the anomalies of ``detect`` say what they were tested with.
+PROBE = "probe"
+
+
 @dataclass(frozen=True)
 class Finding:
     """One difference between a batch and its contract.
@@ -56,6 +61,17 @@ class Finding:
     expected: T.DataType | None = None
     actual: T.DataType | None = None
     probe: T.DataType | None = None
+    column: str | None = None
+    steps: tuple[Step, ...] = ()
+
+    @property
+    def nested(self) -> bool:
+        """Whether the difference lies inside a column, which then has ``steps`` to it."""
+        return bool(self.steps)
+
+    def test(self) -> Column:
+        """True for rows with a value there that does not parse."""
+        return anywhere(col(self.column or self.field), self.steps, lambda v: unparseable(v, self.probe))
 
     @property
     def details(self) -> str:
@@ -92,7 +108,8 @@ def compare_schema(
     """Differences in the order added, removed, retyped, each by field name.
 
     Names match by exact case; order and nullability do not matter; columns that
-    start with ``_`` are metadata on both sides.
+    start with ``_`` are metadata on both sides. Structs, arrays and maps are compared inside:
+    a field added to a struct is an added field, ``payload.tier``, not a retyped column.
     """
     expected = contract.types()
     actual = {f.name: f.dataType for f in schema.fields if not f.name.startswith("_")}
@@ -101,15 +118,28 @@ def compare_schema(
         if name not in actual:
             kind = REMOVED_CRITICAL if name in contract.critical else REMOVED
             findings.append(Finding(kind, name, expected=wanted))
-        elif actual[name].simpleString() != wanted.simpleString():
-            tested = probe_type(actual[name], wanted, probe)
-            findings.append(Finding(RETYPED_SAFE, name, wanted, actual[name], tested))
+        else:
+            findings += [
+                _finding(name, steps, got, agreed, contract, probe)
+                for steps, got, agreed in differences(actual[name], wanted)
+            ]
     return sorted(findings, key=lambda f: (KIND_ORDER[f.anomaly_type], f.field))
 
 
+def _finding(column, steps, got, agreed, contract: Contract, probe: str) -> Finding:
+    """A difference inside a column, or of the whole."""
+    field = path_text(column, steps)
+    if agreed is None:
+        return Finding(ADDED, field, actual=got, column=column, steps=steps)
+    if got is None:
+        kind = REMOVED_CRITICAL if field in contract.critical else REMOVED
+        return Finding(kind, field, expected=agreed, column=column, steps=steps)
+    return Finding(RETYPED_SAFE, field, agreed, got, probe_type(got, agreed, probe), column, steps)
+
+
 def bad_value_tests(findings: Sequence[Finding]) -> dict[str, Column]:
     """The unparseable-value test of each finding that needs one, by field."""
-    return {f.field: unparseable(col(f.field), f.probe) for f in findings if f.probe is not None}
+    return {f.field: f.test() for f in findings if f.probe is not None}
 
 
 def flag_columns(tests: Mapping[str, Column]) -> list[Column]:
@@ -247,8 +277,14 @@ def actions_of(assessed: DataFrame) -> DataFrame:
 def detect(df: DataFrame, contract: Contract, run_id, as_of, probe: str = "numeric") -> DataFrame:
     """The anomalies of a batch, or of every run in it; see :func:`assess`.
 
-    A single batch is read only if a retyped column must be tested.
+    A single batch is read only if a retyped column must be tested. The probe goes along as metadata of
+    the column ``field``, so that ``heal`` tests for what was found.
     """
+    found = _detected(df, contract, run_id, as_of, probe)
+    return found.withMetadata("field", {PROBE: probe})
+
+
+def _detected(df, contract, run_id, as_of, probe) -> DataFrame:
     df = apart(df, contract.schema.names)
     findings = compare_schema(df.schema, contract, probe)
     many_runs = isinstance(run_id, Column) or isinstance(as_of, Column)

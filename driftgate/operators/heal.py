@@ -10,26 +10,27 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, Row
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftgate.functions.columns import apart, col, quoted
+from driftgate.functions.nested import reshaped
 from driftgate.functions.probes import (
     any_of,
     first_reason,
     missing_text,
     reason_text,
     reasons,
-    unparseable,
 )
 from driftgate.operators.detect import (
+    PROBE,
     Finding,
+    compare_schema,
     count_columns,
     flag_columns,
     flags,
     in_report_order,
-    probe_type,
 )
 from driftgate.settings import (
     CAST_AND_WARN,
@@ -53,10 +54,11 @@ class Healed:
     contract: Contract
     dropped: frozenset[str]
     filled: frozenset[str]
-    tests: Mapping[str, T.DataType]
+    tests: Mapping[str, Column]
     batch_reason: str | None
     casts: frozenset[str] = field(default_factory=frozenset)
     required: tuple[str, ...] = ()
+    reshaped: frozenset[str] = field(default_factory=frozenset)
 
     def _repaired(self) -> list:
         """Contract columns in contract order, then the others as they came.
@@ -69,7 +71,10 @@ class Healed:
         present = [name for name in kept if name not in self.dropped]
         columns = []
         for name, data_type in self.contract.types().items():
-            if name in present:
+            if name in self.reshaped:
+                rebuilt = reshaped(col(name), self.source.schema[name].dataType, data_type)
+                columns.append(rebuilt.alias(name))
+            elif name in present:
                 columns.append(quoted(name))
             elif name in self.filled:
                 columns.append(F.lit(None).cast(data_type).alias(name))
@@ -81,7 +86,7 @@ class Healed:
 
         ``seen`` receives the counts named by ``count_columns`` when the result is written.
         """
-        tests = {reason_text(name): unparseable(col(name), t) for name, t in self.tests.items()}
+        tests = {reason_text(name): test for name, test in self.tests.items()}
         tests |= {missing_text(name): col(name).isNull() for name in self.required}
         repaired = self._repaired()
         tested = self.source.select(*repaired, *flag_columns(tests))
@@ -114,11 +119,11 @@ class Healed:
             return rows
         arrived = F.struct(*[quoted(name) for name in rows.columns if name in self.casts])
         held = F.when(F.col("_disposition") == QUARANTINE, arrived)
-        return rows.withColumns({ARRIVED: held} | self._cast())
+        return rows.withColumns({ARRIVED: held} | self._cast(rows.schema))
 
-    def _cast(self) -> dict:
+    def _cast(self, schema: T.StructType) -> dict:
         types = self.contract.types()
-        return {name: col(name).try_cast(types[name]) for name in self.casts}
+        return {name: reshaped(col(name), schema[name].dataType, types[name], True) for name in self.casts}
 
     @property
     def clean(self) -> DataFrame | None:
@@ -126,7 +131,7 @@ class Healed:
         if self.batch_reason:
             return None
         kept = self.labelled().filter(F.col("_disposition") == CLEAN).drop(*_LABELS)
-        return kept.withColumns(self._cast())
+        return kept.withColumns(self._cast(kept.schema))
 
     @property
     def quarantine(self) -> DataFrame:
@@ -173,7 +178,7 @@ def heal(
     contract: Contract,
     anomalies: DataFrame | Iterable,
     on_safe: str = "keep",
-    probe: str = "numeric",
+    probe: str | None = None,
     required: Iterable[str] = (),
 ) -> Healed:
     """Plan the repairs that the anomalies of one run call for.
@@ -182,38 +187,44 @@ def heal(
     new type and only warns, ``cast`` turns text back into the contract's type. So that no
     value is lost, ``cast`` tests every such column for exactly that type, and rows that
     fail go to quarantine.
+    Rows are held back for the values that were found: with the ``probe`` given, or else the one that the anomalies of
+    ``detect`` carry, or else the numeric one.
     Rows without a value in a ``required`` column go to quarantine too.
     A DataFrame of anomalies is collected; one run has at most one per column, and more are refused.
     Columns whose names differ only in case are told apart first; see :func:`apart`.
+    Inside structs, arrays and maps, fields are dropped and filled in place: a column with such an anomaly is rebuilt
+    in the contract's shape.
     """
     if on_safe not in ("keep", "cast"):
         raise ValueError(f"unknown on_safe {on_safe!r}; use 'keep' or 'cast'")
     df = apart(df, contract.schema.names)
-    expected = contract.types()
     if isinstance(anomalies, DataFrame):
-        most = len(set(df.columns) | set(expected))
+        probe = probe or anomalies.schema["field"].metadata.get(PROBE)
+    probe = probe_for(probe or "numeric", on_safe)
+    known = {f.field: f for f in compare_schema(df.schema, contract, probe)}
+    if isinstance(anomalies, DataFrame):
+        most = len(set(df.columns) | set(contract.types())) + len(known)
         anomalies = in_report_order(anomalies).limit(most + 1).collect()
         if len(anomalies) > most or len({a["run_id"] for a in anomalies}) > 1:
             raise ValueError("these are the anomalies of several runs; heal takes those of one")
-    actual = {f.name: f.dataType for f in df.schema.fields}
-    dropped, filled, casts, tests, batch_reason = set(), set(), set(), {}, None
+    dropped, filled, casts, rebuilt, tests, batch_reason = set(), set(), set(), set(), {}, None
     for anomaly in map(_as_mapping, anomalies):
         action, name = anomaly["action"], anomaly["field"]
-        if action == DROP_ADDED:
-            dropped.add(name)
-        elif action == FILL_NULL:
-            filled.add(name)
+        finding = known.get(name)
+        nested = finding is not None and finding.nested
+        if action in (DROP_ADDED, FILL_NULL):
+            (rebuilt if nested else dropped if action == DROP_ADDED else filled).add(finding.column if nested else name)
         elif action in (CAST_AND_WARN, QUARANTINE_ROWS):
-            tested = probe_for(probe, on_safe)
-            known = probe_type(actual[name], expected[name], tested) if name in expected else None
-            if on_safe == "cast" and known:
-                casts.add(name)
-            if action == QUARANTINE_ROWS and not known and name in expected:
-                known = probe_type(actual[name], expected[name], "all")  # found by a wider probe than this one
-            if action == QUARANTINE_ROWS and not known:
+            tested = finding if finding is not None and finding.probe is not None else None
+            if on_safe == "cast" and tested:
+                casts.add(tested.column)
+            if action == QUARANTINE_ROWS and not tested:  # found by a wider probe than this one
+                wider = {f.field: f for f in compare_schema(df.schema, contract, "all")}.get(name)
+                tested = wider if wider is not None and wider.probe is not None else None
+            if action == QUARANTINE_ROWS and not tested:
                 raise ValueError(f"no test of {name!r} is known that could tell its bad rows")
-            if action == QUARANTINE_ROWS or name in casts:
-                tests[name] = known
+            if tested and (action == QUARANTINE_ROWS or tested.column in casts):
+                tests[name] = tested.test()
         elif action == QUARANTINE_BATCH:
             # The batch is kept as it came; later columns are still tested, only to be counted.
             # Fixed value: why a whole batch is held back.
@@ -224,5 +235,5 @@ def heal(
         casts.clear()
     return Healed(
         df, contract, frozenset(dropped), frozenset(filled), tests, batch_reason, frozenset(casts),
-        tuple(name for name in required if name in actual),
+        tuple(name for name in required if name in df.columns), frozenset(rebuilt),
     )

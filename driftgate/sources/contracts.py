@@ -16,6 +16,13 @@ from driftgate.functions.text import type_name
 from driftgate.sources.tables import local_frame
 
 
+# What DDL calls types beside the names of Spark's schema JSON.
+_DDL_NAMES = {
+    "bigint": "long", "dec": "decimal", "int": "integer", "numeric": "decimal", "real": "float", "smallint": "short",
+    "timestamp_ltz": "timestamp", "tinyint": "byte",
+}
+
+
 @dataclass(frozen=True)
 class Contract:
     """The schema a dataset is expected to have, and which columns it cannot do without."""
@@ -31,16 +38,19 @@ class Contract:
     ) -> "Contract":
         """A contract from a schema, or from ``name type`` pairs; a type followed by ``?`` may be null.
 
-        Pairs need no session and state simple types, decimals included; nested ones take a schema, such as
-        ``StructType.fromDDL`` reads.
+        Pairs need no session and state simple types, by any name that DDL has for them, decimals included; nested ones
+        take a schema, such as ``StructType.fromDDL`` reads. Columns of pairs may not be null unless marked; ``NOT NULL``
+        may be written all the same.
         """
         schema = columns
         if isinstance(columns, str):
             schema = T.StructType()
             for entry in re.split(r",(?![^(]*\))", columns):  # not at the comma of a decimal
                 name, kind = entry.split(maxsplit=1)
-                kind = kind.strip()
-                schema = schema.add(name, kind.rstrip("?").replace(" ", ""), kind.endswith("?"))
+                kind = re.sub(r"(?i)\s+not\s+null$", "", kind.strip())
+                plain = kind.rstrip("?").replace(" ", "").lower()
+                base, bracket, rest = plain.partition("(")
+                schema = schema.add(name, _DDL_NAMES.get(base, base) + bracket + rest, kind.endswith("?"))
         return cls(entity, schema, frozenset(critical), tuple(key))
 
     def types(self) -> dict[str, T.DataType]:
