@@ -3,6 +3,7 @@
 from driftgate.operators.catalog import diff_schema_rows, rule_frame, schema_rows
 from driftgate.operators.detect import Finding, assess, compare_schema, detect
 from driftgate.operators.heal import Healed, heal
+from driftgate.operators.history import assess_as_of, detect_as_of
 from driftgate.operators.integrity import key_duplicates, orphan_keys, orphan_summary
 from driftgate.operators.mutate import (
     add_column,
@@ -28,8 +29,10 @@ __all__ = [
     "add_column",
     "amount_bands",
     "assess",
+    "assess_as_of",
     "compare_schema",
     "detect",
+    "detect_as_of",
     "diff_schema_rows",
     "domain_share",
     "domain_violations",

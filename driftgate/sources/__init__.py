@@ -3,8 +3,10 @@
 from driftgate.sources.contracts import (
     CONTRACTS,
     Contract,
+    ContractVersion,
     MissingContractError,
     contract_rows,
+    contract_versions,
     latest_by,
     latest_snapshots,
     load_contract,
@@ -24,10 +26,12 @@ from driftgate.sources.tables import (
 __all__ = [
     "CONTRACTS",
     "Contract",
+    "ContractVersion",
     "MissingContractError",
     "RunStore",
     "build_session",
     "contract_rows",
+    "contract_versions",
     "latest_by",
     "latest_snapshots",
     "load_contract",

@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,6 +139,18 @@ def latest_snapshots(snapshots: DataFrame) -> DataFrame:
     return latest_by(snapshots, ["entity_name"], order)
 
 
+def _restored(row: Row, registry: Mapping[str, Contract]) -> Contract:
+    """The contract of a snapshot; one from before critical fields and keys were saved takes them from the registry."""
+    entity = row["entity_name"]
+    schema = T.StructType.fromJson(json.loads(row["schema_json"]))
+    if "critical_json" in row and row["critical_json"] is not None:
+        critical, key = json.loads(row["critical_json"]), json.loads(row["key_json"])
+        return Contract(entity, schema, frozenset(critical), tuple(key))
+    if entity in registry:
+        return replace(registry[entity], schema=schema)
+    return Contract(entity, schema, frozenset(), ())
+
+
 def load_contract(
     snapshots: DataFrame, entity: str, registry: Mapping[str, Contract] = CONTRACTS
 ) -> Contract:
@@ -149,13 +161,35 @@ def load_contract(
     newest = latest_snapshots(snapshots.filter(F.col("entity_name") == entity)).first()
     if newest is None:
         raise MissingContractError(f"no schema snapshot saved for {entity!r}")
-    schema = T.StructType.fromJson(json.loads(newest["schema_json"]))
-    if "critical_json" in newest and newest["critical_json"] is not None:
-        critical, key = json.loads(newest["critical_json"]), json.loads(newest["key_json"])
-        return Contract(entity, schema, frozenset(critical), tuple(key))
-    if entity in registry:
-        return replace(registry[entity], schema=schema)
-    return Contract(entity, schema, frozenset(), ())
+    return _restored(newest, registry)
+
+
+@dataclass(frozen=True)
+class ContractVersion:
+    """A contract and the time from which it is in force, until the next one's."""
+
+    contract: Contract
+    since: str
+    version: str
+
+
+def contract_versions(
+    snapshots: DataFrame, entity: str, registry: Mapping[str, Contract] = CONTRACTS
+) -> list[ContractVersion]:
+    """Every version of an entity's contract in the order they came into force.
+
+    Of snapshots of one second the highest version counts, and a snapshot that repeats the one before it is left out. The
+    driver gets one row per time that an entity's contract was saved.
+    """
+    own = snapshots.filter(F.col("entity_name") == entity)
+    order = [version_rank(F.col("version")), "version"]
+    saved = latest_by(own, ["snapshot_timestamp"], order).orderBy("snapshot_timestamp").collect()
+    versions: list[ContractVersion] = []
+    for row in saved:
+        found = ContractVersion(_restored(row, registry), row["snapshot_timestamp"], row["version"])
+        if not versions or (versions[-1].contract, versions[-1].version) != (found.contract, found.version):
+            versions.append(found)
+    return versions
 
 
 def contract_rows(spark: SparkSession, contracts: Iterable[Contract]) -> DataFrame:

@@ -8,16 +8,29 @@ from driftgate.streaming.gate import (
     read_gate_anomalies,
     read_gate_log,
 )
-from driftgate.streaming.volume import count_windows, read_windows
+from driftgate.streaming.volume import (
+    close_windows,
+    count_windows,
+    read_closed,
+    read_late,
+    read_open,
+    read_timeless,
+    read_windows,
+)
 
 __all__ = [
+    "close_windows",
     "count_windows",
     "gate",
     "gate_files",
     "read_arrived",
+    "read_closed",
     "read_gate",
     "read_gate_actions",
     "read_gate_anomalies",
     "read_gate_log",
+    "read_late",
+    "read_open",
+    "read_timeless",
     "read_windows",
 ]

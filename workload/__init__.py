@@ -2,6 +2,6 @@
 
 from workload.registry import ORACLES, QUERIES
 
-from workload import checks, drift, logs, runs, streams  # noqa: E402,F401  (register their queries)
+from workload import checks, drift, evolving, logs, runs, streams  # noqa: E402,F401  (register their queries)
 
 __all__ = ["ORACLES", "QUERIES"]

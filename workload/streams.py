@@ -5,19 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftgate.functions import hash_bucket
 from driftgate.operators import retype_to_string
 from driftgate.sources import Contract, workspace
 from driftgate.streaming import (
+    close_windows,
     count_windows,
     gate,
     gate_files,
     read_gate,
     read_gate_anomalies,
     read_gate_log,
+    read_closed,
+    read_late,
+    read_open,
     read_windows,
 )
 from workload.registry import query
-from workload.tables import EVENTS, EVENTS_UNSAFE, bad_sql, table
+from workload.tables import EVENT_KEY, EVENTS, EVENTS_UNSAFE, bad_sql, bucket_sql, table
 
 
 def _event_stream(spark, sf_dir) -> DataFrame:
@@ -161,3 +166,38 @@ def stream_drift_anomalies(spark, sf_dir):
     """What the gate found in the files of a stream."""
     found = read_gate_anomalies(spark, _drifting_files(spark, sf_dir))
     return found.select("field", "anomaly_type", "severity", "action", "details")
+
+
+_FIRST = f"ts < '2024-01-20' AND NOT (day(ts) <= 5 AND {bucket_sql(EVENT_KEY, 42)} < 1000)"
+
+
+@query(f"""
+WITH arrived AS (SELECT *, {_FIRST} AS first FROM events),
+marks AS (
+    SELECT max(ts) FILTER (WHERE first) - INTERVAL 2 DAY AS one, max(ts) - INTERVAL 2 DAY AS two FROM arrived),
+counted AS (
+    SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type,
+        NOT first AND date_trunc('day', ts) + INTERVAL 1 DAY <= one AS late, two
+    FROM arrived, marks)
+SELECT window_start, event_type, count(*) FILTER (WHERE NOT late) AS n_rows, count(*) FILTER (WHERE late) AS n_late,
+    CASE WHEN window_start + INTERVAL 1 DAY <= any_value(two) THEN 'closed' ELSE 'open' END AS state
+FROM counted GROUP BY window_start, event_type
+""")
+def stream_late_rows(spark, sf_dir):
+    """Events by day and type; some of the first days' come weeks later, when their windows are closed."""
+    root, events = workspace(spark, "late"), table(spark, sf_dir, "events")
+    landing = f"{root}/landing"
+    held = (F.dayofmonth("ts") <= 5) & (hash_bucket(EVENTS.key, 42) < 1000)
+    first = (F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")) & ~held
+    for part in (events.filter(first), events.filter(~first)):
+        part.write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(events.schema).parquet(landing)
+        close_windows(
+            stream, "ts", f"{root}/out", f"{root}/checkpoint", lateness="2 days", by=["event_type"]
+        ).awaitTermination()
+    keys = ["window_start", "event_type"]
+    states = read_closed(spark, f"{root}/out").select(*keys, "n_rows", F.lit("closed").alias("state")).union(
+        read_open(spark, f"{root}/out").select(*keys, "n_rows", F.lit("open").alias("state"))
+    )
+    late = read_late(spark, f"{root}/out").select(*keys, "n_late")
+    return states.join(late, keys, "left").select(*keys, "n_rows", F.coalesce("n_late", F.lit(0)).alias("n_late"), "state")
