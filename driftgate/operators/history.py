@@ -71,12 +71,11 @@ def assess_as_of(
 
     text = F.format_string(f"no schema snapshot of {entity.replace('%', '%%')} in force at %s, run %s", time, run)
     kind = counted.select(outcomes[0].alias("o")).schema["o"].dataType
-    none = F.raise_error(text) if missing == "fail" else F.struct(
-        run.alias("run_id"), F.lit(entity).alias("entity"), time.alias("detected_at"),
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in kind.fields[3:]],
-    )
+    none = F.raise_error(text) if missing == "fail" else F.lit(None)
     chosen = reduce(later, range(len(versions)), none.cast(kind))
-    return counted.select(chosen.alias("o")).select("o.*")
+    facts = [F.col("o")[f.name].alias(f.name) for f in kind.fields[3:]]
+    own = [run.alias("run_id"), F.lit(entity).alias("entity"), time.alias("detected_at")]
+    return counted.select(*own, chosen.alias("o")).select("run_id", "entity", "detected_at", *facts)
 
 
 def detect_as_of(

@@ -9,12 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from driftgate.functions.columns import col, count_where
+from driftgate.functions.columns import col
 
 _ZONED_EPOCH = "TIMESTAMP'1970-01-01 00:00:00Z'"
 _PLAIN_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
@@ -128,20 +128,24 @@ def close_windows(
         spark = batch.sparkSession
         reached = _before(spark, f"{root}/reached", batch_id)
         latest, timeless = reached.select("latest", "n_timeless").head() if reached is not None else (None, 0)
-        seen, counts = Observation(), f"{root}/counts/_batch_id={batch_id}"
-        watched = batch.withColumn("_event_time", event_time).observe(
-            seen, F.max(F.unix_micros("_event_time")).alias("latest"),
-            count_where(F.col("_event_time").isNull()).alias("timeless"),
-        )
+        counts = f"{root}/counts/_batch_id={batch_id}"
+        # Grouping by windows leaves out rows without a time, so they get one and a mark.
+        timed = batch.withColumns({"_event_time": event_time, "_timeless": event_time.isNull()})
+        timed = timed.withColumn("_event_time", F.coalesce("_event_time", F.timestamp_micros(F.lit(0))))
         counted = (
-            watched.groupBy(F.window("_event_time", window).alias("_window"), *map(col, by))
-            .agg(F.count(F.lit(1)).alias("n_rows"))
-            .select(start.alias("window_start"), end.alias("window_end"), *map(col, by), "n_rows")
+            timed.groupBy(F.window("_event_time", window).alias("_window"), "_timeless", *map(col, by))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.unix_micros("_event_time")).alias("_latest"))
+            .select(start.alias("window_start"), end.alias("window_end"), *map(col, by), "n_rows", "_timeless", "_latest")
             .withColumn("_late", F.coalesce(F.col("window_end") <= passed_by(latest), F.lit(False)))
         )
         counted.write.mode("overwrite").parquet(counts)
         counted = spark.read.schema(counted.schema).parquet(counts)
-        latest = max((t for t in (latest, seen.get["latest"]) if t is not None), default=None)
+        newest, without = counted.agg(
+            F.max(F.when(~F.col("_timeless"), F.col("_latest"))),
+            F.coalesce(F.sum(F.when(F.col("_timeless"), F.col("n_rows"))), F.lit(0)),
+        ).head()
+        latest = max((t for t in (latest, newest) if t is not None), default=None)
+        counted = counted.filter(~F.col("_timeless")).drop("_timeless", "_latest")
         added = counted.filter(~F.col("_late")).drop("_late")
         old = _before(spark, f"{root}/windows", batch_id)
         if old is not None:
@@ -153,7 +157,7 @@ def close_windows(
         rows.write.mode("overwrite").partitionBy("_state").parquet(f"{root}/windows/_batch_id={batch_id}")
         mark = spark.range(1, numPartitions=1).select(
             F.lit(latest).cast("long").alias("latest"),
-            F.lit(timeless + seen.get["timeless"]).cast("long").alias("n_timeless"),
+            F.lit(timeless + without).cast("long").alias("n_timeless"),
         )
         mark.write.mode("overwrite").parquet(f"{root}/reached/_batch_id={batch_id}")  # last: the batch stands
 
