@@ -77,7 +77,7 @@ def pack_sizes(sizes: np.ndarray, lengths: tuple[int, ...] = LENGTHS, overhead:
 
 
 def pieces(docs: DataFrame, most: int) -> DataFrame:
-    """The pieces of all texts: doc_id, piece, n_words, text."""
+    """The pieces of all texts: doc_id (as text), piece, n_words, text."""
 
     def cut_up(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -85,12 +85,11 @@ def pieces(docs: DataFrame, most: int) -> DataFrame:
                 (doc, *piece) for doc, text in zip(frame["doc_id"], frame["text"], strict=True)
                 for piece in pieces_of(text, most)
             ]
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "n_words", "text"])
-            yield out.astype({"doc_id": frame["doc_id"].dtype})
+            yield pd.DataFrame(rows, columns=["doc_id", "piece", "n_words", "text"])
 
-    doc_id = docs.schema["doc_id"].dataType.simpleString()
-    source = docs.select("doc_id", text_bytes().alias("text"))
-    return source.mapInPandas(cut_up, f"doc_id {doc_id}, piece int, n_words int, text binary")
+    # Ids cross to Python as text: beside a null, pandas would round whole numbers to doubles.
+    source = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_bytes().alias("text"))
+    return source.mapInPandas(cut_up, "doc_id string, piece int, n_words int, text binary")
 
 
 def pack(
@@ -111,10 +110,8 @@ def pack(
         bins, offsets, sizes = pack_sizes(frame["n_words"].to_numpy(np.int64), lengths, overhead)
         return frame.assign(bin=bins, offset=offsets, length=sizes[bins]).sort_values(["bin", "offset"])
 
-    doc_id = docs.schema["doc_id"].dataType.simpleString()
-    schema = (
-        f"group long, bin long, length long, offset long, doc_id {doc_id}, piece int, n_words int, text binary"
-    )
+    schema = "group long, bin long, length long, offset long, doc_id string, piece int, n_words int, text binary"
     names = [x.split()[0] for x in schema.split(", ")]
     packed = found.groupBy("group").applyInPandas(lambda f: fill(f)[names], schema)
-    return packed.withColumn("text", F.col("text").cast("string"))
+    doc_id = F.col("doc_id").cast(docs.schema["doc_id"].dataType)
+    return packed.withColumns({"doc_id": doc_id, "text": F.col("text").cast("string")})

@@ -129,13 +129,11 @@ def encoded(docs: DataFrame, ranks: dict[bytes, int], width: int = WIDTH) -> Dat
                 for k, a in enumerate(range(0, len(ids) // 2, width)):
                     own = ids[2 * a : 2 * (a + width)]
                     rows.append((doc, k, a, len(own) // 2, own))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "n", "ids"])
-            yield out.astype({"doc_id": frame["doc_id"].dtype})
+            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "n", "ids"])
 
-    doc_id = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(
-        encode, f"doc_id {doc_id}, piece int, start long, n int, ids binary"
-    )
+    # Ids cross to Python as text: beside a null, pandas would round whole numbers to doubles.
+    source = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return source.mapInPandas(encode, "doc_id string, piece int, start long, n int, ids binary")
 
 
 def pack_tokens(
