@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import column, cut, fresh_name, slices, text_bytes
 from .quality import _word_hashes
 
-BITS = 20
+BITS = 18
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE = 20_000
 EPOCHS = 5
