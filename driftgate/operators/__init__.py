@@ -21,7 +21,7 @@ from driftgate.operators.quality import (
     null_spikes,
     range_violations,
 )
-from driftgate.operators.volume import volume_by_day
+from driftgate.operators.volume import judge_days, volume_by_day
 
 __all__ = [
     "Finding",
@@ -40,6 +40,7 @@ __all__ = [
     "drop_column",
     "heal",
     "hour_profile",
+    "judge_days",
     "inject",
     "key_duplicates",
     "null_profile",

@@ -27,8 +27,15 @@ def volume_by_day(
     are counted under a null day, flagged ``undated``. The table is reduced to one row per day,
     per group, before any window runs.
     """
+    daily = df.groupBy(*map(col, by), F.to_date(col(ts)).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return judge_days(daily, limits, by, since, until)
+
+
+def judge_days(
+    daily: DataFrame, limits: Limits = Limits(), by: Sequence[str] = (), since: str = "1990-01-01", until: str | None = None,
+) -> DataFrame:
+    """The same from counts that are there already: one row ``day``, ``n`` per day and ``by`` group."""
     keys = [col(name) for name in by]
-    daily = df.groupBy(*keys, F.to_date(col(ts)).alias("day")).agg(F.count(F.lit(1)).alias("n"))
     last = F.lit(until).cast("date") if until else F.date_add(F.current_date(), 1)
     usual = F.coalesce(F.col("day").between(F.lit(since).cast("date"), last), F.lit(False))
     inside, beyond = daily.filter(usual), daily.filter(~usual)

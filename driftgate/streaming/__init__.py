@@ -11,6 +11,7 @@ from driftgate.streaming.gate import (
 from driftgate.streaming.volume import (
     close_windows,
     count_windows,
+    judge_closed_days,
     read_closed,
     read_late,
     read_open,
@@ -23,6 +24,7 @@ __all__ = [
     "count_windows",
     "gate",
     "gate_files",
+    "judge_closed_days",
     "read_arrived",
     "read_closed",
     "read_gate",

@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from driftgate.functions.columns import col
+from driftgate.operators.volume import judge_days
+from driftgate.settings import Limits
 
 _ZONED_EPOCH = "TIMESTAMP'1970-01-01 00:00:00Z'"
 _PLAIN_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
@@ -191,3 +193,18 @@ def read_late(spark: SparkSession, root: str) -> DataFrame:
 def read_timeless(spark: SparkSession, root: str) -> int:
     """How many rows came without a time."""
     return spark.read.parquet(f"{root}/reached").agg(F.max("n_timeless")).head()[0]
+
+
+def judge_closed_days(
+    spark: SparkSession, root: str, limits: Limits = Limits(), by: Sequence[str] = (), final: bool = True, **span: str,
+) -> DataFrame:
+    """The daily windows of a stream judged as ``volume_by_day`` judges a table.
+
+    A day gets its flag when its window closes, and keeps it: what comes later is late. With ``final`` off, open days are
+    judged too, by what they have so far. What is read is a row per day and group.
+    """
+    days = read_closed(spark, root).drop("_batch_id")
+    if not final:
+        days = days.unionByName(read_open(spark, root))
+    daily = days.select(*map(col, by), F.to_date("window_start").alias("day"), F.col("n_rows").alias("n"))
+    return judge_days(daily, limits, by, **span)

@@ -20,6 +20,8 @@ from driftgate.operators import (
     volume_by_day,
 )
 from driftgate.settings import BALANCE_BOUNDS, DOMAINS, PROFILES, profile
+from driftgate.sources import workspace
+from driftgate.streaming import close_windows, judge_closed_days
 from workload.entities import accounts, transactions
 from workload.registry import query
 from workload.tables import EVENT_KEY, EVENTS, bucket_sql, table
@@ -181,6 +183,29 @@ def volume_daily(spark, sf_dir):
     return volume_by_day(_uneven(spark, sf_dir), "ts")
 
 
+def _closed_days(spark, sf_dir, by) -> str:
+    """The same events as a stream, in two parts by time."""
+    root, events = workspace(spark, "closed-days"), _uneven(spark, sf_dir)
+    landing, early = f"{root}/landing", F.dayofmonth("ts") <= 15
+    for part in (events.filter(early), events.filter(~early)):
+        part.write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(events.schema).parquet(landing)
+        close_windows(stream, "ts", f"{root}/out", f"{root}/checkpoint", by=by).awaitTermination()
+    return f"{root}/out"
+
+
+@query(_volume_sql())
+def stream_volume_anomaly(spark, sf_dir):
+    """Daily volume of a stream, flagged from the windows that it closed and the last open one."""
+    return judge_closed_days(spark, _closed_days(spark, sf_dir, ()), final=False)
+
+
+@query(f"SELECT * FROM ({_volume_sql('event_type')}) WHERE day < (SELECT (max(ts) - INTERVAL 1 HOUR)::DATE FROM events)")
+def stream_volume_anomaly_by_type(spark, sf_dir):
+    """The same by event type, of closed windows only."""
+    return judge_closed_days(spark, _closed_days(spark, sf_dir, ["event_type"]), by=["event_type"])
+
+
 @query(_volume_sql("event_type"), name="volume_anomaly_by_type")
 def volume_daily_by_type(spark, sf_dir):
     return volume_by_day(_uneven(spark, sf_dir), "ts", by=["event_type"])
