@@ -18,6 +18,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,14 +106,19 @@ def pack(
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = found.repartition(max(parts, groups), "group")
 
-    def fill(frame: pd.DataFrame) -> pd.DataFrame:
-        # Whatever order the rows came in, equal groups are packed alike.
-        frame = frame.sort_values(["n_words", "doc_id", "piece", "text"], ascending=[False, True, True, True])
-        bins, offsets, sizes = pack_sizes(frame["n_words"].to_numpy(np.int64), lengths, overhead)
-        return frame.assign(bin=bins, offset=offsets, length=sizes[bins]).sort_values(["bin", "offset"])
-
     schema = "group long, bin long, length long, offset long, doc_id string, piece int, n_words int, text binary"
-    names = [x.split()[0] for x in schema.split(", ")]
-    packed = found.groupBy("group").applyInPandas(lambda f: fill(f)[names], schema)
+
+    def fill(own: pa.Table) -> pa.Table:
+        # Whatever order the rows came in, equal groups are packed alike. Texts stay where Arrow has them until the end.
+        keys = [("n_words", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("text", "ascending")]
+        order = pc.sort_indices(own, sort_keys=keys).to_numpy()
+        bins, offsets, sizes = pack_sizes(own["n_words"].to_numpy()[order].astype(np.int64), lengths, overhead)
+        at = np.lexsort((offsets, bins))
+        found = {"bin": bins[at], "length": sizes[bins[at]], "offset": offsets[at]}
+        own = own.take(pa.array(order[at]))
+        names = [x.split()[0] for x in schema.split(", ")]
+        return pa.table([pa.array(found[c]) if c in found else own[c] for c in names], names=names)
+
+    packed = found.groupBy("group").applyInArrow(fill, schema)
     doc_id = F.col("doc_id").cast(docs.schema["doc_id"].dataType)
     return packed.withColumns({"doc_id": doc_id, "text": F.col("text").cast("string")})
