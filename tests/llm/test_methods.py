@@ -9,6 +9,7 @@ from math import log2
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from driftgate.llm import binpack, mixing, neighbours, pii, quality, repeats, secrets, simhash, tokens, urls
@@ -102,13 +103,14 @@ def test_op3_entropy(spark):
     def bits(x):
         return -sum(n / len(x) * log2(n / len(x)) for n in Counter(x).values())
 
-    pattern, window, least = secrets.CLASSES["base64"]
-    for i, text, _ in rows[:40]:
+    for i, text, own in rows[:40]:
         hot = set()
-        for m in re.finditer(pattern, text):
-            if any(re.search(p, m.group()) for p in secrets.ALLOWED):
-                continue
-            for a in range(m.start(), m.end() - window + 1):
+        # By hand: strings of 24 or more have windows of 24, shorter ones of 16 if there are digits and both cases.
+        cases = any(c.isdigit() for c in own) and any(c.islower() for c in own) and any(c.isupper() for c in own)
+        runs = len(re.findall("[0-9]+", own))
+        window, least = (24, 3.9) if len(own) >= 24 else (16, 3.5)
+        if any(c.isdigit() for c in own) and (len(own) >= 24 or cases or runs >= 3):
+            for a in range(text.index(own), text.index(own) + len(own) - window + 1):
                 if bits(text[a : a + window]) >= least:
                     hot.update(range(a, a + window))
         starts = sorted(p for p in hot if p - 1 not in hot)
@@ -118,6 +120,24 @@ def test_op3_entropy(spark):
     assert got[100] == "" and got[101] == "" and any("entropy" in v for v in got.values())
 
 
+@pytest.mark.parametrize(("text", "found"), [
+    ("config/example/q7Rk2ZpX9vLm4TbN8sWc3YhJ6dFg1KaQ5uEoViBx", True),
+    ("use sk-proj-AbC123DeF456-GhI789JkL012 here", True),
+    ("q7Rk2ZpX9vLm4TbN8sWc3Yh", True),
+    ("placeholder_q7Rk2ZpX9vLm4", False),
+    ("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", False),
+    ("src/main/java/org/acme/service/UserAccountHandler2", False),
+    ("meeting-notes-2024-01-15-final-version-3-reviewed", False),
+    ("x/123e4567-e89b-42d3-a456-426614174000/y", False),
+    ("98234798123749812374981237498", False),
+    ("a clean sentence with Sentence2Words and nothing else", False),
+])
+def test_op3_allow_list(spark, text, found):
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string").withColumn("assign", F.lit(["own"]))
+    (row,) = secrets.scan(frame).collect()
+    assert any(s["kind"] == "entropy" for s in row["secrets"]) == found and row["assign"] == ["own"]
+
+
 def test_op3_base(spark, texts):
     assign = re.compile(r"(?:%s)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)" % "|".join(
         "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key")
