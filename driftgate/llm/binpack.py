@@ -2,10 +2,11 @@
 
 Texts longer than the longest sequence are split into pieces at words, without loss. Pieces are dealt into groups by
 a hash, about ``GROUP_BYTES`` of text each, and each group is packed by itself: pieces by falling size, each
-into the open bin that it leaves fullest. Where none has room a bin is opened, of the permitted length that costs least:
-a length costs its words and ``OVERHEAD`` more, less what its free room is worth, which is no more than the words still
-to come can fill. At the end every bin shrinks to the least permitted length that holds its contents. So the number
-of bins of each length comes out of all lengths together.
+into the open bin that it leaves fullest. Where none has room a bin is opened, of the permitted length that costs least
+for each word it will hold: a length costs its words, ``OVERHEAD`` more, and for attention its square over ``ATTENTION``; it
+will hold the piece and what the largest pieces still to come fill of its room, and costs no more than the length that suffices
+for these. At the end every bin shrinks to the least permitted length that holds its contents. So the number of bins of each
+length comes out of all lengths together: long bins waste less room, short ones cost less a word.
 
 Defined results: a null or wordless text is packed nowhere; repeated rows are each packed by themselves; an empty table
 gives an empty packing.
@@ -27,6 +28,7 @@ from .common import text_bytes
 
 LENGTHS = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 64
+ATTENTION = 65_536
 GROUP_BYTES = 32 << 20
 
 
@@ -50,25 +52,50 @@ def pieces_of(text: bytes, most: int) -> Iterator[tuple[int, int, bytes]]:
         yield i, min(most, n - i * most), text[a:b]
 
 
-def pack_sizes(sizes: np.ndarray, lengths: tuple[int, ...] = LENGTHS, overhead: int = OVERHEAD) -> tuple:
+def cost(length: int, overhead: int = OVERHEAD, attention: float = ATTENTION) -> float:
+    """What a bin of this length costs, in words."""
+    return length + overhead + length * length / attention
+
+
+def _filled(room: int, falling: np.ndarray, ends: np.ndarray, first: int) -> int:
+    """How much of ``room`` the pieces from place ``first`` on fill, the largest that still fits first."""
+    free = room
+    at = first
+    while free > 0:
+        # Sizes fall, so the pieces that fit are those from here on.
+        at = max(at, int(ends[min(free, len(ends) - 1)]))
+        if at >= len(falling):
+            break
+        free -= int(falling[at])
+        at += 1
+    return room - free
+
+
+def pack_sizes(
+    sizes: np.ndarray, lengths: tuple[int, ...] = LENGTHS, overhead: int = OVERHEAD, attention: float = ATTENTION,
+) -> tuple:
     """The bin of each size (none above the longest length), its offset there, and the length of each bin."""
     lengths = tuple(sorted(lengths))
-    worth = min((x + overhead) / x for x in lengths)
-    left = int(sizes.sum())
+    costs = {x: cost(x, overhead, attention) for x in lengths}
+    order = np.argsort(-sizes, kind="stable")
+    falling = sizes[order]
+    # Place of the first piece of at most each size.
+    ends = np.searchsorted(-falling, -np.arange(lengths[-1] + 1), side="left")
     bins, offsets = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
     used: list[int] = []
     room: list[tuple[int, int]] = []  # free words and bin, sorted
-    for i in np.argsort(-sizes, kind="stable").tolist():
+
+    def price(length: int, size: int, after: int) -> float:
+        words = size + _filled(length - size, falling, ends, after)
+        return costs[lengths[bisect_left(lengths, words)]] / max(words, 1)
+
+    for place, i in enumerate(order.tolist()):
         size = int(sizes[i])
-        left -= size
         at = bisect_left(room, (size, -1))
         if at < len(room):
             free, own = room.pop(at)
         else:
-            free = min(
-                (x for x in lengths if x >= size),
-                key=lambda x: (x + overhead - worth * min(x - size, left), x),
-            )
+            free = min((x for x in lengths if x >= size), key=lambda x: (price(x, size, place + 1), x))
             own = len(used)
             used.append(0)
         bins[i], offsets[i] = own, used[own]
@@ -96,15 +123,17 @@ def pieces(docs: DataFrame, most: int) -> DataFrame:
 
 def pack(
     docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, overhead: int = OVERHEAD, group_bytes: int = GROUP_BYTES,
+    attention: float = ATTENTION,
 ) -> DataFrame:
     """The packing of ``docs``, a row for each piece: group, bin, length (of the bin), offset (of the piece in it),
     doc_id, piece, n_words, text."""
     volume = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     groups = max(1, -(-volume // group_bytes))
     found = pieces(docs, max(lengths))
-    found = found.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "text"), F.lit(groups)))
+    found = found.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "text"), F.lit(groups)).cast("int"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = found.repartition(max(parts, groups), "group")
+    # A partition for each group: hashes of so few numbers would put several into one.
+    found = found.repartitionById(max(parts, groups), F.col("group"))
 
     schema = "group long, bin long, length long, offset long, doc_id string, piece int, n_words int, text binary"
 
@@ -112,7 +141,7 @@ def pack(
         # Whatever order the rows came in, equal groups are packed alike. Texts stay where Arrow has them until the end.
         keys = [("n_words", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("text", "ascending")]
         order = pc.sort_indices(own, sort_keys=keys).to_numpy()
-        bins, offsets, sizes = pack_sizes(own["n_words"].to_numpy()[order].astype(np.int64), lengths, overhead)
+        bins, offsets, sizes = pack_sizes(own["n_words"].to_numpy()[order].astype(np.int64), lengths, overhead, attention)
         at = np.lexsort((offsets, bins))
         found = {"bin": bins[at], "length": sizes[bins[at]], "offset": offsets[at]}
         own = own.take(pa.array(order[at]))

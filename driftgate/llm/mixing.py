@@ -1,6 +1,8 @@
 """Mixing sources to target weights, block by block.
 
-The words of each source, in an order that its documents' hashes fix, are packed into blocks of ``BLOCK`` words. The mix
+The words of each source, in an order that its documents' hashes fix, are packed into blocks of ``BLOCK`` words at most, all
+of a source equal but for one word. Targets become whole words, what rounding leaves carried to the next source; a source's
+last draw takes only the words that its target still lacks, so small sources meet theirs too. The mix
 has output shards of ``SLOTS`` slots each. Every shard draws how many of its slots go to each source: multinomial counts,
 conditioned on the totals that the targets ask for, found by splitting the totals down a binary tree of shards. So
 each task knows by itself which draws of a source came before. The n-th draw of a source takes the block at place n of
@@ -39,13 +41,14 @@ _EXACT = 10**9
 
 @dataclass(frozen=True)
 class Mix:
-    """What a mix draws on, by source: sizes in words, targets, blocks, draws."""
+    """What a mix draws on, by source: sizes in words, targets, blocks, draws, words that the last draw takes at most."""
 
     names: list[str | None]
     sizes: np.ndarray
     targets: np.ndarray
     blocks: np.ndarray
     draws: np.ndarray
+    last: np.ndarray
     seed: int
 
 
@@ -76,11 +79,23 @@ def plan(
     given = np.array([weights[i % len(weights)] for i in range(len(rows))], float)
     wanted = targets(sizes, given, share * float(sizes.sum())) if len(rows) else np.zeros(0)
     blocks = -(-sizes // block)
-    some = np.maximum(sizes, 1)
-    whole = np.floor(wanted / some).astype(np.int64)
-    rest = np.rint((wanted - whole * sizes) * blocks / some).astype(np.int64)
-    return Mix([r["source"] for r in rows], sizes, wanted, blocks, whole * blocks + rest, seed)
-
+    draws, last = draws_of(sizes, blocks, wanted)
+    return Mix([r["source"] for r in rows], sizes, wanted, blocks, draws, last, seed)
+
+
+def draws_of(sizes: np.ndarray, blocks: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many blocks are drawn of each source, and how many words of the last one, for ``wanted`` words."""
+    words = np.diff(np.rint(np.cumsum(wanted)), prepend=0).astype(np.int64)
+    words = np.minimum(words, MOST_TIMES * sizes)
+    whole, rest = np.divmod(words, np.maximum(sizes, 1))
+    # The rest in blocks; a block has the source's words divided by its blocks, rounded down or up.
+    base, larger = np.divmod(sizes, np.maximum(blocks, 1))
+    mean = sizes / np.maximum(blocks, 1)
+    more = np.minimum(np.floor(rest / np.maximum(mean, 1)).astype(np.int64), np.maximum(blocks - 1, 0))
+    lacking = rest - np.rint(more * mean).astype(np.int64)
+    lacking = np.clip(lacking, 0, base + (larger > 0))
+    partial = lacking > 0
+    return whole * blocks + more + partial, np.where(partial, lacking, base + (larger > 0))
 
 def _scramble(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -143,7 +158,7 @@ def shard_counts(mix: Mix, shard: int, shards: int, held: dict) -> tuple[np.ndar
 
 
 def slots(spark, mix: Mix) -> DataFrame:
-    """Every slot of the mix: shard, slot, source (its place in ``mix.names``), pass, block."""
+    """Every slot of the mix: shard, slot, source (its place in ``mix.names``), pass, block, words of it at most."""
     shards = -(-int(mix.draws.sum()) // SLOTS)
 
     def draw(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -159,15 +174,16 @@ def slots(spark, mix: Mix) -> DataFrame:
                     for t in np.unique(turn).tolist():
                         key = mix.seed + s * 0x5851F42D4C957F2D + t * 0x14057B7EF767814F
                         blocks[turn == t] = permuted(place[turn == t], int(mix.blocks[s]), key)
-                    parts.append(pd.DataFrame({"source_at": s, "turn": turn, "block": blocks}))
+                    most = np.where(ranks == mix.draws[s] - 1, mix.last[s], 1 << 30)
+                    parts.append(pd.DataFrame({"source_at": s, "turn": turn, "block": blocks, "most": most}))
                 if parts:
                     out = pd.concat(parts)
                     out["shard"] = shard
                     out["slot"] = np.random.default_rng([mix.seed, shards, shard]).permutation(len(out))
-                    yield out[["shard", "slot", "source_at", "turn", "block"]]
+                    yield out[["shard", "slot", "source_at", "turn", "block", "most"]]
 
     ids = spark.range(0, shards, 1, max(1, min(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))))
-    return ids.mapInPandas(draw, "shard long, slot int, source_at int, turn long, block long")
+    return ids.mapInPandas(draw, "shard long, slot int, source_at int, turn long, block long, most int")
 
 
 def row_names() -> list[Column]:
@@ -188,9 +204,10 @@ def placed(rows: DataFrame, mix: Mix) -> DataFrame:
 
     Offsets add up in two steps: over ``BUCKETS`` sums per source, then within each bucket.
     """
+    facts = zip(mix.names, mix.sizes.tolist(), mix.targets.tolist(), mix.blocks.tolist(), strict=True)
     names = rows.sparkSession.createDataFrame(
-        [(n, i, int(s), float(t)) for i, (n, s, t) in enumerate(zip(mix.names, mix.sizes, mix.targets, strict=True))],
-        "name string, source_at int, source_size long, target double",
+        [(n, i, *own) for i, (n, *own) in enumerate(facts)],
+        "name string, source_at int, source_size long, target double, blocks long",
     )
     rows = rows.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("name"))).drop("name")
     rows = rows.withColumn("bucket", F.pmod("k1", F.lit(BUCKETS)))
@@ -205,21 +222,30 @@ def placed(rows: DataFrame, mix: Mix) -> DataFrame:
     )
 
 
-def segments(rows: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The parts of each row of ``placed`` with words, by block: source_at, start, block, first (word), n."""
+def segments(rows: DataFrame) -> DataFrame:
+    """The parts of each row of ``placed`` with words, by block: source_at, start, block, at (in the block), first (word), n."""
+    # The first ``larger`` blocks of a source have ``base`` + 1 words, the others ``base``.
     spans = rows.filter("size > 0").select(
-        "source_at", "start", "size",
-        F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")).alias("block"),
+        "source_at", "start", "size", F.expr("source_size div blocks").alias("base"), F.expr("source_size % blocks").alias("larger"),
+    )
+
+    def block_of(word: str) -> str:
+        return f"if({word} < larger * (base + 1), {word} div (base + 1), larger + ({word} - larger * (base + 1)) div base)"
+
+    spans = spans.select("*", F.explode(F.expr(f"sequence({block_of('start')}, {block_of('(start + size - 1)')})")).alias("block"))
+    opens = F.col("block") * F.col("base") + F.least("block", "larger")
+    low = F.greatest(F.col("start"), opens)
+    high = F.least(F.col("start") + F.col("size"), opens + F.col("base") + F.when(F.col("block") < F.col("larger"), 1).otherwise(0))
+    return spans.select(
+        "source_at", "start", "block", (low - opens).alias("at"), (low - F.col("start")).alias("first"), (high - low).alias("n"),
     )
-    low = F.greatest(F.col("start"), F.col("block") * block)
-    high = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
-    return spans.select("source_at", "start", "block", (low - F.col("start")).alias("first"), (high - low).alias("n"))
 
 
-def mixed(rows: DataFrame, mix: Mix, block: int = BLOCK) -> DataFrame:
+def mixed(rows: DataFrame, mix: Mix) -> DataFrame:
     """The mix, as parts of documents: shard, slot, turn, source_at, start, first, n. ``rows``: of ``placed``."""
     # Spark takes the slots for as few as the shards they are drawn from, and would broadcast them all.
-    return segments(rows, block).join(slots(rows.sparkSession, mix).hint("merge"), ["source_at", "block"])
+    found = segments(rows).join(slots(rows.sparkSession, mix).hint("merge"), ["source_at", "block"])
+    return found.filter("at < most").withColumn("n", F.least("n", F.col("most") - F.col("at"))).drop("at", "most")
 
 
 def taken(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -227,7 +253,7 @@ def taken(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     rows = cut(sized(docs))
     mix = plan(rows, block=block)
     rows = cut(placed(rows, mix))
-    words = mixed(rows, mix, block).groupBy("source_at", "start").agg(F.sum("n").alias("taken"))
+    words = mixed(rows, mix).groupBy("source_at", "start").agg(F.sum("n").alias("taken"))
     full, none = rows.filter("size > 0"), rows.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))
     found = full.join(words, ["source_at", "start"], "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
     wanted = ["doc_id", "source", "size", "source_size", "target", "taken"]
@@ -263,13 +289,15 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     mix = plan(rows, block=block)
     rows = cut(placed(rows, mix))
     picked = (
-        mixed(rows, mix, block).groupBy("source_at", "start", "turn")
+        mixed(rows, mix).groupBy("source_at", "start", "turn")
         .agg(F.collect_list("first").alias("first"), F.collect_list("n").alias("n"))
         .join(rows.filter("size > 0").select("source_at", "start", "k1", "k2"), ["source_at", "start"])
         .select(F.col("k1").alias("p1"), F.col("k2").alias("p2"), "first", "n")
     )
     whole = docs.select(*row_names(), F.struct(*[column(docs, c).alias(c) for c in docs.columns]).alias("row"))
-    whole = whole.groupBy("k1", "k2").agg(F.first("row").alias("row"))
+    # Reruns agree on which: the one whose other columns, as JSON, have the least hash.
+    others = F.to_json(F.struct(*[F.col("row")[c].alias(c) for c in docs.columns if c != "text"]))
+    whole = whole.groupBy("k1", "k2").agg(F.min_by("row", F.xxhash64(others)).alias("row"))
 
     @F.pandas_udf("binary")
     def words(text: pd.Series, first: pd.Series, n: pd.Series) -> pd.Series:

@@ -294,6 +294,31 @@ def test_op7_contract(spark, docs, texts):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, run(spark, "op7_mixing")))
 
 
+def test_op7_small_sources(spark):
+    """Sources of one block or a few meet their targets within two words, whatever their sizes."""
+    rng = random.Random(7)
+    sizes = [20] * 150 + [rng.randint(1, 400) for _ in range(60)] + [0, 5_000]
+    rows = []
+    for i, n in enumerate(sizes):
+        parts = n if n < 2 else rng.randint(1, 3)
+        cuts = sorted([0, n, *[rng.randint(0, n) for _ in range(parts - 1)]])
+        rows += [(1_000 * i + j, f"{i:03}", " ".join(["w"] * (b - a))) for j, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got, target, size = Counter(), {}, {}
+    for r in mixing.taken(frame).collect():
+        got[r["source"]] += r["taken"]
+        target[r["source"]], size[r["source"]] = r["target"], r["source_size"]
+        assert r["taken"] <= 2 * r["size"]
+    assert [size[f"{i:03}"] for i in range(len(sizes)) if sizes[i]] == [n for n in sizes if n]
+    # A block may have a word more than the mean one: such words add up to less than a tenth of the blocks.
+    assert all(abs(got[s] - target[s]) <= 2 + size[s] / 640 for s in target)
+    assert abs(sum(got.values()) - 1.5 * sum(sizes)) <= 0.002 * sum(sizes)
+    words = Counter()
+    for r in mixing.mixed_documents(frame).collect():
+        words[r["source"]] += len(r["text"].split())
+    assert words == +got
+
+
 def test_op7_permutation():
     for n in (1, 2, 3, 100, 4097):
         assert sorted(mixing.permuted(np.arange(n), n, 12345).tolist()) == list(range(n))
@@ -302,7 +327,7 @@ def test_op7_permutation():
 def test_op7_shards():
     rng = np.random.default_rng(1)
     draws = rng.integers(0, 5_000, 7)
-    mix = mixing.Mix(list("abcdefg"), draws, draws.astype(float), draws, draws, 3)
+    mix = mixing.Mix(list("abcdefg"), draws, draws.astype(float), draws, draws, np.ones(7, int), 3)
     shards = -(-int(draws.sum()) // mixing.SLOTS)
     held, done = {}, np.zeros(7, int)
     for s in range(shards):
@@ -471,6 +496,39 @@ def test_op10_packing(spark, docs, texts):
     assert fill > 0.85
 
 
+def _least_cost(sizes, lengths, overhead, attention):
+    """The least cost of any packing of a few sizes: every way to part them."""
+    def of(bins, rest):
+        if not rest:
+            return sum(binpack.cost(min(x for x in lengths if x >= b), overhead, attention) for b in bins)
+        first, rest = rest[0], rest[1:]
+        ways = [of([*bins[:i], b + first, *bins[i + 1:]], rest) for i, b in enumerate(bins) if b + first <= lengths[-1]]
+        return min([*ways, of([*bins, first], rest)])
+
+    return of([], sizes)
+
+
+def test_op10_near_the_optimum():
+    rng = random.Random(10)
+    lengths, ratios = (8, 16, 32), []
+    for _ in range(60):
+        sizes = [rng.randint(1, 32) for _ in range(rng.randint(1, 7))]
+        attention = rng.choice([64, 256, 10_000])
+        bins, offsets, chosen = binpack.pack_sizes(np.array(sizes), lengths, 2, attention)
+        used = np.bincount(bins, sizes)
+        assert (used <= chosen).all() and sorted(offsets[bins == 0].tolist())[0] == 0
+        ratios.append(sum(binpack.cost(int(x), 2, attention) for x in chosen) / _least_cost(sizes, lengths, 2, attention))
+    assert min(ratios) == 1 and max(ratios) < 1.3 and np.mean(ratios) < 1.04
+
+
+def test_op10_lengths_compete():
+    """Each length is opened where it is the cheapest, not the longest one everywhere."""
+    for size, attention, length in ((500, 65_536, 2_048), (500, 1e9, 8_192), (4_096, 65_536, 4_096), (512, 4_096, 512), (2_700, 65_536, 8_192)):
+        chosen = binpack.pack_sizes(np.full(320, size), attention=attention)[2]
+        assert np.median(chosen) == length
+    assert len(binpack.pack_sizes(np.zeros(0, np.int64))[2]) == 0
+
+
 def test_op10_splits():
     text = b"  a bb\n" + b"word " * 1_000 + b" end "
     pieces = list(binpack.pieces_of(text, 64))
