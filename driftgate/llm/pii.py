@@ -4,7 +4,8 @@ Card numbers (Luhn), IBANs (mod 97), social security numbers, phone numbers, IPv
 addresses are found and validated; each value is then permuted within the set of all values of its format by a keyed
 Feistel network. Separators, lengths, country prefixes and domains stay, check digits are made anew, so a pseudonym is
 as valid as what it stands for. The permutation sees only the normalised value: a number keeps its pseudonym whatever
-its spacing, a date whatever its notation, in all documents. Without the key nothing leads back; with it,
+its spacing, in all documents. So does a date whatever its notation, as far as the notation can write the pseudonym and be read
+again: one with a single digit for the day, say, walks on along the permutation to a day of one digit. Without the key nothing leads back; with it,
 ``pseudonym(..., back=True)`` does.
 
 Defined results: a null text stays null; a text without personal data stays as it is; values that fail validation are
@@ -47,17 +48,30 @@ PATTERNS = {
 }
 
 #: Length of an IBAN by country.
-IBAN_LENGTHS = {c: int(n) for n, names in (
-    x.split(":") for x in (
-        "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,CR,HR,LI,LV "
-        "22:BG,BH,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR "
-        "27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU"
-    ).split()
-) for c in names.split(",")}
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28,
+    "CH": 21, "CR": 21, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18,
+    "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HN": 28, "HR": 21, "HU": 28,
+    "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28,
+    "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24,
+    "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26,
+    "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
+}
+
+#: Country calling codes of one and two digits; all others have three.
+CALLING_CODES = {
+    "1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52",
+    "53", "54", "55", "56", "57", "58", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93",
+    "94", "95", "98",
+}
 
 
-def pseudonym(value: int, size: int, key: bytes, kind: str, back: bool = False) -> int:
-    """``value`` permuted within 0 … ``size`` - 1 by a Feistel network, walking on until it is inside again."""
+def pseudonym(
+    value: int, size: int, key: bytes, kind: str, back: bool = False, fits: Callable[[int], bool] = lambda x: True,
+) -> int:
+    """``value`` permuted within the numbers of 0 … ``size`` - 1 that ``fits`` by a Feistel network, walking on until it is
+    inside again."""
     if size < 2:
         return value
     side = isqrt(size - 1) + 1
@@ -77,7 +91,7 @@ def pseudonym(value: int, size: int, key: bytes, kind: str, back: bool = False)
             for step in range(ROUNDS):
                 left, right = right, (left + mix(step, right)) % side
         value = left * side + right
-        if value < size:
+        if value < size and fits(value):
             return value
 
 
@@ -120,7 +134,7 @@ def _email(text: str, key: bytes, back: bool) -> str | None:
 
 def _iban(text: str, key: bytes, back: bool) -> str | None:
     plain = text.replace(" ", "")
-    if not 15 <= len(plain) <= 34 or _mod97(plain[4:] + plain[:4]) != 1:
+    if not 15 <= len(plain) <= 34 or not 2 <= int(plain[2:4]) <= 98 or _mod97(plain[4:] + plain[:4]) != 1:
         return None
     body = _spelled(plain[4:], key, "iban", back)
     out = iter(plain[:2] + f"{98 - _mod97(body + plain[:2] + '00'):02d}" + body)
@@ -158,7 +172,15 @@ def _date(text: str, key: bytes, back: bool) -> str | None:
         return None
     if not FIRST_DAY <= day <= LAST_DAY:
         return None
-    new = date.fromordinal(FIRST_DAY + pseudonym(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date", back))
+    day_first = mark == "/" and order == (2, 1, 0)  # read so because the day is above 12
+
+    def fits(x: int) -> bool:
+        new = date.fromordinal(FIRST_DAY + x)
+        return all(
+            len(str(value)) <= len(parts[i]) for i, value in zip(order, (new.year, new.month, new.day), strict=True)
+        ) and not (day_first and new.day <= 12)
+
+    new = date.fromordinal(FIRST_DAY + pseudonym(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date", back, fits))
     for i, value in zip(order, (new.year, new.month, new.day), strict=True):
         parts[i] = str(value).zfill(len(parts[i]))
     return mark.join(parts)
@@ -175,12 +197,15 @@ def _ssn(text: str, key: bytes, back: bool) -> str | None:
 
 
 def _phone(text: str, key: bytes, back: bool) -> str | None:
-    country, rest = re.fullmatch(r"(\+[0-9]{1,3}(?=[ .(-])[ .-]?|\+1|)(.*)", text).groups()
-    digits = re.sub(r"[^0-9]", "", rest)
-    if not 6 <= len(digits) <= 14:
+    digits = re.sub(r"[^0-9]", "", text)
+    code = 0
+    if text[0] == "+":
+        code = next((n for n in (1, 2) if digits[:n] in CALLING_CODES), 3)
+    own = digits[code:]
+    if not 6 <= len(own) <= 14:
         return None
-    value = pseudonym(int(digits), 10 ** len(digits), key, "phone", back)
-    return country + _digits_into(rest, str(value).zfill(len(digits)))
+    value = pseudonym(int(own), 10 ** len(own), key, "phone", back)
+    return _digits_into(text, digits[:code] + str(value).zfill(len(own)))
 
 
 def _card(text: str, key: bytes, back: bool) -> str | None:
