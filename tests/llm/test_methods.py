@@ -44,6 +44,78 @@ def test_op1_templates(spark):
     assert got[120]["template"] == "/buy/{n}/cheap"
 
 
+def judged(spark, rows, rules=None):
+    """Verdict by url of (url, bad)."""
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, bad boolean")
+    got = urls.judge(pages, rules or {}, None if rules else pages["bad"]).collect()
+    return {f"http://{r['host']}{r['path']}": r for r in got}
+
+
+def test_op1_deep_paths(spark):
+    """Paths that part at the ninth, or the fortieth, segment are told apart."""
+    for depth in (8, 39):
+        stem = "http://a.org/" + "/".join(f"s{i}" for i in range(depth))
+        rows = [(f"{stem}/{w}/{i}", w == "buy") for w in ("buy", "news") for i in range(50)]
+        got = judged(spark, [*rows, (f"{stem}/buy/77", None), (f"{stem}/news/88", None)])
+        assert got[f"{stem}/buy/77"]["verdict"] == "block" and got[f"{stem}/news/88"]["verdict"] == "allow"
+        assert got[f"{stem}/buy/77"]["template"] == stem.removeprefix("http://a.org") + "/buy/{n}"
+
+
+def test_op1_one_block_rule_leaves_other_hosts(spark):
+    rows = [(f"http://{h}/a/{i}", None) for h in ("bad.com", "good.org", "other.net") for i in range(30)]
+    rows += [(f"http://bad.com/only/{i}", None) for i in range(500)] + [("http://good.org/only/1", None)]
+    got = judged(spark, rows, {"bad.com/": "block"})
+    assert all((r["verdict"] == "block") == (r["host"] == "bad.com") for r in got.values())
+
+
+def test_op1_templates_across_hosts(spark):
+    """A template that almost only bad hosts have is rejected on a host without labels; a common one isn't."""
+    rows = [(f"http://h{k}.biz/cheap/{i}/pills", True) for k in range(60) for i in range(3)]
+    rows += [(f"http://h{k}.biz/about", False) for k in range(60)] + [(f"http://g{k}.org/about", None) for k in range(9)]
+    rows += [("http://new.biz/cheap/5/pills", None), ("http://new.biz/other/5", None), ("http://new.biz/about", None)]
+    got = judged(spark, rows)
+    assert got["http://new.biz/cheap/5/pills"]["verdict"] == "block"
+    assert got["http://new.biz/other/5"]["verdict"] == got["http://new.biz/about"]["verdict"] == "allow"
+
+
+def test_op1_purity_by_brute_force(spark):
+    """Purities of random labelled pages, their templates given, by plain sums."""
+    rng, rows = random.Random(1), set()
+    for _ in range(1_500):
+        host = f"{rng.choice('abcd')}{rng.randint(0, 2)}.{rng.choice(['net', 'org', 'co.uk'])}"
+        rows.add((f"http://{host}/{rng.choice(['x', 'y', 'z'])}/{rng.randint(0, 99)}", rng.choice([True, True, False, None])))
+    rows = list({u: (u, b) for u, b in sorted(rows, key=str)}.values())
+    got = judged(spark, rows)
+    own, hosts = {}, {}
+    for u, b in rows:
+        host, path = got[u]["host"], re.sub("[0-9]+$", "#", got[u]["path"])
+        for counts in (own.setdefault((host, got[u]["template"]), [0, 0]), hosts.setdefault((host, path), [0, 0])):
+            if b is not None:
+                counts[not b] += 1
+
+    def share(keep, back):
+        found = [b > g for (h, s), (b, g) in hosts.items() if keep(h.split(".", 1)[1], s)]
+        return (sum(found) + 4 * back) / (len(found) + 4)
+
+    base = sum(b > g for b, g in hosts.values()) / len(hosts)
+    for u, _ in rows:
+        host, path = got[u]["host"], re.sub("[0-9]+$", "#", got[u]["path"])
+        p = share(lambda d, s: s == path, base)
+        p = share(lambda d, s: s == path and d == host.split(".", 1)[1], p)
+        b, g = own[host, got[u]["template"]]
+        p = (b + 4 * p) / (b + g + 4)
+        assert got[u]["purity"] == pytest.approx(p) and (got[u]["verdict"] == "block") == (p >= urls.PURITY)
+
+
+def test_op1_wide_node(spark):
+    """A node with very many children is one wildcard, and no row holds them all."""
+    slugs = spark.range(200_000).select(
+        F.col("id").alias("page_id"), F.concat(F.lit("http://a.org/s/"), F.translate(F.col("id").cast("string"), "0123456789", "qrstuvwxyz")).alias("url"),
+    )
+    got = urls.judge(slugs, {"b.org/": "block"}).groupBy("template", "verdict").count().collect()
+    assert [tuple(r) for r in got] == [("/s/*", "allow", 200_000)]
+
+
 def test_op1_rules(spark):
     rules = {"com/": 0, "example.com/en/": 1, "www.example.com/en/": 2, "net/es/": 3, "net/fr/": 4}
     pages = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
