@@ -135,7 +135,7 @@ def pack(
     # A partition for each group: hashes of so few numbers would put several into one.
     found = found.repartitionById(max(parts, groups), F.col("group"))
 
-    schema = "group long, bin long, length long, offset long, doc_id string, piece int, n_words int, text binary"
+    schema = "group int, bin long, length long, offset long, doc_id string, piece int, n_words int, text binary"
 
     def fill(own: pa.Table) -> pa.Table:
         # Whatever order the rows came in, equal groups are packed alike. Texts stay where Arrow has them until the end.
@@ -150,4 +150,4 @@ def pack(
 
     packed = found.groupBy("group").applyInArrow(fill, schema)
     doc_id = F.col("doc_id").cast(docs.schema["doc_id"].dataType)
-    return packed.withColumns({"doc_id": doc_id, "text": F.col("text").cast("string")})
+    return packed.withColumns({"group": F.col("group").cast("long"), "doc_id": doc_id, "text": F.col("text").cast("string")})
