@@ -21,6 +21,7 @@ from driftgate.operators.quality import (
     null_spikes,
     range_violations,
 )
+from driftgate.operators.ranges import daily_profiles, profile_range, read_profiles, store_profiles
 from driftgate.operators.volume import judge_days, volume_by_day
 
 __all__ = [
@@ -31,6 +32,7 @@ __all__ = [
     "assess",
     "assess_as_of",
     "compare_schema",
+    "daily_profiles",
     "detect",
     "detect_as_of",
     "diff_schema_rows",
@@ -47,9 +49,12 @@ __all__ = [
     "null_spikes",
     "orphan_keys",
     "orphan_summary",
+    "profile_range",
     "range_violations",
+    "read_profiles",
     "retype_to_string",
     "rule_frame",
     "schema_rows",
+    "store_profiles",
     "volume_by_day",
 ]

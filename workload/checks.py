@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftgate.functions import hash_bucket
 from driftgate.operators import (
     amount_bands,
+    daily_profiles,
     domain_share,
     domain_violations,
     hour_profile,
@@ -16,7 +19,10 @@ from driftgate.operators import (
     null_spikes,
     orphan_keys,
     orphan_summary,
+    profile_range as profile_of_range,
     range_violations,
+    read_profiles,
+    store_profiles,
     volume_by_day,
 )
 from driftgate.settings import BALANCE_BOUNDS, DOMAINS, PROFILES, profile
@@ -319,3 +325,52 @@ SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2
 )
 def duplicate_keys(spark, sf_dir):
     return key_duplicates(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+# -- profiles of ranges ----------------------------------------------------------------
+
+_SPAN = (date(2024, 1, 5), date(2024, 1, 20))
+_PROFILED = ("value", "user_id", "event_type")
+
+
+@query(f"""
+SELECT field, count(DISTINCT day) AS n_days, count(*) AS n_rows, count(*) - count(filled) AS n_nulls,
+    min(number) AS low, max(number) AS high, true AS distinct_within, true AS median_within
+FROM (
+    SELECT CAST(ts AS DATE) AS day, unnest([
+        {{'field': 'value', 'filled': CAST(value AS VARCHAR), 'number': CAST(value AS DOUBLE)}},
+        {{'field': 'user_id', 'filled': CAST(user_id AS VARCHAR), 'number': CAST(user_id AS DOUBLE)}},
+        {{'field': 'event_type', 'filled': event_type, 'number': NULL}}], recursive := true)
+    FROM events)
+WHERE day BETWEEN DATE '{_SPAN[0]}' AND DATE '{_SPAN[1]}'
+GROUP BY field
+""")
+def profile_range(spark, sf_dir) -> DataFrame:
+    """Events of some days, merged from stored daily sketches and held against the events themselves."""
+    events = table(spark, sf_dir, "events")
+    path = workspace(spark, "profiles")
+    store_profiles(daily_profiles(events, "ts", _PROFILED), path)
+    found = profile_of_range(read_profiles(spark, path), *_SPAN)
+    inside = events.filter(F.to_date("ts").between(*map(F.lit, _SPAN)))
+    each = inside.select(
+        F.inline(F.array(*[
+            F.struct(
+                F.lit(c).alias("field"),
+                F.col(c).cast("string").alias("filled"),
+                (F.col(c).cast("double") if c != "event_type" else F.lit(None).cast("double")).alias("number"),
+            )
+            for c in _PROFILED
+        ]))
+    )
+    # Three rows of estimates against every event: the share of values up to the estimated median, and the distinct ones.
+    exact = each.join(F.broadcast(found.select("field", "p50")), "field").groupBy("field").agg(
+        F.count_distinct("filled").alias("distinct"),
+        F.avg((F.col("number") < F.col("p50")).cast("double")).alias("below"),
+        F.avg((F.col("number") <= F.col("p50")).cast("double")).alias("up_to"),
+    )
+    near = F.abs(F.col("n_distinct") - F.col("distinct")) <= 0.05 * F.col("distinct") + 1
+    median = F.col("below").isNull() | ((F.col("below") <= 0.52) & (F.col("up_to") >= 0.48))
+    return found.join(exact, "field").select(
+        "field", "n_days", "n_rows", "n_nulls", "low", "high",
+        near.alias("distinct_within"), median.alias("median_within"),
+    )
