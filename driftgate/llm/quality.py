@@ -431,18 +431,20 @@ def judged_rows(docs: DataFrame, width: float = WIDTH) -> DataFrame:
 
 def _judged(described: DataFrame, name: str, width: float) -> DataFrame:
     loss, words = F.col(f"{name}.log_perplexity"), F.col(f"{name}.n_words")
-    spread = F.col("_half") * (1 + F.lit(SHORT) / F.greatest(words, F.lit(1)))
-    low, high = F.col("_mid") - spread, F.col("_mid") + spread
+    lang, band = fresh_name(described, "band_lang"), fresh_name(described, "band")
+    spread = F.col(f"{band}._half") * (1 + F.lit(SHORT) / F.greatest(words, F.lit(1)))
+    low, high = F.col(f"{band}._mid") - spread, F.col(f"{band}._mid") + spread
     failed = (words < 10) | (100 * F.col(f"{name}.n_repeat_words") > 20 * words)
     inside = F.coalesce(loss.between(low, high), F.lit(True))
     # Written first, so that Spark knows the table's size: it is broadcast if small, else joined by language.
     limits = cut(bands(described.select("lang", loss.alias("loss")), "loss", width))
+    limits = limits.select(F.col("_lang").alias(lang), F.struct("_mid", "_half").alias(band))
     own = F.struct(
         f"{name}.*", F.exp(low).alias("lower"), F.exp(high).alias("upper"),
         failed.alias("base_failed"), (~failed & inside).alias("kept"),
     )
     return (
-        described.join(limits, F.col("lang").eqNullSafe(F.col("_lang")), "left")
+        described.join(limits, F.col("lang").eqNullSafe(F.col(lang)), "left")
         .select(*[column(described, c) for c in described.columns if c != name], own.alias(name))
     )
 

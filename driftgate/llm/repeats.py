@@ -320,10 +320,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BU
     """``docs`` with a last column ``repeats``: kept (the bytes left), n_bytes, n_removed, n_spans, kept_sha256."""
     name = fresh_name(docs, "repeats")
     spans = cut(repeated_spans(docs, length, bucket_bytes))
-    by_doc = spans.groupBy(F.col("doc").alias("_doc")).agg(
-        F.collect_list(F.struct("a", "b", "mark")).alias("_spans"),
-    )
-    by_doc = by_doc.select("_doc", *[F.col(f"_spans.{c}").alias(f"_{c}") for c in ("a", "b", "mark")])
+    doc, own_spans = fresh_name(docs, "span_doc"), fresh_name(docs, "spans")
+    by_doc = spans.groupBy(F.col("doc").alias(doc)).agg(F.collect_list(F.struct("a", "b", "mark")).alias(own_spans))
 
     @F.pandas_udf("kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     def remove(text: pd.Series, a: pd.Series, b: pd.Series, mark: pd.Series) -> pd.DataFrame:
@@ -336,5 +334,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BU
             rows.append((kept, len(t), removed, count, hashlib.sha256(kept).hexdigest()))
         return pd.DataFrame(rows, columns=["kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    joined = docs.join(by_doc, F.col("doc_id").cast("long") == F.col("_doc"), "left")
-    return joined.withColumn(name, remove(text_bytes(), "_a", "_b", "_mark")).drop("_doc", "_a", "_b", "_mark")
+    joined = docs.join(by_doc, F.col("doc_id").cast("long") == F.col(doc), "left")
+    found = joined.withColumn(name, remove(text_bytes(), *[F.col(f"{own_spans}.{c}") for c in ("a", "b", "mark")]))
+    return found.drop(doc, own_spans)

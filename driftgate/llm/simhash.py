@@ -162,5 +162,6 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> Dat
     rows = marked.select("doc_id", F.col(fp).alias("fp"), F.xxhash64("text").alias("hash"), F.col(row).alias("at"))
     known = rows.join(classes(rows, bits), F.col("fp") == F.col("_class"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "hash", "at")).alias("first")
-    winners = known.groupBy("root").agg(first).select(F.col("first.at").alias("_at"))
-    return marked.join(winners, F.col(row) == F.col("_at"), "left_semi").select(*[f"`{c}`" for c in docs.columns])
+    own = fresh_name(marked, "winner")
+    winners = known.groupBy("root").agg(first).select(F.col("first.at").alias(own))
+    return marked.join(winners, F.col(row) == F.col(own), "left_semi").select(*[f"`{c}`" for c in docs.columns])

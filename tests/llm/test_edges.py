@@ -138,6 +138,17 @@ def test_secrets(docs, none):
     assert secrets.scan(none).count() == 0
 
 
+def test_columns_named_as_inside(docs):
+    names = ("_lang", "_mid", "_half", "_at", "_class", "_doc", "_a", "_b", "_mark", "winner", "band", "spans", "row", "base")
+    wide = docs.withColumns({c: F.lit(f"own {c}") for c in names})
+    for out in (
+        quality.filter_documents(wide), simhash.keep_first(wide), repeats.remove_repeats(wide), secrets.scan(wide),
+        pii.pseudonymise(wide, KEY), mixing.mixed_documents(wide),
+    ):
+        rows = out.select(*names).collect()
+        assert rows and all(r[c] == f"own {c}" for r in rows for c in names)
+
+
 def test_urls(spark):
     pages = [
         (1, None), (2, ""), (3, "no scheme"), (4, "http://"), (5, "HTTP://A.Example.COM"), (5, "HTTP://A.Example.COM"),
