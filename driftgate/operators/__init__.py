@@ -12,6 +12,7 @@ from driftgate.operators.mutate import (
     inject,
     retype_to_string,
 )
+from driftgate.operators.ledger import KeyLedger
 from driftgate.operators.quality import (
     amount_bands,
     domain_share,
@@ -27,6 +28,7 @@ from driftgate.operators.volume import judge_days, volume_by_day
 __all__ = [
     "Finding",
     "Healed",
+    "KeyLedger",
     "add_column",
     "amount_bands",
     "assess",

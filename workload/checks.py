@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from driftgate.functions import hash_bucket
 from driftgate.operators import (
+    KeyLedger,
     amount_bands,
     daily_profiles,
     domain_share,
@@ -327,6 +328,39 @@ def duplicate_keys(spark, sf_dir):
     return key_duplicates(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+# -- keys across runs ------------------------------------------------------------------
+
+_PARTS = {"run_first": ("2024-01-01", "2024-01-11"), "run_second": ("2024-01-11", "2024-01-21")}
+_LAST = "2024-01-21"
+
+
+@query(f"""
+WITH gappy AS ({_GAPPY}),
+batch AS (SELECT user_id, event_type, count(*) AS n_rows FROM gappy WHERE ts >= '{_LAST}' GROUP BY 1, 2),
+earlier AS (
+    SELECT user_id, event_type, count(*) AS n_earlier, count(DISTINCT run) AS n_runs, min(run) AS first_run
+    FROM ({" UNION ALL ".join(
+        f"SELECT user_id, event_type, '{run}' AS run FROM gappy WHERE ts >= '{low}' AND ts < '{high}'"
+        for run, (low, high) in _PARTS.items())})
+    GROUP BY 1, 2)
+SELECT b.user_id, b.event_type, n_rows, coalesce(n_earlier, 0)::BIGINT AS n_earlier,
+    coalesce(n_runs, 0)::BIGINT AS n_runs, first_run
+FROM batch b LEFT JOIN earlier e
+    ON b.user_id IS NOT DISTINCT FROM e.user_id AND b.event_type IS NOT DISTINCT FROM e.event_type
+WHERE n_rows > 1 OR n_earlier IS NOT NULL
+""")
+def key_duplicates_across_runs(spark, sf_dir) -> DataFrame:
+    """The last days' keys that occur twice among them or in an earlier run, against stored keys; one run recorded twice."""
+    events = _gappy(spark, sf_dir)
+    ledger = KeyLedger(spark, workspace(spark, "keys"), ["user_id", "event_type"], buckets=16)
+    for run, (low, high) in _PARTS.items():
+        ledger.record(events.filter((F.col("ts") >= low) & (F.col("ts") < high)), run)
+    last = events.filter(F.col("ts") >= _LAST)
+    ledger.record(last.limit(0), "run_last")
+    ledger.record(last, "run_last")
+    return ledger.duplicates(last, "run_last")
+
+
 # -- profiles of ranges ----------------------------------------------------------------
 
 _SPAN = (date(2024, 1, 5), date(2024, 1, 20))
