@@ -4,6 +4,7 @@ from driftgate.plans.audit import run_records, summarize_log
 from driftgate.plans.run import RunResult, run_batch, run_drill
 from driftgate.plans.views import (
     anomaly_events,
+    archived_views,
     dashboard,
     mirrored_runs,
     quarantine_counts,
@@ -15,6 +16,7 @@ from driftgate.plans.views import (
 __all__ = [
     "RunResult",
     "anomaly_events",
+    "archived_views",
     "dashboard",
     "mirrored_runs",
     "quarantine_counts",

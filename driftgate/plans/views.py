@@ -66,6 +66,18 @@ def mirrored_runs(spark: SparkSession, view: str = "pipeline_log", n: int = MIRR
     )
 
 
+def archived_views(store: RunStore) -> dict[str, DataFrame]:
+    """The views over the archived logs, by title; of each log only the newest days are read that fill the view."""
+    newest = store.newest("pipeline_log", max(RUNS, MIRRORED))
+    newest.createOrReplaceTempView("archived_pipeline_log")
+    return {
+        "recent runs": recent_runs(newest),
+        "anomalies": anomaly_events(store.newest("anomaly_log", EVENTS)),
+        "summaries": recent_summaries(store.newest("run_summaries", SUMMARIES)),
+        "mirror": mirrored_runs(store.spark, "archived_pipeline_log"),
+    }
+
+
 def dashboard(store: RunStore) -> dict[str, DataFrame]:
     """Every view the store has data for, by title; the caller shows them."""
     views = {}

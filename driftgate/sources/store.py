@@ -6,6 +6,7 @@
     <root>/batches/_entity=E/_run_id=R/_disposition=clean/       repaired rows
     <root>/batches/_entity=E/_run_id=R/_disposition=quarantine/  rows held back, with reasons
     <root>/logs/<name>/_entity=E/run_id=R/        log rows of the run
+    <root>/archive/<name>/_day=D/                 the same rows by the day of their time, for reading the newest
 
 Every write of a run replaces the folder of its own entity and run as a whole, so repeating a run
 changes nothing and leaves no rows of the earlier attempt behind. An orchestrator may give one run id
@@ -49,6 +50,10 @@ _SUMMARY = (
     "max_severity STRING, rows_quarantined BIGINT, rows_surviving BIGINT, summary_text STRING, "
     "completed_at STRING"
 )
+# The time of a row, by log; the archive is kept by its day.
+LOG_TIMES = {
+    "anomaly_log": "detected_at", "action_log": "detected_at", "run_summaries": "completed_at", "pipeline_log": "completed_at",
+}
 LOG_SCHEMAS = {
     "anomaly_log": _ANOMALY,
     "action_log": f"{_ANOMALY}, applied_action STRING, rows_affected BIGINT, result_path STRING",
@@ -251,6 +256,45 @@ class RunStore:
     def has_log(self, name: str) -> bool:
         return _readable(lambda: self.log(name))
 
+    def archive_log(self, name: str, since: str | None = None, until: str | None = None, rows: DataFrame | None = None) -> None:
+        """Keep the rows of a log by day, a few files a day instead of one a run.
+
+        Days from ``since`` to ``until`` (``YYYY-MM-DD``, both included) are replaced as they now stand in the log; without
+        ``since`` and ``until`` the whole archive is. Other log rows may be given instead of the store's own.
+        """
+        day = F.left(F.col(LOG_TIMES[name]), F.lit(10))
+        rows = (self.log(name) if rows is None else rows).withColumn("_day", day)
+        some = [t for t in ((day >= since) if since else None, (day <= until) if until else None) if t is not None]
+        for test in some:
+            rows = rows.filter(test)
+        # Tasks of adaptive size: a busy day may get several files, a quiet one gets one.
+        write = rows.hint("rebalance", "_day").write.mode("overwrite").partitionBy("_day")
+        write.option("partitionOverwriteMode", "dynamic" if some else "static").parquet(f"{self.root}/archive/{name}")
+
+    def archived(self, name: str) -> DataFrame:
+        """All archived rows of a log, with their ``_day``, which prunes the days that are read."""
+        path = f"{self.root}/archive/{name}"
+        try:
+            return self.spark.read.schema(f"{LOG_SCHEMAS[name]}, _day STRING").parquet(path)
+        except AnalysisException:
+            return self.empty_log(name).withColumn("_day", F.lit(None).cast("string"))
+
+    def newest(self, name: str, n: int) -> DataFrame:
+        """The rows of the newest archived days that hold ``n`` rows together, all rows if there are fewer.
+
+        Whatever the archive's size, only those days' files are opened: of 1, 2, 4, … days the rows are counted, by the
+        files' footers, until there are enough. The driver sees the names of the days.
+        """
+        rows = self.archived(name)
+        days = sorted({_partition_values(p)["_day"] for p in rows.inputFiles()}, reverse=True)
+        span = 1
+        while span < len(days):
+            recent = rows.filter(F.col("_day") >= days[span - 1])
+            if recent.count() >= n:
+                return recent.drop("_day")
+            span *= 2
+        return rows.drop("_day")
+
     def register_views(self) -> list[str]:
         """Make the logs queryable in SQL as temporary views; returns their names."""
         made = [n for n in LOG_SCHEMAS if self.has_log(n)]

@@ -13,6 +13,7 @@ from driftgate.operators import assess
 from driftgate.operators.detect import anomalies_of
 from driftgate.plans import (
     anomaly_events,
+    archived_views,
     mirrored_runs,
     quarantine_counts,
     recent_runs,
@@ -20,8 +21,9 @@ from driftgate.plans import (
     run_records,
     summarize_log,
 )
+from driftgate.sources import RunStore, workspace
 from workload.drift import mutate_add_column
-from workload.registry import query
+from workload.registry import ORACLES, query
 from workload.tables import (
     CUSTOMER,
     DAY_END,
@@ -166,3 +168,22 @@ FROM ({_RECORDS}) ORDER BY completed_at DESC, run_id DESC LIMIT 5
 def view_mirror(spark, sf_dir):
     pipeline_log(spark, sf_dir).createOrReplaceTempView("mirrored_log")
     return mirrored_runs(spark, "mirrored_log")
+
+
+# -- the same views over stored logs ---------------------------------------------------
+
+
+def _archived(spark, sf_dir, title: str) -> DataFrame:
+    """One of the views, over logs that were stored by day first."""
+    store = RunStore(spark, workspace(spark, "archive"))
+    name = {"anomalies": "anomaly_log", "summaries": "run_summaries"}.get(title, "pipeline_log")
+    logged = anomalies_of(assessed_runs(spark, sf_dir)) if name == "anomaly_log" else pipeline_log(spark, sf_dir)
+    known = store.empty_log(name).columns
+    store.archive_log(name, rows=logged.select(*known))
+    return archived_views(store)[title]
+
+
+for _view, _title in {
+    "view_recent_runs": "recent runs", "view_anomalies": "anomalies", "view_summaries": "summaries", "view_mirror": "mirror",
+}.items():
+    query(ORACLES[_view], name=f"{_view}_archived")(lambda spark, sf_dir, title=_title: _archived(spark, sf_dir, title))
