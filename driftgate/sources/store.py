@@ -15,6 +15,7 @@ to several entities: nothing they write shares a folder, and no run has to look
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from urllib.parse import unquote
@@ -190,10 +191,55 @@ class RunStore:
     def quarantined_runs(self, n: int) -> list[str]:
         """The last ``n`` run ids that hold quarantined rows, logged or not.
 
-        A partition has files only if it has rows, so listing the files is enough and none is opened.
+        A partition is there only if it has rows, so the list of partitions is enough and no file is opened.
         """
-        listed = map(_partition_values, self._layout().inputFiles())
-        return sorted({p["_run_id"] for p in listed if p["_disposition"] == QUARANTINE}, reverse=True)[:n]
+        held = self.partitions().filter(F.col("_disposition") == QUARANTINE)
+        return [r["_run_id"] for r in held.select("_run_id").distinct().orderBy(F.desc("_run_id")).limit(n).collect()]
+
+    def partitions(self) -> DataFrame:
+        """What is stored, a row for each entity, run and disposition, by the catalog's list of partitions.
+
+        The stored batches are an external table of the session catalog, which Spark brings up to date with the folders, in
+        parallel where there are many; the driver sees partitions, not files.
+        """
+        path = f"{self.root}/batches"
+        name = f"driftgate_batches_{hashlib.md5(path.encode()).hexdigest()}"
+        columns = "_entity STRING, _run_id STRING, _disposition STRING"
+        if not _readable(lambda: self.spark.read.schema(columns).parquet(path)):
+            return self.spark.createDataFrame([], columns)
+        place = path.replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} (_quarantine_reason STRING, {columns}) USING parquet "
+            f"PARTITIONED BY (_entity, _run_id, _disposition) LOCATION '{place}'"
+        )
+        self.spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        listed = self.spark.sql(f"SHOW PARTITIONS {name}")
+        values = [F.split_part(F.split_part("partition", F.lit("/"), F.lit(i)), F.lit("="), F.lit(2)) for i in (1, 2, 3)]
+        # Names are escaped as in paths, which leave a plus as it is.
+        return listed.select(*[
+            F.url_decode(F.replace(v, F.lit("+"), F.lit("%2B"))).alias(c)
+            for v, c in zip(values, ("_entity", "_run_id", "_disposition"), strict=True)
+        ])
+
+    def compact(self, run_id: str, entity: str | None = None, disposition: str = QUARANTINE, file_bytes: int = 128 << 20) -> int:
+        """Put the many small files of a run's part together into files of about ``file_bytes``; returns how many files it
+        has then, 0 if there is no such part.
+
+        Spark writes beside the folder and swaps it in when all is written, so a job that breaks off changes nothing. Rows
+        are not shuffled.
+        """
+        path = self.run_path("batches", entity or self._only_entity(run_id, "batches"), run_id)
+        try:
+            rows = self.spark.read.option("basePath", path).parquet(f"{path}/_disposition={disposition}")
+        except AnalysisException:
+            return 0
+        files = self.spark.read.format("binaryFile").load(f"{path}/_disposition={disposition}")
+        total, count = files.agg(F.sum("length"), F.count("*")).first()
+        wanted = max(1, -(-total // file_bytes))
+        if count > wanted:
+            write = rows.coalesce(wanted).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            write.partitionBy("_disposition").parquet(path)
+        return min(count, wanted)
 
     def _layout(self) -> DataFrame:
         """The stored batches as entities, run ids and dispositions alone."""

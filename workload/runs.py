@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from driftgate.operators import detect, drop_column, heal
 from driftgate.plans import run_drill, stored_quarantines
 from driftgate.sources import CONTRACTS, RunStore, workspace
@@ -137,6 +139,35 @@ def two_entities_one_id(spark, sf_dir):
     )
 
 
+@query(f"""
+SELECT 'run_nightly' AS _run_id, 'transactions' AS _entity, 'clean' AS _disposition
+UNION ALL SELECT 'run_nightly', 'transactions', 'quarantine'
+UNION ALL SELECT 'run_nightly', 'accounts', 'quarantine'
+UNION ALL SELECT 'run_nightly', 'customers', 'clean'
+UNION ALL SELECT 'run_broken', 'accounts', 'quarantine'
+UNION ALL SELECT 'run_broken', 'customers', 'quarantine'
+""")
+def stored_partitions(spark, sf_dir):
+    """What runs stored, by the catalog's list of partitions."""
+    return _shared_id(spark, sf_dir).partitions()
+
+
+@query(f"""
+SELECT event_id::VARCHAR AS transaction_id, {corrupt_sql("value", "event_id::VARCHAR")} AS amount,
+    'unparseable:amount' AS _quarantine_reason, 'run_retyped' AS _run_id, 1 AS n_files
+FROM events WHERE {bad_sql(corrupt_sql("value", "event_id::VARCHAR"))}
+""")
+def quarantine_compacted(spark, sf_dir):
+    """The quarantined rows of a batch that came in many files, after they were put together."""
+    store = RunStore(spark, workspace(spark, "small-files"))
+    batch = BASELINES["transactions"](spark, sf_dir).repartition(40, "transaction_id")
+    run_drill(store, batch, CONTRACTS["transactions"], "type_changed", False, "retyped", _START)
+    store.compact("run_retyped", "transactions")
+    held = store.quarantine("run_retyped", "transactions")
+    files = len(held.inputFiles())
+    return held.select("transaction_id", "amount", "_quarantine_reason", "_run_id", F.lit(files).alias("n_files"))
+
+
 @query(f"""
 SELECT 'run_nightly' AS run_id, 'transactions' AS entity, {_BAD} AS n_rows
 UNION ALL SELECT 'run_nightly', 'accounts', {_ROWS["orders"]}
