@@ -36,7 +36,8 @@ MOST_SOURCES = 1_000_000
 BUCKETS = 1024
 SEED = 20_240_601
 
-_EXACT = 10**9
+#: What numpy's generator takes.
+_NUMPY = 10**9
 
 
 @dataclass(frozen=True)
@@ -120,22 +121,35 @@ def permuted(at: np.ndarray, size: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def _hypergeometric(own: int, others: int, slots: int, rng: np.random.Generator) -> int:
+    """How many of ``slots`` drawn from ``own`` and ``others`` are of the own: exactly that law for any size.
+
+    numpy draws from up to ``_NUMPY`` items. Beyond, one uniform number is looked up in the distribution function, summed over the
+    counts around the mode that hold all but a part in 10^17 of it.
+    """
+    rest = own + others
+    if rest < _NUMPY:
+        return int(rng.hypergeometric(own, others, slots))
+    low, high = max(0, slots - others), min(own, slots)
+    mode = min(max((own + 1) * (slots + 1) // (rest + 2), low), high)
+    spread = (slots * (own / rest) * (others / rest) * ((rest - slots) / (rest - 1))) ** 0.5
+    reach = int(9 * spread) + 60  # Bernstein's bound for 40 nats
+    low, high = max(low, mode - reach), min(high, mode + reach)
+    k = np.arange(low, high, dtype=np.int64)
+    steps = np.log(own - k) + np.log(slots - k) - np.log(k + 1) - np.log(others - slots + k + 1)
+    logs = np.concatenate([[0.0], np.cumsum(steps)])
+    below = np.cumsum(np.exp(logs - logs.max()))
+    return low + min(int(np.searchsorted(below, rng.random() * below[-1], "right")), high - low)
+
+
 def _split(counts: np.ndarray, first: int, rng: np.random.Generator) -> np.ndarray:
-    """How many of ``first`` slots, of ``counts.sum()``, go to each source; beyond numpy's exact range by the normal
-    law of the same mean and variance."""
+    """How many of ``first`` slots, of ``counts.sum()``, go to each source."""
     out = np.zeros(len(counts), np.int64)
     rest, slots = int(counts.sum()), first
     for i, own in enumerate(counts.tolist()):
         others = rest - own
         low, high = max(0, slots - others), min(own, slots)
-        if low == high:
-            out[i] = low
-        elif rest < _EXACT:
-            out[i] = rng.hypergeometric(own, others, slots)
-        else:
-            p = slots / rest
-            sd = (own * p * (1 - p) * others / (rest - 1)) ** 0.5
-            out[i] = min(max(round(rng.normal(own * p, sd)), low), high)
+        out[i] = low if low == high else _hypergeometric(own, others, slots, rng)
         slots -= int(out[i])
         rest = others
     return out
