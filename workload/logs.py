@@ -117,14 +117,12 @@ def run_log(spark, sf_dir):
 SELECT to_json({{'run_id': run_id, 'entity': entity, 'drift_type': drift_type,
     'force_critical': force_critical, 'anomaly_count': anomaly_count, 'max_severity': max_severity,
     'rows_quarantined': rows_quarantined, 'rows_surviving': rows_surviving,
-    'completed_at': completed_at}})::VARCHAR AS result FROM ({_RECORDS})
+    'summary_text': summary_text, 'completed_at': completed_at,
+    'drifted_path': drifted_path}})::VARCHAR AS result FROM ({_RECORDS})
 """)
 def run_result_json(spark, sf_dir):
-    record = F.struct(
-        "run_id", "entity", "drift_type", "force_critical", "anomaly_count", "max_severity",
-        "rows_quarantined", "rows_surviving", "completed_at",
-    )
-    return pipeline_log(spark, sf_dir).select(F.to_json(record).alias("result"))
+    log = pipeline_log(spark, sf_dir)
+    return log.select(F.to_json(F.struct(*log.columns)).alias("result"))
 
 
 @query(f"""
