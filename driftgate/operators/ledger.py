@@ -5,7 +5,7 @@ and shuffled once, into as many parts as the table has buckets; the stored rows
 lie. A key that half the rows share is one row before anything moves. Where the batch's keys are few enough for Spark to
 broadcast, not even they are shuffled. Recording a run again replaces its own partition.
 
-Keys are compared as JSON objects, so null equals null here, as in ``key_duplicates``.
+Keys are compared as JSON objects of their texts, so null equals null here, as in ``key_duplicates``.
 """
 
 from __future__ import annotations
@@ -13,14 +13,24 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftgate.functions.columns import col
 
 _SCHEMA = "_key STRING, _n_rows BIGINT, _run_id STRING"
 
 
+def _exact(df: DataFrame, name: str) -> Column:
+    """A column as its JSON tells all values apart: texts of times would otherwise end at the millisecond."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.BinaryType):
+        return F.hex(name).alias(name)
+    nested = isinstance(kind, (T.StructType, T.ArrayType))
+    return F.col(name) if nested else F.col(name).cast("string").alias(name)
+
+
 class KeyLedger:
     """The keys of a dataset, stored under ``path``. ``buckets`` is fixed when the ledger is first used: some hundred
     megabytes of keys to a bucket, over all runs that are checked together, is a good size."""
@@ -42,12 +52,11 @@ class KeyLedger:
 
     def _counted(self, df: DataFrame) -> DataFrame:
         """One row per key of ``df``, in the parts that the buckets have."""
+        values = [col(c).alias(f"_value_{i}") for i, c in enumerate(self.key)]
+        counted = df.select(*values).groupBy(*[f"_value_{i}" for i in range(len(values))]).agg(F.count(F.lit(1)).alias("_n_rows"))
         # Nulls are left out of the object, which tells them from every value.
-        key = F.to_json(F.struct(*[col(c).alias(c) for c in self.key]))
-        counted = df.groupBy(key.alias("_key")).agg(
-            F.count(F.lit(1)).alias("_n_rows"), *[F.first(col(c)).alias(f"_value_{i}") for i, c in enumerate(self.key)]
-        )
-        return counted.repartition(self.buckets, "_key")
+        parts = [_exact(counted, f"_value_{i}") for i in range(len(values))]
+        return counted.withColumn("_key", F.to_json(F.struct(*parts))).repartition(self.buckets, "_key")
 
     def record(self, df: DataFrame, run_id: str) -> None:
         """Add the keys of a run, or replace them."""

@@ -68,3 +68,19 @@ def test_history_is_not_shuffled(spark, ledger, capsys):
             above.append(lines[i])
             level = depth[i]
     assert any("Join" in line for line in above) and not any("Exchange" in line for line in above)
+
+
+def test_values_that_look_alike_stay_apart(spark, root):
+    kept = KeyLedger(spark, f"{root}/odd", ["at", "raw", "x"], buckets=2)
+
+    def odd(rows):
+        sql = ", ".join(f"(timestamp'{at}', X'{raw}', double('{x}'))" for at, raw, x in rows)
+        return spark.sql(f"SELECT * FROM VALUES {sql} AS t(at, raw, x)")
+
+    kept.record(odd([("2024-01-01 00:00:00.000001", "FF", "0"), ("2024-01-01 00:00:00", "FE", "NaN")]), "run_1")
+    today = [
+        ("2024-01-01 00:00:00.000002", "FF", "0"), ("2024-01-01 00:00:00.000001", "FE", "0"),
+        ("2024-01-01 00:00:00.000001", "FF", "-0"), ("2024-01-01 00:00:00", "FE", "NaN"),
+    ]
+    found = kept.duplicates(odd(today)).select(F.hex("raw"), "x", "n_earlier").collect()
+    assert sorted((r[0], str(abs(r[1])), r[2]) for r in found) == [("FE", "nan", 1), ("FF", "0.0", 1)]
